@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tastelens import fixed_values as fv
 
@@ -28,7 +29,7 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(text: pd.Series) -> pd.Series:
     return text.str.normalize("NFKC") if text.notna().any() else text
 

@@ -1,40 +1,50 @@
 """Explicit schemas of the two raw tables and of the nested pages they come from."""
 
-from pyspark.sql.types import StructType
-
-RESTAURANTS = StructType.fromDDL(
-    "tripadvisor_entity_id bigint, name string, link string, rating double, reviews_count bigint, "
-    "price_range string, phone string, is_open_now boolean, status_text string, address string, "
-    "city string, postal_code string, country string, country_code string, latitude double, "
-    "longitude double, parent_location_id bigint, parent_location_name string, "
-    "featured_image string, has_reservation boolean, has_delivery boolean, is_ad boolean"
+from pyspark.sql.types import (
+    BooleanType, DataType, DoubleType, LongType, StringType, StructField, StructType,
 )
 
-REVIEWS = StructType.fromDDL(
-    "restaurant_entity_id bigint, restaurant_name string, restaurant_link string, "
-    "review_id bigint, review_link string, title string, text string, rating double, "
-    "language string, original_language string, like_count string, trip_type string, "
-    "stay_date string, created_at_date string, published_at_date string, reviewer_id string, "
-    "reviewer_name string, reviewer_username string, reviewer_profile_link string, "
-    "reviewer_contribution_count string, reviewer_hometown string"
+LONG, DOUBLE, TEXT, FLAG = LongType(), DoubleType(), StringType(), BooleanType()
+
+
+def record(**fields: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
+
+
+RESTAURANTS = record(
+    tripadvisor_entity_id=LONG, name=TEXT, link=TEXT, rating=DOUBLE, reviews_count=LONG,
+    price_range=TEXT, phone=TEXT, is_open_now=FLAG, status_text=TEXT, address=TEXT, city=TEXT,
+    postal_code=TEXT, country=TEXT, country_code=TEXT, latitude=DOUBLE, longitude=DOUBLE,
+    parent_location_id=LONG, parent_location_name=TEXT, featured_image=TEXT,
+    has_reservation=FLAG, has_delivery=FLAG, is_ad=FLAG,
+)
+
+# Counts and dates stay text here; cleaning reads them and turns what is unreadable into missing.
+REVIEWS = record(
+    restaurant_entity_id=LONG, restaurant_name=TEXT, restaurant_link=TEXT, review_id=LONG,
+    review_link=TEXT, title=TEXT, text=TEXT, rating=DOUBLE, language=TEXT, original_language=TEXT,
+    like_count=TEXT, trip_type=TEXT, stay_date=TEXT, created_at_date=TEXT, published_at_date=TEXT,
+    reviewer_id=TEXT, reviewer_name=TEXT, reviewer_username=TEXT, reviewer_profile_link=TEXT,
+    reviewer_contribution_count=TEXT, reviewer_hometown=TEXT,
 )
 
-RESTAURANT_ITEM = StructType.fromDDL(
-    "tripadvisor_entity_id bigint, name string, link string, rating double, reviews bigint, "
-    "price_range string, phone string, is_open_now boolean, status_text string, "
-    "address struct<address:string,city:string,postal_code:string,country:string,"
-    "country_code:string>, coordinates struct<latitude:double,longitude:double>, "
-    "parent_location struct<tripadvisor_entity_id:bigint,name:string>, featured_image string, "
-    "has_reservation boolean, has_delivery boolean, is_ad boolean"
+RESTAURANT_ITEM = record(
+    tripadvisor_entity_id=LONG, name=TEXT, link=TEXT, rating=DOUBLE, reviews=LONG,
+    price_range=TEXT, phone=TEXT, is_open_now=FLAG, status_text=TEXT,
+    address=record(address=TEXT, city=TEXT, postal_code=TEXT, country=TEXT, country_code=TEXT),
+    coordinates=record(latitude=DOUBLE, longitude=DOUBLE),
+    parent_location=record(tripadvisor_entity_id=LONG, name=TEXT),
+    featured_image=TEXT, has_reservation=FLAG, has_delivery=FLAG, is_ad=FLAG,
 )
 
-REVIEW_ITEM = StructType.fromDDL(
-    "review_id bigint, review_link string, title string, text string, rating double, "
-    "language string, original_language string, like_count bigint, "
-    "trip struct<trip_type:string,stay_date:string>, created_at_date string, "
-    "published_at_date string, reviewer struct<reviewer_id:string,name:string,username:string,"
-    "profile_link:string,contribution_count:bigint,"
-    "hometown:struct<location_name_detailed:string>>"
+REVIEW_ITEM = record(
+    review_id=LONG, review_link=TEXT, title=TEXT, text=TEXT, rating=DOUBLE, language=TEXT,
+    original_language=TEXT, like_count=LONG, trip=record(trip_type=TEXT, stay_date=TEXT),
+    created_at_date=TEXT, published_at_date=TEXT,
+    reviewer=record(
+        reviewer_id=TEXT, name=TEXT, username=TEXT, profile_link=TEXT, contribution_count=LONG,
+        hometown=record(location_name_detailed=TEXT),
+    ),
 )
 
-PLACE_ITEM = StructType.fromDDL("name string, place_type string, tripadvisor_entity_id bigint")
+PLACE_ITEM = record(name=TEXT, place_type=TEXT, tripadvisor_entity_id=LONG)

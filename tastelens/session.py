@@ -43,6 +43,7 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tastelens")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
