@@ -54,9 +54,9 @@ def normalize_text(text: Column) -> Column:
     return tidy(nfkc(text))
 
 
-def combine_title_text(title: Column, text: Column) -> Column:
+def combine_title_text(title: Column, text: Column, stripped: bool = False) -> Column:
     """Title before text, unless one is empty or the text already opens with the title."""
-    head, body = strip(title), strip(text)
+    head, body = (title, text) if stripped else (strip(title), strip(text))
     return (
         F.when(body == "", head)
         .when(F.startswith(F.lower(body), F.lower(head)), body)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastelens import fixed_values as fv
-from tastelens.operators.summaries import full_counts, value_counts
+from tastelens.operators.prepare import fit_condition, join_restaurants
 
 
 def overview(reviews: DataFrame, restaurants: DataFrame) -> DataFrame:
@@ -63,12 +63,7 @@ def text_quality(featured: DataFrame) -> DataFrame:
         F.count_if(F.col("combined_ascii_ratio") < 1).alias("non_ascii"),
         F.count_if("has_chinese").alias("with_chinese"),
         F.count_if("is_original_english").alias("original_english"),
-        F.count_if(
-            F.col("is_original_english")
-            & ~F.col("has_chinese")
-            & F.col("is_text_long_enough")
-            & F.col("is_mostly_ascii")
-        ).alias("kept_for_modeling"),
+        F.count_if(fit_condition()).alias("kept_for_modeling"),
     )
 
 
@@ -80,39 +75,74 @@ def _as_metrics(section: str, row: DataFrame) -> DataFrame:
     )
 
 
-def _as_counts(section: str, counts: DataFrame, column: str) -> DataFrame:
-    return counts.select(
-        F.lit(section).alias("section"),
-        F.col(column).cast("string").alias("metric"),
-        F.col("count").cast("bigint").alias("value"),
+def _text_facts(featured: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """Everything that needs cleaned text, as (section, metric, value) from one pass over it.
+
+    The pass counts per (rating, classes), a handful of rows, which are then read as the raw and
+    the modelling distributions. A review counts for modelling once per matching restaurant row,
+    as the joined modelling table would hold it.
+    """
+    copies = restaurants.groupBy("restaurant_entity_id").agg(F.count(F.lit(1)).alias("_copies"))
+    rows = join_restaurants(featured, copies)
+    labels = ["rating", "rating_3class", "target_five_star_label"]
+    kept = F.sum(F.when(fit_condition(), F.coalesce("_copies", F.lit(1))).otherwise(0))
+    quality = {
+        "non_ascii": F.count_if(F.col("combined_ascii_ratio") < 1),
+        "with_chinese": F.count_if("has_chinese"),
+        "original_english": F.count_if("is_original_english"),
+        "kept_for_modeling": kept,
+    }
+    cells = rows.groupBy(*labels).agg(
+        F.count(F.lit(1)).alias("n"), *(c.alias(name) for name, c in quality.items())
     )
 
+    def fact(section: str, metric: Column, value: Column) -> Column:
+        return F.struct(
+            F.lit(section).alias("section"), metric.cast("string").alias("metric"),
+            value.cast("bigint").alias("value"),
+        )
+
+    facts = [fact("text", F.lit(name), F.col(name)) for name in quality]
+    for name, count in (("raw", "n"), ("modeling", "kept_for_modeling")):
+        present = F.when(F.col(count) > 0, F.col(count))
+        whole = F.when(
+            F.col("rating") == F.floor("rating"), F.floor("rating").cast("string")
+        ).otherwise(F.col("rating").cast("string"))
+        facts += [
+            fact(f"{name}_rating", whole, present),
+            fact(f"{name}_3class", F.col("rating_3class"), F.col(count)),
+            fact(f"{name}_binary", F.col("target_five_star_label"), present),
+        ]
+    counted = cells.select(F.inline(F.array(*facts))).filter(F.col("metric").isNotNull())
+    # classes that never occur: 0 for the ordered classes, missing for the two labels
+    fixed = [
+        (f"{name}_{kind}", c, zero)
+        for name in ("raw", "modeling")
+        for kind, classes, zero in (
+            ("3class", fv.RATING_CLASSES, 0), ("binary", fv.BINARY_CLASSES, None)
+        )
+        for c in classes
+    ]
+    seeds = featured.sparkSession.createDataFrame(
+        fixed, "section string, metric string, value bigint"
+    )
+    sums = counted.unionByName(seeds).groupBy("section", "metric").agg(
+        F.sum("value").alias("value")
+    )
+    return sums.filter(~F.endswith("section", F.lit("_rating")) | F.col("value").isNotNull())
+
 
 def audit_summary(
-    reviews: DataFrame,
-    restaurants: DataFrame,
-    featured: DataFrame,
-    modelling: DataFrame,
-    cap: int = fv.REVIEW_CAP,
+    reviews: DataFrame, restaurants: DataFrame, featured: DataFrame, cap: int = fv.REVIEW_CAP
 ) -> DataFrame:
     """The whole audit as one long table (section, metric, value)."""
-    parts = [
+    raw = [
         _as_metrics("overview", overview(reviews, restaurants)),
         _as_metrics("overview", cap_hits(reviews, cap=cap)),
         _as_metrics("quality", duplicates(reviews)),
         _as_metrics("quality", missing(reviews, ["trip_type", "title", "stay_date"])),
-        _as_metrics("text", text_quality(featured)),
     ]
-    for name, df in (("raw", featured), ("modeling", modelling)):
-        three = full_counts(df, "rating_3class", fv.RATING_CLASSES, zero=True)
-        binary = full_counts(df, "target_five_star_label", fv.BINARY_CLASSES, zero=False)
-        whole = df.withColumn("rating", F.col("rating").cast("bigint"))
-        parts += [
-            _as_counts(f"{name}_rating", value_counts(whole, "rating"), "rating"),
-            _as_counts(f"{name}_3class", three, "rating_3class"),
-            _as_counts(f"{name}_binary", binary, "target_five_star_label"),
-        ]
-    result = parts[0]
-    for part in parts[1:]:
+    result = _text_facts(featured, restaurants)
+    for part in raw:
         result = result.unionByName(part)
     return result

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastelens import fixed_values as fv
 from tastelens.functions import scalar as S
 from tastelens.functions import text as X
+from tastelens.operators.rows import compute_once
 
 RESTAURANT_RENAMES = {
     "tripadvisor_entity_id": "restaurant_entity_id",
@@ -20,12 +21,16 @@ RESTAURANT_KEPT = (
 
 
 def with_clean_text(reviews: DataFrame) -> DataFrame:
-    title, text = (F.coalesce(F.col(c), F.lit("")) for c in ("title", "text"))
-    return reviews.withColumns({"title": title, "text": text}).withColumns(
-        {"title_clean": X.normalize_text(F.col("title")), "text_clean": X.normalize_text(F.col("text"))}
-    ).withColumn(
-        "combined_text", X.combine_title_text(F.col("title_clean"), F.col("text_clean"))
+    """Filled title and text, their cleaned forms, and both combined."""
+    filled = reviews.na.fill("", ["title", "text"])
+    unified = filled.withColumns(
+        {"_title": X.nfkc(F.col("title")), "_text": X.nfkc(F.col("text"))}
     )
+    tidied = compute_once(
+        unified, {"title_clean": X.tidy(F.col("_title")), "text_clean": X.tidy(F.col("_text"))}
+    ).drop("_title", "_text")
+    combined = X.combine_title_text(F.col("title_clean"), F.col("text_clean"), stripped=True)
+    return tidied.withColumn("combined_text", combined)
 
 
 def with_text_quality(df: DataFrame, script: str = fv.CJK_CLASS) -> DataFrame:
@@ -131,8 +136,9 @@ def descriptive_table(review_df: DataFrame, restaurant_df: DataFrame) -> DataFra
     )
 
 
-def fit_for_modelling(df: DataFrame) -> DataFrame:
-    return df.filter(
+def fit_condition() -> Column:
+    """English, without the excluded script, long enough, mostly ASCII."""
+    return (
         F.col("is_original_english")
         & ~F.col("has_chinese")
         & F.col("is_text_long_enough")
@@ -140,6 +146,11 @@ def fit_for_modelling(df: DataFrame) -> DataFrame:
     )
 
 
+def fit_for_modelling(df: DataFrame) -> DataFrame:
+    """The language is also compared plainly, which a Parquet scan can skip row groups by."""
+    return df.filter((F.col("original_language") == "en") & fit_condition())
+
+
 def modelling_table(review_df: DataFrame, restaurant_df: DataFrame) -> DataFrame:
     """English, long enough, mostly ASCII reviews with the columns a model may see.
 

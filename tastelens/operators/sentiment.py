@@ -11,6 +11,7 @@ from tastelens import fixed_values as fv
 from tastelens.functions import lexicon as L
 from tastelens.functions.scalar import half_even, safe_div
 from tastelens.functions.text import bind, tokenize
+from tastelens.operators.rows import compute_once
 from tastelens.sources.lexicons import Lexicons
 
 
@@ -33,14 +34,15 @@ def with_text_features(
             L.emotion_profile(tokens, lexicons.emotions).alias("emotion"),
         )
 
-    columns = {"_tok": bind(tokenize(source), features)}
+    wide = compute_once(df, {"_tok": bind(tokenize(source), features)})
+    parts = ["_tok.token_count", "_tok.unique_token_count", "_tok.lexicon.*", "_tok.emotion.*"]
     if valence:
-        columns["_val"] = L.valence_profile(
+        rules = L.valence_profile(
             source, lexicons.valence, lexicons.negations, lexicons.intensifiers
         )
-    wide = df.withColumns(columns)
-    parts = ["_tok.token_count", "_tok.unique_token_count"] + (["_val.*"] if valence else [])
-    return wide.select(*df.columns, *parts, "_tok.lexicon.*", "_tok.emotion.*")
+        wide = compute_once(wide, {"_val": rules})
+        parts.insert(2, "_val.*")
+    return wide.select(*df.columns, *parts)
 
 
 def tokens_by_row(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -117,11 +117,7 @@ def _distributions(name: str, source: str) -> str:
     SELECT * FROM facts""",
 )
 def _(t: Tables) -> DataFrame:
-    featured = t.review_features()
-    return audit.audit_summary(
-        t.doc_reviews(), t.supplier_places(), featured,
-        prepare.modelling_table(featured, t.places()),
-    )
+    return audit.audit_summary(t.doc_reviews(), t.places(), t.review_features())
 
 
 # --- counts ---------------------------------------------------------------------------------------
