@@ -12,16 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join that lets missing group values meet."""
-    renamed = right.select(
-        *(F.col(k).alias(f"_r_{k}") for k in keys),
-        *(c for c in right.columns if c not in keys),
-    )
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return left.join(renamed, condition, "left").drop(*(f"_r_{k}" for k in keys))
+def _group_key(groups: Sequence[str]) -> Column:
+    """One never-missing text key for the group columns.
+
+    Window, aggregate and join then share one hash partitioning by (key, slot): the rows are
+    shuffled once and only the small table of slot totals moves to meet them.
+    """
+    parts = [F.coalesce(F.col(g).cast("string"), F.lit("\u0000")) for g in groups]
+    return F.concat_ws("\u0001", *parts) if parts else F.lit("")
 
 
 def hashed_row_number(
@@ -38,22 +36,23 @@ def hashed_row_number(
     large a stratum is. The slot table has strata x 16**digits rows at most.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    keyed = df.withColumn("_digest", digest).withColumn("_slot", F.left("_digest", F.lit(digits)))
-    sizes = keyed.groupBy(*strata, "_slot").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*strata).orderBy("_slot").rowsBetween(
-        Window.unboundedPreceding, -1
+    keyed = df.withColumns({"_digest": digest, "_group": _group_key(strata)}).withColumn(
+        "_slot", F.left("_digest", F.lit(digits))
     )
+    whole = Window.partitionBy("_group")
+    before = whole.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = keyed.groupBy("_group", "_slot").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
-        *strata,
+        "_group",
         "_slot",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy(*strata)).alias(f"{out}_of"),
+        F.sum("_n").over(whole).alias(f"{out}_of"),
     )
-    within = Window.partitionBy(*strata, "_slot").orderBy("_digest", key)
+    within = Window.partitionBy("_group", "_slot").orderBy("_digest", key)
     ranked = keyed.withColumn("_within", F.row_number().over(within))
-    joined = _join_on(ranked, offsets, [*strata, "_slot"])
+    joined = ranked.join(offsets, ["_group", "_slot"])
     return joined.withColumn(out, F.col("_before") + F.col("_within")).drop(
-        "_digest", "_slot", "_within", "_before"
+        "_digest", "_slot", "_within", "_before", "_group"
     )
 
 
@@ -75,7 +74,7 @@ def running_totals(
     bounds = df.agg(F.percentile_approx(value, F.lit(cuts), F.lit(10_000)).alias("b")).scalar()
     slot = F.size(F.filter("_bounds", lambda b: b < F.col(value)))
     spread = (
-        df.withColumn("_bounds", bounds)
+        df.withColumns({"_bounds": bounds, "_group": _group_key(groups)})
         .withColumn("_slot", F.coalesce(slot, F.lit(0)))
         .drop("_bounds")
     )
@@ -83,13 +82,13 @@ def running_totals(
     def order(column: str) -> Column:
         return F.desc(column) if descending else F.asc(column)
 
-    totals = spread.groupBy(*groups, "_slot").agg(
+    totals = spread.groupBy("_group", "_slot").agg(
         *(F.sum(m).alias(f"_t_{o}") for m, o in measures.items())
     )
-    whole = Window.partitionBy(*groups)
+    whole = Window.partitionBy("_group")
     before = whole.orderBy(order("_slot")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *groups,
+        "_group",
         "_slot",
         *(
             F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_b_{o}")
@@ -97,14 +96,14 @@ def running_totals(
         ),
         *(F.sum(f"_t_{o}").over(whole).alias(f"{o}_all") for o in measures.values()),
     )
-    within = Window.partitionBy(*groups, "_slot").orderBy(order(value)).rowsBetween(
+    within = Window.partitionBy("_group", "_slot").orderBy(order(value)).rowsBetween(
         Window.unboundedPreceding, 0
     )
     local = spread.withColumns({o: F.sum(m).over(within) for m, o in measures.items()})
-    joined = _join_on(local, offsets, [*groups, "_slot"])
+    joined = local.join(offsets, ["_group", "_slot"])
     return joined.withColumns(
         {o: F.col(o) + F.col(f"_b_{o}") for o in measures.values()}
-    ).drop("_slot", *(f"_b_{o}" for o in measures.values()))
+    ).drop("_slot", "_group", *(f"_b_{o}" for o in measures.values()))
 
 
 def quantiles(
