@@ -44,8 +44,8 @@ def with_text_quality(df: DataFrame, script: str = fv.CJK_CLASS) -> DataFrame:
         "title_ascii_ratio": X.ascii_ratio(F.col("title_clean")),
         "text_ascii_ratio": X.ascii_ratio(F.col("text_clean")),
         "combined_ascii_ratio": X.ascii_ratio(F.col("combined_text")),
-        "has_replacement_char": F.contains(F.col("title"), F.lit("�"))
-        | F.contains(F.col("text"), F.lit("�")),
+        "has_replacement_char": F.contains(F.col("title"), F.lit("\ufffd"))
+        | F.contains(F.col("text"), F.lit("\ufffd")),
     }
     return df.withColumns(flags).withColumns(
         {

@@ -13,6 +13,8 @@ from tastelens.operators import summaries as E
 from tastelens.plans.registry import FEATURES, HITS, LEX, TOKENS, query, r, with_, words
 from tastelens.sources.lexicons import builtin_table, lexicon_table
 from tastelens.sources.tables import Tables
+from tastelens.session import scratch_path
+from tastelens.streaming import reviews as streaming
 
 POLARITY = ", ".join(sentiment.polarity_columns())
 SHORT = list(fv.SHORT_EMOTIONS.values())
@@ -171,6 +173,24 @@ def _(t: Tables) -> DataFrame:
     return sentiment.list_hits(t.documents(), builtin_table(t.spark), "doc_id", "text")
 
 
+@query("stream_features", sql=with_(FEATURES) + f"SELECT review_id, {POLARITY} FROM feat")
+def _(t: Tables) -> DataFrame:
+    """The flagship on a stream of document files, run until all of them are read."""
+    path = scratch_path(t.spark, "stream")
+    arriving = streaming.read_stream(
+        t.spark, f"{t.folder}/documents*.parquet", t.read("documents").schema
+    )
+    lex = t.lexicons
+    scored = arriving.select(
+        F.col("doc_id").alias("review_id"),
+        L.lexicon_sentiment(
+            X.tokenize(F.col("text")), lex.positive, lex.negative, lex.negations
+        ).alias("s"),
+    ).select("review_id", "s.*")
+    streaming.write_stream(scored, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
+    return t.spark.read.schema(scored.schema).parquet(f"{path}/rows")
+
+
 # --- summaries -------------------------------------------------------------------------------------
 
 

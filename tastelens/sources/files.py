@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from tastelens import fixed_values as fv
 from tastelens import schemas
 from tastelens.functions.scalar import entity_id, first_present
 
-BYTE_ORDER_MARK = "﻿"
+ORIGIN = ("page_file", "page_split", "page_no", "position")
+BYTE_ORDER_MARK = "\ufeff"
 
 
 # --- CSV -------------------------------------------------------------------------------------
@@ -63,16 +64,36 @@ def write_csv(df: DataFrame, path: str, byte_order_mark: bool = False) -> None:
 # --- JSON ------------------------------------------------------------------------------------
 
 
-def read_result_pages(spark: SparkSession, path: str, item: StructType) -> DataFrame:
-    """Landed result pages, one row per entry of ``results``; a page without any gives none."""
-    page = StructType([StructField("results", ArrayType(item))])
-    return explode_results(spark.read.schema(page).json(path))
+def read_result_pages(
+    spark: SparkSession, path: str, item: StructType, carry: Mapping[str, DataType] | None = None
+) -> DataFrame:
+    """Landed result pages (JSON lines), one row per entry of ``results``.
+
+    A page without results gives no row. ``carry`` names page fields to keep. Each entry knows
+    where it came from, in the columns of ``ORIGIN``: file, split of the file, page within the
+    split (ids grow along a split), place in the page.
+    """
+    kept = [StructField(name, kind) for name, kind in (carry or {}).items()]
+    page = StructType([*kept, StructField("results", ArrayType(item))])
+    pages = spark.read.schema(page).json(path).select(
+        *(f.name for f in page.fields),
+        F.col("_metadata.file_path").alias("page_file"),
+        F.col("_metadata.file_block_start").alias("page_split"),
+        F.monotonically_increasing_id().alias("page_no"),
+    )
+    return pages.select(
+        *(f.name for f in kept), *ORIGIN[:-1], F.posexplode("results").alias("position", "item")
+    )
 
 
 def explode_results(pages: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return pages.select(*carry, F.explode("results").alias("item"))
 
 
+def _origin(items: DataFrame) -> list[str]:
+    return [c for c in ORIGIN if c in items.columns]
+
+
 def parse_json(text: Column, schema: StructType) -> Column:
     """Typed record from JSON text; a sub-object of the wrong kind becomes null."""
     return F.from_json(text, schema)
@@ -96,8 +117,9 @@ def flatten_restaurants(items: DataFrame, item: str = "item") -> DataFrame:
         **{c: at(f"coordinates.{c}") for c in ("latitude", "longitude")},
     }
     return items.select(
-        *(nested.get(c, at(c) if c not in nested else None).alias(c)
-          for c in schemas.RESTAURANTS.fieldNames())
+        *((nested[c] if c in nested else at(c)).alias(c)
+          for c in schemas.RESTAURANTS.fieldNames()),
+        *_origin(items),
     )
 
 
@@ -127,7 +149,8 @@ def flatten_reviews(items: DataFrame, item: str = "item") -> DataFrame:
         *(
             (nested[f.name] if f.name in nested else at(f.name)).cast(f.dataType).alias(f.name)
             for f in schemas.REVIEWS.fields
-        )
+        ),
+        *_origin(items),
     )
 
 
