@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastelens import fixed_values as fv
@@ -14,12 +14,14 @@ from tastelens.operators.metrics import per_class
 from tastelens.operators.ranking import hashed_row_number
 
 
-def shuffled(df: DataFrame, key: str, column: str, seed: str) -> DataFrame:
-    """``df`` with the values of one column dealt out anew: the row ranked n by one hash takes
-    the value of the row ranked n by another."""
-    takers = hashed_row_number(df.drop(column), [], key, f"{seed}-to", "_n").drop("_n_of")
-    givers = hashed_row_number(df.select(key, column), [], key, f"{seed}-from", "_n")
-    return takers.join(givers.select("_n", column), "_n").drop("_n").select(*df.columns)
+def with_shuffled(df: DataFrame, key: str, columns: Sequence[str], seed: str) -> DataFrame:
+    """``df`` with ``_new_<column>`` dealt out anew: the row ranked n by one hash takes the values
+    of the row ranked n by another."""
+    takers = hashed_row_number(df, [], key, f"{seed}-to", "_n").drop("_n_of")
+    givers = hashed_row_number(df.select(key, *columns), [], key, f"{seed}-from", "_n").select(
+        "_n", *(F.col(c).alias(f"_new_{c}") for c in columns)
+    )
+    return takers.join(givers, "_n").drop("_n")
 
 
 def permutation_importance(
@@ -33,22 +35,32 @@ def permutation_importance(
 ) -> DataFrame:
     """(feature, importance_mean, importance_std): drop in macro F1 when a column is shuffled.
 
-    All shuffled copies are scored by one pass of the model.
+    One reordering per repeat serves all columns, each of which is shuffled in a copy of its own;
+    all copies are scored by one pass of the model.
     """
-    def variant(data: DataFrame, feature: str, turn: int) -> DataFrame:
-        return data.withColumns({"_feature": F.lit(feature), "_turn": F.lit(turn)})
-
-    copies = variant(df, "", 0)
-    for column in columns:
-        for turn in range(repeats):
-            mixed = shuffled(df, key, column, f"{seed}-{column}-{turn}")
-            copies = copies.unionByName(variant(mixed, column, turn))
-    scored = model.transform(copies).withColumn("_actual", F.col(label).cast("double"))
+
+    def copies(turn: int) -> DataFrame:
+        mixed = with_shuffled(df, key, columns, f"{seed}-{turn}").withColumn(
+            "_feature", F.explode(F.lit(list(columns)))
+        )
+        replaced = {
+            c: F.when(F.col("_feature") == c, F.col(f"_new_{c}")).otherwise(F.col(c))
+            for c in columns
+        }
+        return mixed.withColumns({**replaced, "_turn": F.lit(turn)}).select(
+            *df.columns, "_feature", "_turn"
+        )
+
+    everything = df.withColumns({"_feature": F.lit(""), "_turn": F.lit(0)})
+    for turn in range(repeats):
+        everything = everything.unionByName(copies(turn))
+    scored = model.transform(everything).withColumn("_actual", F.col(label).cast("double"))
     f1 = per_class(scored, "_actual", "prediction", ["_feature", "_turn"]).groupBy(
         "_feature", "_turn"
     ).agg(F.avg("f1").alias("f1"))
-    base = f1.filter(F.col("_feature") == "").select("f1").scalar()
-    drop = f1.filter(F.col("_feature") != "").withColumn("drop", base - F.col("f1"))
+    # a row per (column, repeat), and the unshuffled row on every one of them
+    base = F.max(F.when(F.col("_feature") == "", F.col("f1"))).over(Window.partitionBy())
+    drop = f1.withColumn("drop", base - F.col("f1")).filter(F.col("_feature") != "")
     return drop.groupBy(F.col("_feature").alias("feature")).agg(
         half_even(F.avg("drop"), 6).alias("importance_mean"),
         half_even(F.stddev_pop("drop"), 6).alias("importance_std"),

@@ -177,12 +177,9 @@ def test_permutation_importance_finds_the_signal(spark, separable):
 
 
 def test_shuffled_keeps_the_values(spark, separable):
-    mixed = importance.shuffled(separable, "review_id", "noise", "s")
-    before = sorted(r.noise for r in separable.collect())
-    after = mixed.collect()
-    assert sorted(r.noise for r in after) == before
-    moved = {r.review_id: r.noise for r in after}
-    assert sum(moved[r.review_id] != r.noise for r in separable.collect()) > 300
+    mixed = importance.with_shuffled(separable, "review_id", ["noise"], "s").collect()
+    assert sorted(r._new_noise for r in mixed) == sorted(r.noise for r in mixed)
+    assert len(mixed) == 400 and sum(r._new_noise != r.noise for r in mixed) > 300
 
 
 def test_experiment_matrix():
