@@ -13,6 +13,7 @@ from tastelens import fixed_values as fv
 from tastelens import schemas
 from tastelens.operators import experiments, features, importance, learning, split
 from tastelens.plans import jobs
+from tastelens.session import cut
 from tastelens.sources.tables import PROSE_LEXICONS, Tables
 from tastelens.streaming import reviews as streaming
 
@@ -162,7 +163,7 @@ def test_train_job(spark, separable, tmp_path):
 
 
 def test_permutation_importance_finds_the_signal(spark, separable):
-    rows = split.stratified_split(separable, "review_id", "target_five_star")
+    rows = cut(split.stratified_split(separable, "review_id", "target_five_star"))
     train = features.with_class_weight(rows.filter("NOT is_test"), "target_five_star")
     model = Pipeline(stages=[
         learning.TableEncoder(["x", "noise"], []),
