@@ -11,11 +11,11 @@ from tastelens.functions import text as X
 from tastelens.operators.rows import compute_once
 
 RESTAURANT_RENAMES = {
-    "tripadvisor_entity_id": "restaurant_entity_id",
+    fv.PLACE_ID: "restaurant_entity_id",
     "name": "restaurant_name_from_restaurants",
 }
 RESTAURANT_KEPT = (
-    "tripadvisor_entity_id", "name", "price_range", "address", "latitude", "longitude",
+    fv.PLACE_ID, "name", "price_range", "address", "latitude", "longitude",
     "has_reservation", "featured_image", "phone",
 )
 

@@ -35,8 +35,8 @@ def reviews_per_restaurant(reviews: DataFrame, restaurants: DataFrame) -> DataFr
     """Review count per restaurant with its name and price range."""
     key = "restaurant_entity_id"
     counts = reviews.filter(F.col(key).isNotNull()).groupBy(key).agg(rows("review_count"))
-    info = restaurants.select("tripadvisor_entity_id", "name", "price_range")
-    return counts.join(info, counts[key] == info["tripadvisor_entity_id"], "left")
+    info = restaurants.select(fv.PLACE_ID, "name", "price_range")
+    return counts.join(info, counts[key] == info[fv.PLACE_ID], "left")
 
 
 def mean_by(

@@ -55,7 +55,7 @@ def ingest(
         return dedup.keep_first(df, key, [F.asc(c) for c in files.ORIGIN]).drop(*files.ORIGIN)
 
     places = files.read_result_pages(spark, restaurant_pages, schemas.RESTAURANT_ITEM)
-    restaurants = first(files.flatten_restaurants(places), "tripadvisor_entity_id", "link")
+    restaurants = first(files.flatten_restaurants(places), fv.PLACE_ID, "link")
     carry = {
         "restaurant_entity_id": schemas.LONG, "restaurant_name": schemas.TEXT,
         "restaurant_link": schemas.TEXT,

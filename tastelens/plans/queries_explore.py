@@ -165,8 +165,8 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "reviews_per_restaurant",
-    sql="""SELECT o_custkey AS restaurant_entity_id, count(*) AS review_count,
-                  c_custkey AS tripadvisor_entity_id, c_name AS name,
+    sql=f"""SELECT o_custkey AS restaurant_entity_id, count(*) AS review_count,
+                  c_custkey AS {fv.PLACE_ID}, c_name AS name,
                   nullif(c_mktsegment, 'FURNITURE') AS price_range
            FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY ALL""",
 )

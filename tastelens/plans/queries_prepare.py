@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from tastelens import fixed_values as fv
 from tastelens import schemas
 from tastelens.functions import scalar as S
 from tastelens.functions import text as X
@@ -53,7 +54,7 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "json_flatten",
-    sql="""SELECT event_id AS tripadvisor_entity_id, event_type AS name,
+    sql=f"""SELECT event_id AS {fv.PLACE_ID}, event_type AS name,
                   CAST(json_extract(props, '$.k') AS VARCHAR) AS city, value AS latitude,
                   user_id AS parent_location_id
            FROM events""",
@@ -63,18 +64,18 @@ def _(t: Tables) -> DataFrame:
     nested = t.read("events").select(
         F.to_json(
             F.struct(
-                F.col("event_id").alias("tripadvisor_entity_id"),
+                F.col("event_id").alias(fv.PLACE_ID),
                 F.concat(F.lit("/x-d"), "event_id", F.lit("-y")).alias("link"),
                 F.col("event_type").alias("name"),
                 F.struct(F.get_json_object("props", "$.k").alias("city")).alias("address"),
                 F.struct(F.col("value").alias("latitude")).alias("coordinates"),
-                F.struct(F.col("user_id").alias("tripadvisor_entity_id")).alias("parent_location"),
+                F.struct(F.col("user_id").alias(fv.PLACE_ID)).alias("parent_location"),
             )
         ).alias("json")
     )
     items = nested.select(files.parse_json(F.col("json"), schemas.RESTAURANT_ITEM).alias("item"))
     return files.flatten_restaurants(items).select(
-        "tripadvisor_entity_id", "name", "city", "latitude", "parent_location_id"
+        fv.PLACE_ID, "name", "city", "latitude", "parent_location_id"
     )
 
 

@@ -4,6 +4,8 @@ from pyspark.sql.types import (
     BooleanType, DataType, DoubleType, LongType, StringType, StructField, StructType,
 )
 
+from tastelens import fixed_values as fv
+
 LONG, DOUBLE, TEXT, FLAG = LongType(), DoubleType(), StringType(), BooleanType()
 
 
@@ -12,7 +14,7 @@ def record(**fields: DataType) -> StructType:
 
 
 RESTAURANTS = record(
-    tripadvisor_entity_id=LONG, name=TEXT, link=TEXT, rating=DOUBLE, reviews_count=LONG,
+    **{fv.PLACE_ID: LONG}, name=TEXT, link=TEXT, rating=DOUBLE, reviews_count=LONG,
     price_range=TEXT, phone=TEXT, is_open_now=FLAG, status_text=TEXT, address=TEXT, city=TEXT,
     postal_code=TEXT, country=TEXT, country_code=TEXT, latitude=DOUBLE, longitude=DOUBLE,
     parent_location_id=LONG, parent_location_name=TEXT, featured_image=TEXT,
@@ -29,11 +31,11 @@ REVIEWS = record(
 )
 
 RESTAURANT_ITEM = record(
-    tripadvisor_entity_id=LONG, name=TEXT, link=TEXT, rating=DOUBLE, reviews=LONG,
+    **{fv.PLACE_ID: LONG}, name=TEXT, link=TEXT, rating=DOUBLE, reviews=LONG,
     price_range=TEXT, phone=TEXT, is_open_now=FLAG, status_text=TEXT,
     address=record(address=TEXT, city=TEXT, postal_code=TEXT, country=TEXT, country_code=TEXT),
     coordinates=record(latitude=DOUBLE, longitude=DOUBLE),
-    parent_location=record(tripadvisor_entity_id=LONG, name=TEXT),
+    parent_location=record(**{fv.PLACE_ID: LONG}, name=TEXT),
     featured_image=TEXT, has_reservation=FLAG, has_delivery=FLAG, is_ad=FLAG,
 )
 
@@ -47,4 +49,4 @@ REVIEW_ITEM = record(
     ),
 )
 
-PLACE_ITEM = record(name=TEXT, place_type=TEXT, tripadvisor_entity_id=LONG)
+PLACE_ITEM = record(name=TEXT, place_type=TEXT, **{fv.PLACE_ID: LONG})

@@ -106,11 +106,11 @@ def flatten_restaurants(items: DataFrame, item: str = "item") -> DataFrame:
         return F.col(f"{item}.{path}")
 
     nested = {
-        "tripadvisor_entity_id": first_present(
-            at("tripadvisor_entity_id"), entity_id(at("link"))
+        fv.PLACE_ID: first_present(
+            at(fv.PLACE_ID), entity_id(at("link"))
         ),
         "reviews_count": at("reviews"),
-        "parent_location_id": at("parent_location.tripadvisor_entity_id"),
+        "parent_location_id": at(f"parent_location.{fv.PLACE_ID}"),
         "parent_location_name": at("parent_location.name"),
         **{c: at(f"address.{c}") for c in
            ("address", "city", "postal_code", "country", "country_code")},

@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tastelens import fixed_values as fv
 from tastelens.functions.text import tokenize
 from tastelens.operators import prepare, sentiment
 from tastelens.functions import lexicon as L
@@ -66,7 +67,7 @@ class Tables:
 
     def customer_places(self) -> DataFrame:
         return self.read("customer").select(
-            F.col("c_custkey").alias("tripadvisor_entity_id"),
+            F.col("c_custkey").alias(fv.PLACE_ID),
             F.col("c_name").alias("name"),
             F.nullif(F.col("c_mktsegment"), F.lit("FURNITURE")).alias("price_range"),
             F.col("c_nationkey").cast("string").alias("address"),
@@ -129,7 +130,7 @@ class Tables:
 
     def supplier_places(self) -> DataFrame:
         return self.read("supplier").select(
-            F.col("s_suppkey").alias("tripadvisor_entity_id"),
+            F.col("s_suppkey").alias(fv.PLACE_ID),
             F.col("s_name").alias("name"),
             F.when(F.col("s_suppkey") % 4 == 0, "$")
             .when(F.col("s_suppkey") % 4 == 1, "$$ - $$$")

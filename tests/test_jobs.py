@@ -30,9 +30,9 @@ def prepared(spark, folder, tmp_path_factory):
 
 
 def test_ingest_keeps_first_arrivals(spark, tmp_path):
-    places = [{"results": [{"tripadvisor_entity_id": 1, "name": "first"},
-                           {"tripadvisor_entity_id": 2, "name": "b"}]},
-              {"results": [{"tripadvisor_entity_id": 1, "name": "again"}, {"name": "no key"}]}]
+    places = [{"results": [{fv.PLACE_ID: 1, "name": "first"},
+                           {fv.PLACE_ID: 2, "name": "b"}]},
+              {"results": [{fv.PLACE_ID: 1, "name": "again"}, {"name": "no key"}]}]
     (tmp_path / "places.json").write_text("\n".join(map(json.dumps, places)))
     entry = {"review_id": 5, "text": "one", "trip": {"trip_type": "SOLO"},
              "reviewer": {"reviewer_id": "u", "hometown": {"location_name_detailed": "x"}}}

@@ -48,16 +48,16 @@ def test_csv_null_spellings_and_bad_values(spark, tmp_path):
 
 
 def test_json_pages(spark, tmp_path):
-    good = {"tripadvisor_entity_id": 7, "name": "A", "address": {"city": "HK"}, "reviews": 3,
-            "coordinates": {"latitude": 1.5}, "parent_location": {"tripadvisor_entity_id": 9}}
-    linked = {"tripadvisor_entity_id": 0, "link": "/x-d55-y", "address": "not a record"}
+    good = {fv.PLACE_ID: 7, "name": "A", "address": {"city": "HK"}, "reviews": 3,
+            "coordinates": {"latitude": 1.5}, "parent_location": {fv.PLACE_ID: 9}}
+    linked = {fv.PLACE_ID: 0, "link": "/x-d55-y", "address": "not a record"}
     pages = [{"results": [good, linked]}, {"other": 1}, {"results": []}]
     path = tmp_path / "p.json"
     path.write_text("\n".join(json.dumps(p) for p in pages))
     items = files.read_result_pages(spark, str(path), schemas.RESTAURANT_ITEM)
     flat = files.flatten_restaurants(items).drop(*files.ORIGIN)
     assert flat.columns == schemas.RESTAURANTS.fieldNames()
-    got = {r.tripadvisor_entity_id: r for r in flat.collect()}
+    got = {r[fv.PLACE_ID]: r for r in flat.collect()}
     assert set(got) == {7, 55}
     assert (got[7].city, got[7].latitude, got[7].parent_location_id, got[7].reviews_count) == (
         "HK", 1.5, 9, 3,
@@ -140,7 +140,7 @@ def test_modelling_table(spark):
     ]
     places = spark.createDataFrame(
         [(1, "A", "$"), (1, "A again", "$$$$"), (None, "no id", "$")],
-        "tripadvisor_entity_id bigint, name string, price_range string",
+        f"{fv.PLACE_ID} bigint, name string, price_range string",
     )
     for c in prepare.RESTAURANT_KEPT:
         if c not in places.columns:
@@ -210,7 +210,7 @@ def test_top_per_key_cuts_before_the_shuffle(spark):
 @pytest.mark.parametrize(
     "places, expected",
     [
-        ([(0, "Kowloon", "CITY", 5), (3, "Hong Kong", "city", 7)], 7),
+        ([(0, "Kowloon", "CITY", 5), (3, "Big Hong Kong", "city", 7)], 7),
         ([(0, "x", "y", 0), (1, "Hong Kong Bar", "RESTAURANT", 5)], 5),
         ([], 294217),
     ],
