@@ -6,6 +6,7 @@ literal go through :mod:`tastelens.operators.sentiment`, which joins instead.
 
 from __future__ import annotations
 
+import string
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 
@@ -16,7 +17,6 @@ from tastelens import fixed_values as fv
 from tastelens.functions.scalar import half_even, safe_div
 from tastelens.functions.text import bind
 
-PUNCTUATION = r"[!-/:-@\[-`{-~]"
 
 
 def _count(items: Column, test) -> Column:
@@ -152,7 +152,7 @@ def valence_words(text: Column) -> Column:
     """White-space words without outer punctuation; very short ones (``:)``) stay as they are."""
 
     def strip_punctuation(word: Column) -> Column:
-        bare = F.regexp_replace(word, f"^{PUNCTUATION}+|{PUNCTUATION}+$", "")
+        bare = F.trim(word, F.lit(string.punctuation))
         return F.when(F.length(bare) <= 2, word).otherwise(bare)
 
     return F.transform(F.filter(F.split(text, r"\s+"), lambda w: w != ""), strip_punctuation)
@@ -169,10 +169,6 @@ def _lookup(word: Column, table: Mapping[str, float]) -> Column:
     return F.when(word.isin(list(table)), found)
 
 
-def _shouted(word: Column) -> Column:
-    return (word == F.upper(word)) & (word != F.lower(word))
-
-
 def _sign(value: Column) -> Column:
     return F.when(value < 0, -1.0).otherwise(1.0)
 
@@ -205,25 +201,27 @@ def valence_profile(
     strengthen = {w: fv.BOOST for w in boosters} | {w: -fv.BOOST for w in dampeners}
 
     def scored(ctx: Column) -> Column:
-        words, lower, mixed_case = ctx.words, ctx.lower, ctx.mixed_case
-        # transform the words to (word, valence or null) once; look-back steps read it
+        lower = ctx.lower
         valences = F.transform(lower, lambda w: _lookup(w, table))
 
+        def item_back(items: Column, position: Column, back: Column) -> Column:
+            """Item ``back`` places before a 0-based position, null before the first."""
+            return F.get(items, F.when(position >= back, position - back))
+
         def word_back(position: Column, back: Column) -> Column:
-            """Lower-cased word ``back`` places before, null before the first."""
-            return F.try_element_at(
-                lower, F.when(position - back >= 0, (position - back + 1).cast("int"))
+            return item_back(lower, position, back)
+
+        def emphasised(position: Column, back: Column) -> Column:
+            """A word in capitals in a text that is not all capitals."""
+            return ctx.mixed_case & F.coalesce(
+                item_back(ctx.loud, position, back), F.lit(False)
             )
 
         def look_back(position: Column):
             def step(value: Column, back: Column) -> Column:
                 previous = word_back(position, back)
-                loud = F.try_element_at(
-                    words, F.when(position - back >= 0, (position - back + 1).cast("int"))
-                )
-                push = _lookup(previous, strengthen)
-                push = push * _sign(value) + F.when(
-                    mixed_case & _shouted(loud), fv.CAPS_BOOST * _sign(value)
+                push = _lookup(previous, strengthen) * _sign(value) + F.when(
+                    emphasised(position, back), fv.CAPS_BOOST * _sign(value)
                 ).otherwise(0.0)
                 damping = F.element_at(F.lit(list(fv.LOOKBACK_DAMPING)), back)
                 pushed = value + F.coalesce(push, F.lit(0.0)) * damping
@@ -252,9 +250,8 @@ def valence_profile(
             return step
 
         def word_score(valence: Column, position: Column) -> Column:
-            word = F.element_at(words, (position + 1).cast("int"))
             raised = valence + F.when(
-                mixed_case & _shouted(word), fv.CAPS_BOOST * _sign(valence)
+                emphasised(position, F.lit(0)), fv.CAPS_BOOST * _sign(valence)
             ).otherwise(0.0)
             value = F.aggregate(
                 F.array(F.lit(1), F.lit(2), F.lit(3)), raised, look_back(position)
@@ -271,23 +268,29 @@ def valence_profile(
                 .when(position > ctx.but_at, fv.BUT_AFTER)
                 .otherwise(1.0)
             )
-            boosted_word = F.element_at(lower, (position + 1).cast("int")).isin(list(strengthen))
-            return F.when(valence.isNull() | boosted_word, 0.0).otherwise(value * around_but)
+            booster = word_back(position, F.lit(0)).isin(list(strengthen))
+            return F.when(valence.isNull() | booster, 0.0).otherwise(value * around_but)
 
         return F.transform(valences, word_score)
 
     def context(words: Column) -> Column:
-        def described(lower: Column) -> Column:
+        cased = F.struct(
+            F.transform(words, lambda w: F.lower(w)).alias("lower"),
+            # most words are lower case already and are not compared any further
+            F.transform(words, lambda w: (w != F.lower(w)) & (w == F.upper(w))).alias("loud"),
+        )
+
+        def described(c: Column) -> Column:
             return F.struct(
-                words.alias("words"),
-                lower.alias("lower"),
-                (
-                    F.exists(words, _shouted) & F.exists(words, lambda w: ~_shouted(w))
-                ).alias("mixed_case"),
-                (F.array_position(lower, F.lit("but")) - 1).alias("but_at"),
+                c.lower.alias("lower"),
+                c.loud.alias("loud"),
+                (F.exists(c.loud, lambda x: x) & F.exists(c.loud, lambda x: ~x)).alias(
+                    "mixed_case"
+                ),
+                (F.array_position(c.lower, F.lit("but")) - 1).alias("but_at"),
             )
 
-        return bind(F.transform(words, lambda w: F.lower(w)), described)
+        return bind(cased, described)
 
     exclamations = F.length(text) - F.length(F.replace(text, F.lit("!"), F.lit("")))
     questions = F.length(text) - F.length(F.replace(text, F.lit("?"), F.lit("")))

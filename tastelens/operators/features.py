@@ -128,7 +128,7 @@ def term_counts(df: DataFrame, text: str, n_max: int, pattern: str = WORD_PATTER
     The terms of a text are sorted in the row, so the first of equal neighbours marks the
     document and both counts are plain sums that combine before the shuffle.
     """
-    ordered = df.select(F.array_sort(terms(F.col(text), n_max, pattern)).alias("t"))
+    ordered = df.select(F.sort_array(terms(F.col(text), n_max, pattern)).alias("t"))
     marked = ordered.select(
         F.explode(
             F.arrays_zip(
