@@ -177,12 +177,12 @@ def tfidf(
 ) -> DataFrame:
     """(key, term, term_id, weight): tf * (ln((1+N)/(1+df)) + 1), unit length per document.
 
-    The vocabulary has at most ``max_features`` rows, so it is broadcast, and terms outside it
-    are gone before anything is shuffled.
+    The vocabulary is limited to ``max_features`` rows. The planner knows that limit, broadcasts
+    the vocabulary while it fits, and terms outside it are gone before anything is shuffled.
     """
     n = documents if isinstance(documents, Column) else F.lit(documents)
     idf = F.log((n + 1) / (F.col("doc_freq") + 1)) + 1
-    known = F.broadcast(vocab.select("term", "term_id", idf.alias("idf")))
+    known = vocab.select("term", "term_id", idf.alias("idf"))
     counted = (
         ngrams(df, key, text, n_max, pattern)
         .join(known, "term")

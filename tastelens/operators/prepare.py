@@ -186,6 +186,10 @@ def request_filter(
     return reviews
 
 
+def rated_at_least(restaurants: DataFrame, min_rating: float) -> DataFrame:
+    return restaurants.filter(F.col("rating") >= min_rating)
+
+
 def sorted_reviews(reviews: DataFrame, by: str = "most_recent") -> DataFrame:
     """``most_recent`` by date, ``detailed_reviews`` by text length; ids break ties."""
     first = {

@@ -12,7 +12,7 @@ from tastelens.functions import lexicon as L
 from tastelens.functions.scalar import half_even, safe_div
 from tastelens.functions.text import bind, tokenize
 from tastelens.operators.rows import compute_once
-from tastelens.sources.lexicons import Lexicons
+from tastelens.sources.lexicons import Lexicons, is_inline
 
 
 def with_text_features(
@@ -89,6 +89,23 @@ def score_by_join(
     )
 
 
+def score_any_size(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
+    """Lexicon sentiment with the lexicon as a table: compiled into the expression after its size
+    is checked, joined when it is larger than that."""
+    if not is_inline(lexicon):
+        return score_by_join(df, lexicon, key, text)
+    known = lexicon.collect()
+
+    def listed(flag: str) -> list[str]:
+        return [r["word"] for r in known if r[flag]]
+
+    score = L.lexicon_sentiment(
+        tokenize(F.coalesce(F.col(text), F.lit(""))),
+        listed("is_pos"), listed("is_neg"), listed("is_negation"),
+    )
+    return df.select(key, score.alias("s")).select(key, "s.*")
+
+
 def emotions_by_join(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
     """Emotion counts and ratios for lexicons of any size; ``lexicon`` has word, emotions."""
     short = list(fv.SHORT_EMOTIONS.items())

@@ -27,7 +27,8 @@ def full_counts(df: DataFrame, column: str, classes: Sequence[str], zero: bool)
     fixed = spark.createDataFrame(
         [(i, c) for i, c in enumerate(classes)], f"position int, {column} string"
     )
-    counted = fixed.join(value_counts(df, column), column, "left")
+    wanted = df.filter(F.col(column).isin(list(classes)))
+    counted = fixed.join(value_counts(wanted, column), column, "left")
     return counted.withColumn("count", F.coalesce("count", F.lit(0))) if zero else counted
 
 

@@ -170,13 +170,48 @@ def _model_rows(t: Tables) -> DataFrame:
     )
 
 
-@query("assemble_features")
+_ONE_HOTS = {
+    "trip_type": ("F", "O", "Unknown"),
+    "price_range": ("AUTOMOBILE", "BUILDING", "HOUSEHOLD", "MACHINERY", "Unknown"),
+    "has_reservation": ("False", "True"),
+}
+
+
+def _scaled(column: str) -> str:
+    return r(f"({column} - avg({column}) OVER ()) / stddev_pop({column}) OVER ()", 5)
+
+
+@query(
+    "assemble_features",
+    sql="""WITH x AS (
+      SELECT o_orderkey AS review_id, floor(o_totalprice / 1000) AS like_count,
+             CASE WHEN o_orderstatus = 'F' THEN NULL ELSE c_acctbal END AS latitude,
+             c_nationkey AS longitude, year(o_orderdate) AS review_year,
+             CASE o_orderstatus WHEN 'P' THEN 'Unknown' ELSE o_orderstatus END AS trip_type,
+             CASE c_mktsegment WHEN 'FURNITURE' THEN 'Unknown' ELSE c_mktsegment END AS price_range,
+             CASE WHEN c_acctbal > 0 THEN 'True' ELSE 'False' END AS has_reservation
+      FROM orders LEFT JOIN customer ON o_custkey = c_custkey),
+    y AS (SELECT * REPLACE (coalesce(latitude, (SELECT median(latitude) FROM x)) AS latitude) FROM x)
+    SELECT review_id, """
+    + ", ".join(f"{_scaled(c)} AS {c}" for c in META_NUMERIC) + ", "
+    + ", ".join(
+        f"CAST(CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS DOUBLE) AS {c}_{v}"
+        for c, values in _ONE_HOTS.items() for v in values
+    ) + " FROM y",
+)
 def _(t: Tables) -> DataFrame:
-    """Imputed, scaled and one-hot columns as one vector."""
-    rows = _model_rows(t)
+    """Imputed, scaled and one-hot columns as one vector, unpacked again for comparison."""
+    rows = _model_rows(t).withColumn(
+        "latitude", F.when(F.col("trip_type") != "F", F.col("latitude"))
+    )
     encoder = learning.TableEncoder(META_NUMERIC, META_CATEGORICAL, "features").fit(rows)
-    return encoder.transform(rows).select(
-        "review_id", vector_to_array("features").alias("features")
+    vectors = encoder.transform(rows).select("review_id", vector_to_array("features").alias("f"))
+    return vectors.select(
+        "review_id",
+        *(
+            S.half_even(F.col("f")[i], 5).alias(name.replace("=", "_"))
+            for i, name in enumerate(encoder.names())
+        ),
     )
 
 

@@ -349,7 +349,8 @@ def _(t: Tables) -> DataFrame:
       AND lower(trip_type) = 'en' AND contains(lower(text), 'the')
     UNION ALL SELECT o_orderkey, '' FROM orders
     WHERE left(o_orderpriority, 1) = '3' AND o_orderdate >= TIMESTAMP '1999-01-01'
-      AND lower(o_orderstatus) = 'o'""",
+      AND lower(o_orderstatus) = 'o'
+    UNION ALL SELECT s_suppkey, 'place' FROM supplier WHERE s_acctbal >= 4500""",
 )
 def _(t: Tables) -> DataFrame:
     docs = prepare.request_filter(
@@ -359,7 +360,11 @@ def _(t: Tables) -> DataFrame:
     orders = prepare.request_filter(
         t.order_reviews(), rating_is=3, since="1999-01-01", traveler_type="O"
     ).select("review_id", F.lit("").alias("published_at_date"))
-    return docs.unionByName(orders)
+    places = t.read("supplier").withColumn("rating", F.col("s_acctbal"))
+    rated = prepare.rated_at_least(places, 4500).select(
+        F.col("s_suppkey").alias("review_id"), F.lit("place").alias("published_at_date")
+    )
+    return docs.unionByName(orders).unionByName(rated)
 
 
 @query(

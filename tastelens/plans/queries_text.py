@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,9 +13,9 @@ from tastelens.functions import text as X
 from tastelens.operators import sentiment
 from tastelens.operators import summaries as E
 from tastelens.plans.registry import FEATURES, HITS, LEX, TOKENS, query, r, with_, words
+from tastelens.session import scratch_path
 from tastelens.sources.lexicons import builtin_table, lexicon_table
 from tastelens.sources.tables import Tables
-from tastelens.session import scratch_path
 from tastelens.streaming import reviews as streaming
 
 POLARITY = ", ".join(sentiment.polarity_columns())
@@ -91,9 +93,93 @@ def _(t: Tables) -> DataFrame:
     return sentiment.with_text_features(docs, t.lexicons, "text", valence=False).drop("text")
 
 
-@query("valence_features")
+_TABLE_WORDS = words(LEX.valence)
+_VALENCE_OF = (
+    "CASE low " + " ".join(f"WHEN '{w}' THEN CAST({v} AS DOUBLE)" for w, v in LEX.valence.items())
+    + " END"
+)
+_PUNCTUATION = string.punctuation.replace("'", "''")
+
+
+def _look_back(source: str, back: int, damping: float) -> str:
+    """SQL for one step of looking ``back`` words behind a scored word."""
+    push = (
+        f"CASE WHEN low{back} IN {words(LEX.intensifiers)} THEN 0.293 "
+        f"WHEN low{back} IN {words(fv.DAMPENERS)} THEN -0.293 END"
+    )
+    between = [f"low{b}" for b in range(1, back)]
+    so = " OR ".join(f"coalesce({b} IN ('so', 'this'), false)" for b in between) or "false"
+    doubt = " OR ".join(f"coalesce({b} = 'doubt', false)" for b in between) or "false"
+    sign = "CASE WHEN v < 0 THEN -1 ELSE 1 END"
+    return f"""
+    step{back}a AS (
+      SELECT *, v + coalesce({push} * ({sign})
+               + CASE WHEN mixed AND loud{back} THEN 0.733 * ({sign}) ELSE 0 END, 0) * {damping}
+               AS pushed,
+             low{back} IS NOT NULL AND low{back} NOT IN {_TABLE_WORDS} AS plain FROM {source}),
+    step{back} AS (
+      SELECT * EXCLUDE (v, pushed, plain),
+             CASE WHEN NOT plain THEN v
+                  WHEN low{back} = 'never' AND ({so}) THEN pushed * 1.25
+                  WHEN low{back} = 'without' AND ({doubt}) THEN pushed
+                  WHEN low{back} IN {words(LEX.negations)} OR low{back} LIKE '%n''t'
+                    THEN pushed * -0.74
+                  ELSE pushed END AS v
+      FROM step{back}a)"""
+
+
+VALENCE_SQL = f"""
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(text, '\s+'), lambda w: w <> '') AS ws
+  FROM documents),
+word AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM split),
+cut AS (SELECT doc_id, pos, CASE WHEN length(trim(w, '{_PUNCTUATION}')) <= 2 THEN w
+                                 ELSE trim(w, '{_PUNCTUATION}') END AS w FROM word),
+cased AS (SELECT *, lower(w) AS low, w = upper(w) AND w <> lower(w) AS loud FROM cut),
+seen AS (
+  SELECT *, {", ".join(f"lag(low, {b}) OVER d AS low{b}, lag(loud, {b}) OVER d AS loud{b}" for b in (1, 2, 3))},
+         bool_or(loud) OVER (PARTITION BY doc_id) AND bool_or(NOT loud) OVER (PARTITION BY doc_id)
+           AS mixed,
+         min(CASE WHEN low = 'but' THEN pos END) OVER (PARTITION BY doc_id) AS but_at
+  FROM cased WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+step0 AS (
+  SELECT *, {_VALENCE_OF} + CASE WHEN mixed AND loud
+              THEN 0.733 * CASE WHEN {_VALENCE_OF} < 0 THEN -1 ELSE 1 END ELSE 0 END AS v
+  FROM seen),
+{_look_back("step0", 1, 1.0)},{_look_back("step1", 2, 0.95)},{_look_back("step2", 3, 0.9)},
+scored AS (
+  SELECT doc_id, CASE WHEN v IS NULL OR low IN {words([*LEX.intensifiers, *fv.DAMPENERS])} THEN 0
+         ELSE v * CASE WHEN low1 = 'least' AND coalesce(low2, '') NOT IN ('at', 'very') THEN -0.74
+                       ELSE 1 END
+                * CASE WHEN but_at IS NULL OR pos = but_at THEN 1 WHEN pos < but_at THEN 0.5
+                       ELSE 1.5 END END AS s
+  FROM step3),
+marks AS (
+  SELECT doc_id, least(length(text) - length(replace(text, '!', '')), 4) * 0.292
+           + CASE WHEN length(text) - length(replace(text, '?', '')) > 3 THEN 0.96
+                  WHEN length(text) - length(replace(text, '?', '')) > 1
+                    THEN (length(text) - length(replace(text, '?', ''))) * 0.18
+                  ELSE 0 END AS mark FROM documents),
+sums AS (
+  SELECT doc_id, any_value(mark) AS mark, coalesce(sum(s), 0) AS total, count(s) AS n,
+         coalesce(sum(s + 1) FILTER (s > 0), 0) AS up, coalesce(sum(1 - s) FILTER (s < 0), 0) AS down,
+         count(*) FILTER (s = 0) AS flat
+  FROM marks LEFT JOIN scored USING (doc_id) GROUP BY doc_id),
+raised AS (
+  SELECT doc_id, n, total + CASE WHEN total > 0 THEN mark WHEN total < 0 THEN -mark ELSE 0 END AS t,
+         up + CASE WHEN up > down THEN mark ELSE 0 END AS up,
+         down + CASE WHEN down > up THEN mark ELSE 0 END AS down, flat FROM sums)
+SELECT doc_id AS review_id,
+       {r("CASE WHEN n = 0 THEN 0 ELSE t / sqrt(t * t + 15) END", 4)} AS vader_compound,
+       {r("CASE WHEN n = 0 THEN 0 ELSE down / (up + down + flat) END", 3)} AS vader_neg,
+       {r("CASE WHEN n = 0 THEN 0 ELSE flat / (up + down + flat) END", 3)} AS vader_neu,
+       {r("CASE WHEN n = 0 THEN 0 ELSE up / (up + down + flat) END", 3)} AS vader_pos
+FROM raised"""
+
+
+@query("valence_features", sql=VALENCE_SQL)
 def _(t: Tables) -> DataFrame:
-    """The full valence rules; checked against brute force in the tests."""
+    """The full valence rules."""
     lex = t.lexicons
     scored = t.documents().select(
         F.col("doc_id").alias("review_id"),

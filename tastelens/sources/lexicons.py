@@ -95,7 +95,7 @@ def is_inline(lexicon: DataFrame) -> bool:
 def _checked(lexicon: DataFrame) -> list:
     rows = lexicon.limit(MAX_INLINE_WORDS + 1).collect()
     if len(rows) > MAX_INLINE_WORDS:
-        raise ValueError("lexicon too large to inline; join it with score_by_join instead")
+        raise ValueError("lexicon too large to inline; use the joined form on its table")
     return rows
 
 

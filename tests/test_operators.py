@@ -323,13 +323,18 @@ def test_tfidf_like_the_formula(spark):
     assert got[(2, "good")] == pytest.approx(1.0)
 
 
-def test_large_lexicon_path_gives_the_same(spark, folder):
+def test_large_lexicon_path_gives_the_same(spark, folder, monkeypatch):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     lex = lexicons.Lexicons(positive=["the", "it", "is"], negative=["was", "it"], negations=["of", "and"])
     joined = sentiment.score_by_join(docs, lexicons.lexicon_table(spark, lex), "doc_id", "text")
     inline = sentiment.with_text_features(docs, lex, "text", valence=False)
     columns = ["doc_id", *sentiment.polarity_columns()]
     assert rows(joined.select(*columns)) == rows(inline.select(*columns))
+    table = lexicons.lexicon_table(spark, lex)
+    assert rows(sentiment.score_any_size(docs, table, "doc_id", "text")) == rows(joined)
+    monkeypatch.setattr(lexicons, "MAX_INLINE_WORDS", 2)
+    assert not lexicons.is_inline(table)
+    assert rows(sentiment.score_any_size(docs, table, "doc_id", "text")) == rows(joined)
 
 
 # --- splits, metrics, neighbours -----------------------------------------------------------------------
