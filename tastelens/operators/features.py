@@ -67,6 +67,31 @@ def categories_of(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> li
     return values
 
 
+def category_counts(
+    df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES
+) -> dict[str, dict[str, int]]:
+    """Rows per value of several categorical columns, from one aggregate and with the same
+    refusal of columns that are no categories."""
+    if not columns:
+        return {}
+    texts = df.select(*(F.col(c).cast("string").alias(c) for c in columns))
+    counts = (
+        texts.unpivot([], list(columns), "name", "value")
+        .filter(F.col("value").isNotNull())
+        .groupBy("name", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .limit(limit * len(columns) + 1)
+        .collect()
+    )
+    found: dict[str, dict[str, int]] = {c: {} for c in columns}
+    for row in counts:
+        found[row["name"]][row["value"]] = row["n"]
+    for name, values in found.items():
+        if len(values) > limit:
+            raise ValueError(f"{name} has more than {limit} distinct values")
+    return found
+
+
 def one_hot(df: DataFrame, column: str, categories: Sequence[str]) -> DataFrame:
     """0/1 column per category; unknown and missing values give zeros everywhere."""
     return df.withColumns(

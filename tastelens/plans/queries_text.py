@@ -389,10 +389,10 @@ def _melted(keys: str, columns, labels, name: str, value: str, label: str, digit
 @query(
     "melt_sentiment",
     sql=with_(FEATURES)
-    + _melted("rating", fv.METRIC_LABELS, fv.METRIC_LABELS, "metric", "score", "metric_label", 9),
+    + _melted("rating", fv.METRIC_LABELS, fv.METRIC_LABELS, "metric", "score", "metric_label", 12),
 )
 def _(t: Tables) -> DataFrame:
-    wide = E.mean_by(t.sentiments(), "rating", list(fv.METRIC_LABELS), digits=9)
+    wide = E.mean_by(t.sentiments(), "rating", list(fv.METRIC_LABELS), digits=12)
     return E.melt(
         wide, ["rating"], list(fv.METRIC_LABELS), "metric", "score", fv.METRIC_LABELS,
         "metric_label",
