@@ -55,12 +55,13 @@ def tokens_by_row(df: DataFrame, key: str, text: str) -> DataFrame:
 def match_tokens(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
     """Tokens found in the lexicon, with the lexicon columns.
 
-    The planner broadcasts the lexicon while it is small. Only matches survive, so whatever is
-    shuffled later is the hits and not the text.
+    The lexicon is broadcast after its size is checked, otherwise tokens and words are merged and
+    hot tokens split by AQE. Only matches survive, so whatever is shuffled later is the hits and
+    not the text.
     """
-    return tokens_by_row(df, key, text).join(
-        lexicon.withColumnRenamed("word", "token"), "token", "inner"
-    )
+    words = lexicon.withColumnRenamed("word", "token")
+    side = F.broadcast(words) if is_inline(lexicon) else words
+    return tokens_by_row(df, key, text).join(side, "token", "inner")
 
 
 def score_by_join(
@@ -71,9 +72,12 @@ def score_by_join(
     ``lexicon`` has word, is_pos, is_neg, is_negation. Gives the rows of the in-row form.
     """
     hits = match_tokens(df, lexicon, key, text)
-    back = Window.partitionBy(key).orderBy("position").rangeBetween(-window, -1)
-    negated = F.coalesce(F.max(F.col("is_negation").cast("int")).over(back), F.lit(0)) == 1
-    scored = hits.withColumn("negated", negated).filter("is_pos OR is_neg")
+    earlier = Window.partitionBy(key).orderBy("position").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    last_negation = F.max(F.when(F.col("is_negation"), F.col("position"))).over(earlier)
+    near = F.coalesce(F.col("position") - last_negation <= window, F.lit(False))
+    scored = hits.withColumn("negated", near).filter("is_pos OR is_neg")
     counts = scored.groupBy(key).agg(
         F.count_if(F.when(F.col("negated"), F.col("is_neg")).otherwise(F.col("is_pos"))).alias(
             "up"

@@ -141,13 +141,16 @@ def correlations(
 ) -> DataFrame:
     """Pearson correlation of every target with every feature, one row per target.
 
-    One pass; a pair counts where both values are present; a constant column gives null.
+    One pass; a pair counts where both values are present; a constant column gives null. Columns
+    that cannot be missing need no masking per pair and share their deviations.
     """
+    may_miss = {f.name: f.nullable for f in df.schema.fields}
 
     def pearson(a: str, b: str) -> Column:
         x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        x, y = F.when(both, x), F.when(both, y)
+        if may_miss[a] or may_miss[b]:
+            both = x.isNotNull() & y.isNotNull()
+            x, y = F.when(both, x), F.when(both, y)
         spread = F.stddev_pop(x) * F.stddev_pop(y)
         ratio = F.try_divide(F.covar_pop(x, y), spread)
         return F.when(spread > 1e-14, half_even(ratio, digits))

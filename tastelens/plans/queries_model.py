@@ -12,6 +12,7 @@ from tastelens.functions import scalar as S
 from tastelens.operators import experiments as X
 from tastelens.operators import features as G
 from tastelens.operators import importance, learning, metrics, neighbours, split
+from tastelens.operators.rows import compute_once
 from tastelens.plans.registry import META, SCORED, query, r, with_
 from tastelens.session import cut
 from tastelens.sources.tables import Tables
@@ -110,7 +111,8 @@ vocab AS (SELECT *, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS te
 )
 def _(t: Tables) -> DataFrame:
     """Words and pairs of every document, summarised in the row."""
-    terms = t.documents().select("doc_id", G.terms(F.col("text"), 2, ASCII_WORDS).alias("w"))
+    docs = t.documents().select("doc_id", "text")
+    terms = compute_once(docs, {"w": G.terms(F.col("text"), 2, ASCII_WORDS)})
     return terms.filter(F.size("w") > 0).select(
         "doc_id",
         F.size("w").cast("bigint").alias("terms"),

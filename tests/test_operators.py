@@ -331,6 +331,8 @@ def test_large_lexicon_path_gives_the_same(spark, folder, monkeypatch):
     columns = ["doc_id", *sentiment.polarity_columns()]
     assert rows(joined.select(*columns)) == rows(inline.select(*columns))
     table = lexicons.lexicon_table(spark, lex)
+    matched = sentiment.match_tokens(docs, table, "doc_id", "text")
+    assert "BuildRight" in matched._jdf.queryExecution().executedPlan().toString()
     assert rows(sentiment.score_any_size(docs, table, "doc_id", "text")) == rows(joined)
     monkeypatch.setattr(lexicons, "MAX_INLINE_WORDS", 2)
     assert not lexicons.is_inline(table)
