@@ -130,7 +130,7 @@ def _look_back(source: str, back: int, damping: float) -> str:
 
 VALENCE_SQL = f"""
 WITH split AS (
-  SELECT doc_id, list_filter(string_split_regex(text, '\s+'), lambda w: w <> '') AS ws
+  SELECT doc_id, list_filter(string_split_regex(text, '\\s+'), lambda w: w <> '') AS ws
   FROM documents),
 word AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM split),
 cut AS (SELECT doc_id, pos, CASE WHEN length(trim(w, '{_PUNCTUATION}')) <= 2 THEN w
