@@ -2,28 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_ROOTS: dict[str, str] = {}
-
 
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    A private temporary folder is made only for a local master that names none.
+    Where that is unset, a folder in the session's warehouse, which executors share as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="tastelens-")
-    return _LOCAL_ROOTS[context.applicationId]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -38,9 +30,18 @@ def cut(df):
     return df.checkpoint(eager=True)
 
 
-def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cpus: int | str = "*",
+    partitions: int = 8,
+    memory: str = "8g",
+    scratch: str | None = None,
+) -> SparkSession:
+    """A local session; ``scratch`` is its folder for checkpoints and stored stages."""
+    builder = SparkSession.builder.master(f"local[{cpus}]")
+    if scratch:
+        builder = builder.config("spark.checkpoint.dir", scratch)
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .appName("tastelens")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

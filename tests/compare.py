@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import math
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -76,7 +77,7 @@ def main(folder: str, only: list[str]) -> None:
     import __spark_entry__ as entry
     from tastelens.session import local_session
 
-    spark = local_session(8)
+    spark = local_session(8, scratch=tempfile.mkdtemp(prefix="compare-"))
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(folder)
     sql = entry.oracle_sql()

@@ -10,10 +10,11 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tastelens.session import local_session
 
-    session = local_session(4, partitions=4, memory="4g")
+    scratch = str(tmp_path_factory.mktemp("scratch"))
+    session = local_session(4, partitions=4, memory="4g", scratch=scratch)
     session.sparkContext.setLogLevel("ERROR")
     yield session
 
