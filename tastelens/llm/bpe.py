@@ -52,6 +52,14 @@ class Recent:
             self.new[key] = found
         return found
 
+    def many(self, keys: list) -> list:
+        """Values of distinct keys; those not remembered are made in the order of the keys."""
+        recent, older = self.new, self.old
+        found = {k: recent.get(k) or older.get(k) for k in keys}
+        for key in sorted(k for k, value in found.items() if value is None):
+            found[key] = self(key)
+        return list(found.values())
+
 
 class Vocabulary:
     """Byte strings, merge ranks and added tokens of a byte-level BPE file."""
@@ -148,7 +156,8 @@ def encoder(path: str):
                 else:
                     codes += map(index.__getitem__, vocabulary.pieces(part))
             per_text.append(len(codes) - before)
-        runs = [added[p[0]] if isinstance(p, tuple) else packed(p) for p in index]
+        ordinary = iter(packed.many([p for p in index if not isinstance(p, tuple)]))
+        runs = [added[p[0]] if isinstance(p, tuple) else next(ordinary) for p in index]
         lengths = np.array([len(r) // 4 for r in runs], dtype=np.int64)
         flat = np.frombuffer(b"".join(runs), dtype=np.int32)
         codes = np.array(codes, dtype=np.int64)

@@ -31,6 +31,7 @@ class PrefixCounts:
         self.vocabulary = v = Vocabulary(path)
         self._piece = Recent(self._count_piece)
         self._apart: dict[int, bool] = {}
+        self._raw, self._last, self._counts = b"", [-1], [0]
         self._whole = Recent(lambda token: v.merge(v.strings[token]) == [token])
         self._made_by = dict(zip(v.made, range(len(v.made))))
         self._edges = Recent(self._edge_symbols)
@@ -66,12 +67,17 @@ class PrefixCounts:
         return True
 
     def _raw_counts(self, raw: bytes) -> list[int]:
+        """Counts after 0, 1, ... bytes; what the piece before shares with this one is kept."""
         find, longest = self.vocabulary.ids.get, self.vocabulary.longest
-        whole, apart = self._whole, self._apart
+        whole, apart, last, counts = self._whole, self._apart, self._last, self._counts
         if len(apart) > 4 * REMEMBERED:
             apart.clear()
-        last, counts = [-1], [0]
-        for end in range(1, len(raw) + 1):
+        same, most = 0, min(len(raw), len(self._raw))
+        while same < most and raw[same] == self._raw[same]:
+            same += 1
+        self._raw = raw
+        del last[same + 1 :], counts[same + 1 :]
+        for end in range(same + 1, len(raw) + 1):
             for begin in range(end - 1, max(-1, end - longest - 1), -1):
                 token = find(raw[begin:end])
                 if token is None:
@@ -87,7 +93,7 @@ class PrefixCounts:
                     last.append(token)
                     counts.append(counts[begin] + 1)
                     break
-        return counts
+        return counts[:]
 
     def _count_piece(self, piece: str) -> bytes:
         """Counts after 1, 2, ... code points as packed int32."""
@@ -108,7 +114,7 @@ class PrefixCounts:
             codes += map(index.__getitem__, pieces)
             per_text.append(len(pieces))
         known = list(index)
-        runs = [self._piece(p) for p in known]
+        runs = self._piece.many(known)
         lengths = np.array([len(r) // 4 for r in runs], dtype=np.int64)
         flat = np.frombuffer(b"".join(runs), dtype=np.int32)
         starts = run_starts(lengths)
