@@ -8,9 +8,11 @@ meanwhile are stale and skipped. Decoding concatenates the byte strings of the v
 
 from __future__ import annotations
 
-import heapq
 import json
 import re
+from array import array
+from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,11 @@ from tastelens.llm.batches import Numbering, list_array, map_texts, run_starts,
 # Fixed value: the pattern that cuts text into pieces for this family of byte-level vocabularies.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# The same for ASCII text, where the letter and number classes are plain ranges.
+ASCII_PIECES = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+)
+
 # Pieces remembered per task; twice as many are held at most.
 REMEMBERED = 200_000
 
@@ -96,13 +103,18 @@ class Vocabulary:
         cut = "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True))
         self._added = re.compile(f"({cut})") if cut else None
         self._pieces = regex.compile(PIECES)
+        self._ascii = re.compile(ASCII_PIECES, re.ASCII)
+        # ranks of two bytes side by side
+        self._byte_rank = [
+            self.rank.get(a << 32 | b, -1) for a in self.of_byte for b in self.of_byte
+        ]
 
     def parts(self, text: str) -> list[str]:
         """Ordinary text at even places, added tokens between them."""
         return self._added.split(text) if self._added else [text]
 
     def pieces(self, ordinary: str) -> list[str]:
-        return self._pieces.findall(ordinary)
+        return (self._ascii if ordinary.isascii() else self._pieces).findall(ordinary)
 
     def merge(self, raw: bytes) -> list[int]:
         """Token ids of one piece."""
@@ -111,12 +123,13 @@ class Vocabulary:
         size = len(symbols)
         before, after = list(range(-1, size - 1)), list(range(1, size + 1))
         # the rank of each symbol with its right neighbour: an entry of another rank is stale
-        ranks = [rank.get(a << 32 | b, -1) for a, b in zip(symbols, symbols[1:])]
+        first = self._byte_rank
+        ranks = [first[a << 8 | b] for a, b in zip(raw, raw[1:])]
         ranks.append(-1)
         queue = [r << 32 | at for at, r in enumerate(ranks) if r >= 0]
-        heapq.heapify(queue)
+        heapify(queue)
         while queue:
-            entry = heapq.heappop(queue)
+            entry = heappop(queue)
             lowest, at = entry >> 32, entry & 0xFFFFFFFF
             if ranks[at] != lowest:
                 continue
@@ -129,21 +142,28 @@ class Vocabulary:
                 found = rank.get(symbols[at] << 32 | symbols[end], -1)
                 if found >= 0:
                     ranks[at] = found
-                    heapq.heappush(queue, found << 32 | at)
+                    heappush(queue, found << 32 | at)
             start = before[at]
             if start >= 0:
                 found = rank.get(symbols[start] << 32 | symbols[at], -1)
                 ranks[start] = found
                 if found >= 0:
-                    heapq.heappush(queue, found << 32 | start)
+                    heappush(queue, found << 32 | start)
         return [s for s in symbols if s >= 0]
 
 
+@lru_cache(maxsize=2)
+def vocabulary_of(path: str) -> Vocabulary:
+    """Read once per worker process, which runs many tasks."""
+    return Vocabulary(path)
+
+
+@lru_cache(maxsize=2)
 def encoder(path: str):
-    """Texts to (ids of all texts in a row, ids per text)."""
-    vocabulary = Vocabulary(path)
+    """Texts to (ids of all texts in a row, ids per text); once per worker process."""
+    vocabulary = vocabulary_of(path)
     added = {t: np.int32(n).tobytes() for t, n in vocabulary.added.items()}
-    packed = Recent(lambda p: np.array(vocabulary.merge(p.encode()), dtype=np.int32).tobytes())
+    packed = Recent(lambda p: array("i", vocabulary.merge(p.encode())).tobytes())
 
     def encode(texts: list) -> tuple[np.ndarray, np.ndarray]:
         index, codes, per_text = Numbering(), [], []
@@ -205,7 +225,7 @@ def decode(
     schema = df.select(*kept).schema.add(out, "string")
 
     def run(batches):
-        vocabulary = Vocabulary(path)
+        vocabulary = vocabulary_of(path)
         lengths = np.array([len(s) for s in vocabulary.strings], dtype=np.int64)
         flat = np.frombuffer(b"".join(vocabulary.strings), dtype=np.uint8)
         starts = run_starts(lengths)

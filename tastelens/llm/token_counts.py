@@ -9,6 +9,7 @@ one. A document's counts are those of its pieces on top of the totals before the
 from __future__ import annotations
 
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from tastelens.llm.batches import Numbering, list_array, map_texts, run_starts, take_runs
-from tastelens.llm.bpe import REMEMBERED, Recent, Vocabulary
+from tastelens.llm.bpe import REMEMBERED, Recent, vocabulary_of
 
 # Pieces that a shorter prefix cuts differently: the quote stands alone until the last letter.
 _LATE = ("'re", "'ve", "'ll")
@@ -28,7 +29,7 @@ class PrefixCounts:
     """Token counts of every code-point prefix of a text."""
 
     def __init__(self, path: str):
-        self.vocabulary = v = Vocabulary(path)
+        self.vocabulary = v = vocabulary_of(path)
         self._piece = Recent(self._count_piece)
         self._apart: dict[int, bool] = {}
         self._raw, self._last, self._counts = b"", [-1], [0]
@@ -167,6 +168,12 @@ class PrefixCounts:
         return result
 
 
+@lru_cache(maxsize=2)
+def counter_of(path: str) -> PrefixCounts:
+    """Made once per worker process, which runs many tasks."""
+    return PrefixCounts(path)
+
+
 def prefix_counts(
     df: DataFrame, path: str, text: str = "text", keep=("doc_id",), out: str = "counts"
 ) -> DataFrame:
@@ -177,7 +184,7 @@ def prefix_counts(
     """
 
     def start():
-        counter = PrefixCounts(path)
+        counter = counter_of(path)
 
         def compute(texts):
             found = counter.many(texts)
@@ -199,7 +206,7 @@ def count_tokens(
     """
 
     def start():
-        counter = PrefixCounts(path)
+        counter = counter_of(path)
 
         def compute(texts):
             found = counter.many(texts)
