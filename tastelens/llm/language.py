@@ -124,7 +124,7 @@ def fit(
         rate = F.lit(0.0)
         for name, size in sizes:
             rate = F.when(F.col("label") == name, most / size).otherwise(rate)
-        return rows.filter(share("key", seed) < rate)
+        return rows.filter(share("key", seed) < rate).dropDuplicates(["key"])
 
     marks = sample(LANDMARKS, 1).select("content").limit(2 * LANDMARKS * len(sizes)).collect()
     if not marks:

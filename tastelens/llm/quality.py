@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastelens.llm.batches import list_array, map_texts
-from tastelens.llm.samples import thinned
+from tastelens.llm.samples import thinned, with_content
 
 # Documented bound of the fit: about so many labelled rows of each class.
 PER_CLASS = 8_000
@@ -177,9 +177,10 @@ def fit(
         F.col(key).alias("key"), F.col(label).cast("int").alias("label")
     ).distinct()
     sizes = dict(marked.groupBy("label").count().collect())
-    sample = thinned(marked, "key", "label", PER_CLASS)
+    sample = thinned(marked, "key", "label", sizes, PER_CLASS)
     content = docs.select(F.col(key).alias("key"), F.col(text).alias("content"))
-    data = with_statistics(content.join(sample, "key"), "content", ["label"]).toPandas()
+    sample = with_content(content, sample, "key")
+    data = with_statistics(sample, "content", ["label"]).toPandas()
     if not len(data):
         return None
     rows, found = np.stack(data["statistics"].to_numpy()), data["label"].to_numpy()

@@ -12,8 +12,19 @@ def share(key: str, seed: int) -> Column:
     return F.when(F.col(key).isNotNull(), spread / float(1 << 40))
 
 
-def thinned(df: DataFrame, key: str, group: str, most: int, seed: int = 7) -> DataFrame:
-    """Rows whose share lies under what keeps about ``most`` rows of each group."""
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    rate = sizes.select(group, (F.lit(float(most)) / F.col("_n")).alias("_rate"))
-    return df.join(rate, group).filter(share(key, seed) < F.col("_rate")).drop("_rate")
+def thinned(df: DataFrame, key: str, group: str, sizes: dict, most: int, seed: int = 7) -> DataFrame:
+    """Rows whose share lies under what keeps about ``most`` rows of each group; ``sizes`` are
+    the rows per group."""
+    rate = F.lit(0.0)
+    for name, size in sizes.items():
+        rate = F.when(F.col(group) == name, most / max(1, size)).otherwise(rate)
+    return df.filter(share(key, seed) < rate)
+
+
+def with_content(content: DataFrame, sample: DataFrame, key: str) -> DataFrame:
+    """A bounded sample of keys with one content row each.
+
+    The sample is sent to every task, so that the contents stay where they are; a key that holds
+    many rows is cut to one before the shuffle.
+    """
+    return content.join(F.broadcast(sample), key).dropDuplicates([key])

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastelens.llm.batches import map_texts
-from tastelens.llm.samples import thinned
+from tastelens.llm.samples import thinned, with_content
 from tastelens.session import cut
 
 # Documented bounds of the fit: texts of each kind, words that are features.
@@ -129,11 +129,12 @@ def fit(
     content = docs.filter(learnable & F.col(key).isNotNull()).select(
         F.col(key).alias("key"), F.col(text).alias("content")
     )
-    confirmed = marked.filter("positive").withColumn("kind", F.lit(1))
-    confirmed = thinned(confirmed, "key", "kind", POSITIVES).select("key", "kind")
-    others = thinned(content.withColumn("kind", F.lit(0)), "key", "kind", UNLABELLED)
-    sample = content.join(confirmed, "key").select("kind", "content").union(
-        others.select("kind", "content")
+    confirmed = thinned(marked.filter("positive"), "key", "positive", {True: sizes[True]}, POSITIVES)
+    confirmed = with_content(content, confirmed.select("key"), "key")
+    others = content.withColumn("kind", F.lit(0))
+    others = thinned(others, "key", "kind", {0: content.count()}, UNLABELLED)
+    sample = confirmed.select(F.lit(1).alias("kind"), "content").union(
+        others.dropDuplicates(["key"]).select("kind", "content")
     )
     sample = cut(with_words(sample, "content", ["kind"]))
     kinds = dict(sample.groupBy("kind").count().collect())
