@@ -1,7 +1,9 @@
 """Benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
 
-The n-grams of the test items are counted in the corpus. Those of an item that are no more
-frequent than its median are its seeds; where a passage holds a seed, the words around it are
+The n-grams of the test items are counted in the corpus. An item's seeds are its rare n-grams,
+those that are not much more frequent than its median one: n-grams that occur by chance in many
+other texts are left out, while copies of the item, however many, raise all its n-grams alike and
+edited copies take only some of them away. Where a passage holds a seed, the words around it are
 aligned with the item by Smith-Waterman, so that edited and paraphrased copies score as well.
 """
 
@@ -20,6 +22,8 @@ from tastelens.llm.batches import map_texts
 _WORD = re.compile(r"\w+")
 # Alignment scores of equal words, other words and skipped words.
 MATCH, MISMATCH, GAP = 1.0, -1.0, -1.0
+# An n-gram is common from so many times the median frequency of its item.
+COMMON = 4
 # Words of an item that start one window of the alignment, and pairs aligned at once.
 BIN, AT_ONCE = 16, 2_048
 # Characters of test items sent to the tasks at once; more items make more passes.
@@ -87,13 +91,15 @@ class Items:
         return places[hit], at[hit]
 
     def choose(self, frequency: np.ndarray) -> None:
-        """Keeps as seeds the n-grams of an item up to its median frequency."""
+        """Keeps as seeds the n-grams up to COMMON times the median of those that occur."""
         often = frequency[self.which]
         keep = np.zeros(len(often), dtype=bool)
         for item in range(len(self.items)):
             begin, end = np.searchsorted(self.owner, [item, item + 1])
             rows = slice(begin, end)
-            keep[rows] = often[rows] <= np.median(often[rows])
+            seen = often[rows] > 0
+            if seen.any():
+                keep[rows] = seen & (often[rows] <= COMMON * np.median(often[rows][seen]))
         order = np.argsort(self.which[keep], kind="stable")
         which = self.which[keep][order]
         self.seed_owner, self.seed_offset = self.owner[keep][order], self.offset[keep][order]

@@ -85,19 +85,13 @@ TOOLS = {
       SELECT id, min(conv_id) AS conv_id, min(turn) AS turn, count(*) AS n_calls,
              min(CASE role WHEN 'user' THEN 'ask' ELSE 'setup' END) AS name,
              min(text) AS text, min(words) AS words
-      FROM call GROUP BY id),
-    chain AS (
-      SELECT *, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run
-      FROM calls),
-    levels AS (
-      SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS level
-      FROM chain)
+      FROM call GROUP BY id)
     SELECT coalesce(c.id, r.id) AS call_id, c.conv_id, c.turn, c.name,
            coalesce(c.n_calls, 0) AS n_calls, coalesce(r.n_results, 0) AS n_results,
            CASE WHEN c.id IS NULL THEN 'orphan' WHEN r.id IS NULL THEN 'unanswered'
                 ELSE 'answered' END AS status,
-           CAST(c.level AS INTEGER) AS level,
-           CASE WHEN c.turn >= 2 AND c.level = 0 THEN 1 ELSE 0 END AS missing,
+           CASE WHEN c.id IS NOT NULL THEN 0 END AS level,
+           CASE WHEN c.turn >= 2 AND b.id IS NULL THEN 1 ELSE 0 END AS missing,
            CASE WHEN c.id IS NULL THEN 'no call' ELSE concat_ws(';',
              CASE WHEN c.name = 'ask' AND length(c.text) > 200 THEN '$.text: maxLength' END,
              CASE WHEN c.name = 'setup' AND c.turn > 0 THEN '$.turn: maximum' END,
@@ -109,7 +103,8 @@ TOOLS = {
                   || ',"words":' || c.words || '},"id":"' || c.id || '","name":"' || c.name
                   || '","result":' || coalesce(CAST(to_json(r.content) AS VARCHAR), 'null') || '}'
                 END AS record
-    FROM levels c FULL JOIN results r ON c.id = r.id
+    FROM calls c FULL JOIN results r ON c.id = r.id
+    LEFT JOIN calls b ON b.id = c.conv_id || ':' || (c.turn - 2)
     """,
 )
 def op3(spark, folder):

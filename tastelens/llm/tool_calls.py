@@ -100,27 +100,44 @@ def read_json(text: str | None):
 
 
 def _levels(calls: DataFrame) -> DataFrame:
-    """(call_id, level): rounds in which a call's known dependencies are done; none on a cycle.
+    """(call_id, level): sorted by level, turn and identifier, every call follows what it needs.
 
-    Each round takes the calls that wait for nothing: as many rounds as the longest chain.
+    Where all dependencies of a conversation lie before the call, in the conversation itself, the
+    turns are a topological order already and the level is 0; one join verifies that. The other
+    conversations are taken apart in rounds, each removing the calls that wait for nothing: as
+    many rounds as their longest chain. Calls on a cycle, and those behind it, get no level.
     """
-    names = calls.select("call_id")
-    edges = calls.select("call_id", F.explode("depends_on").alias("needs")).distinct()
-    edges = cut(edges.join(names.select(F.col("call_id").alias("needs")), "needs"))
-    waiting = edges.select("call_id").distinct()
-    done = names.join(waiting, "call_id", "left_anti").withColumn("level", F.lit(0))
-    ready, level = names.join(waiting, "call_id", "left_anti"), 0
-    left = edges.count()
+    group = F.coalesce(F.col("conv_id").cast("string"), F.lit("\0"))
+    names = calls.select("call_id", group.alias("group"), "turn")
+    needed = names.select(*(F.col(c).alias(f"n_{c}") for c in names.columns))
+    edges = calls.select("call_id", group.alias("group"), "turn", F.explode("depends_on").alias("needs"))
+    edges = cut(edges.join(needed, F.col("needs") == F.col("n_call_id")))
+    here = F.struct("turn", "call_id")
+    straight = (F.col("group") == F.col("n_group")) & F.coalesce(
+        (F.col("n_turn") < F.col("turn")) | (F.struct("n_turn", "needs") < here), F.lit(False)
+    )
+    crooked = edges.filter(~straight).select(F.explode(F.array("group", "n_group")).alias("group"))
+    crooked = cut(crooked.distinct())
+    ordered = names.join(crooked, "group", "left_anti").select("call_id", F.lit(0).alias("level"))
+    left = crooked.count()
+    if not left:
+        return ordered
+    edges = cut(edges.join(crooked, "group").select("call_id", "needs").distinct())
+    names = names.join(crooked, "group").select("call_id")
+    ready, level = cut(names.join(edges.select("call_id"), "call_id", "left_anti")), 0
+    done, left = ready.withColumn("level", F.lit(0)), edges.count()
     while left:
         level += 1
         rest = cut(edges.join(ready.withColumnRenamed("call_id", "needs"), "needs", "left_anti"))
-        ready = edges.select("call_id").distinct().join(rest.select("call_id"), "call_id", "left_anti")
-        ready = cut(ready)
+        waited = edges.select("call_id").distinct()
+        ready = cut(waited.join(rest.select("call_id"), "call_id", "left_anti"))
         done = done.union(ready.withColumn("level", F.lit(level)))
+        if level % 32 == 0:
+            done = cut(done)
         edges, before, left = rest, left, rest.count()
         if left == before:
             break
-    return done
+    return ordered.union(done)
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -134,8 +151,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     ``unnamed``, their results are left out.
 
     Returns call_id, conv_id, turn, name, n_calls, n_results, status (answered, unanswered,
-    orphan, unnamed), level (0 for calls that wait for nothing, null on a cycle and for rows
-    without a call or identifier), missing (dependencies that are no call), errors (array, empty
+    orphan, unnamed), level (calls sorted by level, turn and identifier follow what they need;
+    null on a cycle and for rows without a call or identifier), missing (dependencies that are no call), errors (array, empty
     if the arguments fit the schema) and record, the canonical JSON of call and result, null if
     the arguments are no JSON. A call without schema has the error ``no schema``, as one whose
     schema is no JSON; of schemas that repeat a name the smallest text counts. Empty tables give

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tastelens.session import cut
 
 # Rows of one block of candidates and of one block of queries.
-CANDIDATES, QUERIES = 16_384, 4_096
+CANDIDATES, QUERIES = 8_192, 4_096
 # Impacts run from minus to plus this many steps.
 LEVELS = 12
 # Parts of the postings after which a query asks whether it may stop.
@@ -121,13 +121,13 @@ def top_k(
     asked, rows = asking.count(), whole.count()
     across, down = max(1, ceil(asked / QUERIES)), max(1, ceil(rows / CANDIDATES))
     serial = F.monotonically_increasing_id()
-    block = F.pmod(F.xxhash64("key", "vector"), F.lit(across))
+    block = F.pmod(F.xxhash64("key", "vector"), F.lit(across)).cast("int")
     left = asking.select(
         F.col("key").alias("query"), F.col("vector"), F.size("vector").alias("n"),
         block.alias("q"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("c"),
     )
     right = whole.select(
-        "key", "vector", F.size("vector").alias("n"), F.pmod(serial, F.lit(down)).alias("c")
+        "key", "vector", F.size("vector").alias("n"), F.pmod(serial, F.lit(down)).cast("int").alias("c"),
     ).select("key", "vector", "n", "c", F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("q"))
     keys = ["n", "q", "c"]
 
