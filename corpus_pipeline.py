@@ -55,8 +55,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the digest of the text they decode to."""
     path = public_tokenizers.path(VOCABULARY)
-    encoded = bpe.encode(docs, path, keep=["doc_id"])
-    whole = bpe.decode(encoded, path, keep=["doc_id", "ids"])
+    whole = bpe.encode_and_decode(docs, path)
     return whole.select(
         "doc_id",
         "ids",

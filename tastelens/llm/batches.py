@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Characters of text worked on at once; a longer text makes a slice of its own.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 
 Compute = Callable[[list], Sequence[pa.Array]]
 

@@ -30,7 +30,7 @@ ASCII_PIECES = (
 )
 
 # Pieces remembered per task; twice as many are held at most.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -213,6 +213,25 @@ def encode(
     return map_texts(df, text, keep, f"`{out}` array<int>", start)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str):
+    """(ids of all texts in a row, ids per text) to texts; once per worker process."""
+    strings = vocabulary_of(path).strings
+    lengths = np.array([len(s) for s in strings], dtype=np.int64)
+    flat, starts = np.frombuffer(b"".join(strings), dtype=np.uint8), run_starts(lengths)
+
+    def decode(ids: np.ndarray, sizes: np.ndarray) -> list[str]:
+        known = (ids >= 0) & (ids < len(lengths))
+        row = np.repeat(np.arange(len(sizes)), sizes)[known]
+        ids = ids[known]
+        raw = take_runs(flat, starts, lengths, ids).tobytes()
+        per_row = np.bincount(row, weights=lengths[ids], minlength=len(sizes))
+        ends = np.cumsum(per_row).astype(np.int64).tolist()
+        return [raw[b:e].decode("utf-8", "replace") for b, e in zip([0, *ends], ends)]
+
+    return decode
+
+
 def decode(
     df: DataFrame, path: str, ids: str = "ids", keep=("doc_id",), out: str = "decoded"
 ) -> DataFrame:
@@ -225,29 +244,36 @@ def decode(
     schema = df.select(*kept).schema.add(out, "string")
 
     def run(batches):
-        vocabulary = vocabulary_of(path)
-        lengths = np.array([len(s) for s in vocabulary.strings], dtype=np.int64)
-        flat = np.frombuffer(b"".join(vocabulary.strings), dtype=np.uint8)
-        starts = run_starts(lengths)
+        texts_of = decoder(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 column = part.column(len(kept))
                 sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
                 codes = column.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
-                known = (codes >= 0) & (codes < len(lengths))
-                row = np.repeat(np.arange(len(sizes)), sizes)[known]
-                codes = codes[known]
-                raw = take_runs(flat, starts, lengths, codes).tobytes()
-                per_row = np.bincount(row, weights=lengths[codes], minlength=len(sizes))
-                ends = np.cumsum(per_row).astype(np.int64)
-                texts, begin = [], 0
-                for end, missing in zip(ends.tolist(), column.is_null().to_pylist()):
-                    texts.append(None if missing else raw[begin:end].decode("utf-8", "replace"))
-                    begin = end
+                missing = column.is_null().to_pylist()
+                texts = [None if m else t for m, t in zip(missing, texts_of(codes, sizes))]
                 columns = [part.column(i) for i in range(len(kept))]
                 yield pa.RecordBatch.from_arrays(
                     columns + [pa.array(texts, pa.string())], names=kept + [out]
                 )
 
     return df.select(*kept, df[ids]).mapInArrow(run, schema)
+
+
+def encode_and_decode(
+    df: DataFrame, path: str, text: str = "text", keep=("doc_id",)
+) -> DataFrame:
+    """Adds ``ids`` as ``encode`` does and ``decoded``, the text that these ids stand for, in one
+    pass with one Python worker per task."""
+
+    def start():
+        run, back = encoder(path), decoder(path)
+
+        def compute(texts):
+            ids, sizes = run(texts)
+            return [list_array(ids, sizes), pa.array(back(ids, sizes), pa.string())]
+
+        return compute
+
+    return map_texts(df, text, keep, "ids array<int>, decoded string", start)

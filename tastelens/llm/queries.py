@@ -164,8 +164,7 @@ def op5(spark, folder):
 @query("op6_bpe")
 def op6(spark, folder):
     path = public_tokenizers.path(VOCABULARY)
-    encoded = bpe.encode(table(spark, folder, "documents"), path)
-    whole = bpe.decode(encoded, path, keep=["doc_id", "ids"])
+    whole = bpe.encode_and_decode(table(spark, folder, "documents"), path)
     return whole.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
