@@ -163,9 +163,11 @@ def _lookup(word: Column, table: Mapping[str, float]) -> Column:
     by_value: dict[float, list[str]] = defaultdict(list)
     for key, value in table.items():
         by_value[float(value)].append(key)
-    found = F.lit(None).cast("double")
-    for value, words in by_value.items():
-        found = F.when(word.isin(words), F.lit(value)).otherwise(found)
+    if not by_value:
+        return F.lit(None).cast("double")
+    found = F
+    for value, words in by_value.items():  # one flat CASE, however many valences there are
+        found = found.when(word.isin(words), F.lit(value))
     return F.when(word.isin(list(table)), found)
 
 

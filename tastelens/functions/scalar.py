@@ -16,15 +16,19 @@ def half_even(value: Column, digits: int) -> Column:
 
 
 def safe_div(numerator: Column, denominator: Column) -> Column:
-    """Quotient, or 0 where the denominator is 0 or missing."""
-    return F.coalesce(
-        F.try_divide(numerator.cast("double"), denominator.cast("double")), F.lit(0.0)
-    )
+    """Quotient, or 0 where the denominator is 0 or missing or the quotient is no finite number."""
+    found = F.try_divide(numerator.cast("double"), denominator.cast("double"))
+    return F.when(F.abs(found) < F.lit(float("inf")), found).otherwise(F.lit(0.0))
 
 
 def to_number(value: Column) -> Column:
-    """Number read from any scalar; unreadable or missing becomes 0."""
-    return F.coalesce(F.nanvl(value.try_cast("double"), F.lit(0.0)), F.lit(0.0))
+    """Number read from any scalar; unreadable or missing becomes 0.
+
+    Type suffixes and hexadecimal digits, which the cast would take, are no numbers.
+    """
+    foreign = value.cast("string").rlike(r"(?i)x|(?<!in)[df]\s*$")
+    read = F.when(~foreign, value.try_cast("double"))
+    return F.coalesce(F.nanvl(read, F.lit(0.0)), F.lit(0.0))
 
 
 def log_count(value: Column) -> Column:

@@ -64,21 +64,37 @@ def match_tokens(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> Data
     return tokens_by_row(df, key, text).join(side, "token", "inner")
 
 
+def _with_row(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Adds ``_row``, a digest of key and text.
+
+    Rows with one key but different texts, and rows without a key, stay apart; rows that are equal
+    have equal hits, which are counted once and given to each.
+    """
+    named = F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("n"))
+    digest = F.md5(F.concat(named, F.lit("\u0000"), F.coalesce(F.col(text), F.lit(""))))
+    return df.select(key, text, digest.alias("_row"))
+
+
 def score_by_join(
     df: DataFrame, lexicon: DataFrame, key: str, text: str, window: int = fv.NEGATION_WINDOW
 ) -> DataFrame:
-    """Lexicon sentiment for lexicons of any size.
+    """Lexicon sentiment for lexicons of any size, one row per row of ``df``.
 
-    ``lexicon`` has word, is_pos, is_neg, is_negation. Gives the rows of the in-row form.
+    ``lexicon`` has word, is_pos, is_neg, is_negation; a repeated word has the flags of all its
+    rows. Gives the rows of the in-row form.
     """
-    hits = match_tokens(df, lexicon, key, text)
-    earlier = Window.partitionBy(key).orderBy("position").rowsBetween(
+    words = lexicon.groupBy("word").agg(
+        *(F.bool_or(c).alias(c) for c in ("is_pos", "is_neg", "is_negation"))
+    )
+    rows = _with_row(df, key, text)
+    hits = match_tokens(rows, words, "_row", text).distinct()
+    earlier = Window.partitionBy("_row").orderBy("position").rowsBetween(
         Window.unboundedPreceding, -1
     )
     last_negation = F.max(F.when(F.col("is_negation"), F.col("position"))).over(earlier)
     near = F.coalesce(F.col("position") - last_negation <= window, F.lit(False))
     scored = hits.withColumn("negated", near).filter("is_pos OR is_neg")
-    counts = scored.groupBy(key).agg(
+    counts = scored.groupBy("_row").agg(
         F.count_if(F.when(F.col("negated"), F.col("is_neg")).otherwise(F.col("is_pos"))).alias(
             "up"
         ),
@@ -87,42 +103,39 @@ def score_by_join(
         ),
         F.count_if("negated").alias("turned"),
     )
-    filled = df.select(key).join(counts, key, "left").na.fill(0, ["up", "down", "turned"])
+    filled = rows.select(key, "_row").join(counts, "_row", "left").na.fill(0, ["up", "down", "turned"])
     return filled.select(
         key, *L.sentiment_from_counts(F.col("up"), F.col("down"), F.col("turned"))
     )
 
 
 def score_any_size(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
-    """Lexicon sentiment with the lexicon as a table: compiled into the expression after its size
-    is checked, joined when it is larger than that."""
-    if not is_inline(lexicon):
-        return score_by_join(df, lexicon, key, text)
-    known = lexicon.collect()
-
-    def listed(flag: str) -> list[str]:
-        return [r["word"] for r in known if r[flag]]
-
-    score = L.lexicon_sentiment(
-        tokenize(F.coalesce(F.col(text), F.lit(""))),
-        listed("is_pos"), listed("is_neg"), listed("is_negation"),
-    )
-    return df.select(key, score.alias("s")).select(key, "s.*")
+    """Lexicon sentiment with the lexicon as a table, by the same join for every size."""
+    return score_by_join(df, lexicon, key, text)
 
 
 def emotions_by_join(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
-    """Emotion counts and ratios for lexicons of any size; ``lexicon`` has word, emotions."""
+    """Emotion counts and ratios for lexicons of any size, one row per row of ``df``.
+
+    ``lexicon`` has word, emotions; a repeated word has the emotions of all its rows.
+    """
     short = list(fv.SHORT_EMOTIONS.items())
-    matched = match_tokens(df, lexicon, key, text)
-    counts = matched.groupBy(key).agg(
+    words = lexicon.select("word", F.explode("emotions").alias("emotion")).groupBy("word").agg(
+        F.array_sort(F.collect_set("emotion")).alias("emotions")
+    )
+    rows = _with_row(df, key, text)
+    matched = match_tokens(rows, words, "_row", text).distinct()
+    counts = matched.groupBy("_row").agg(
         *(
             F.count_if(F.array_contains("emotions", cls)).alias(f"_{cls}")
             for cls in fv.EMOTION_CLASSES
         )
     )
     source = F.coalesce(F.col(text), F.lit(""))
-    sized = df.select(key, F.size(tokenize(source)).alias("_tokens"))
-    filled = sized.join(counts, key, "left").na.fill(0)
+    sized = rows.select(key, "_row", F.size(tokenize(source)).alias("_tokens"))
+    filled = sized.join(counts, "_row", "left").na.fill(
+        0, ["_tokens", *(f"_{cls}" for cls in fv.EMOTION_CLASSES)]
+    )
     total = F.greatest(F.col("_tokens"), F.lit(1))
     return filled.select(
         key,

@@ -201,11 +201,18 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
 
 
 def zscore(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``<column>_z`` with the population deviation; a constant column gives 0."""
+    """``<column>_z`` with the population deviation; a constant column gives 0.
+
+    Missing and NaN values stay out of the moments; what is no finite number in the end is 0.
+    """
+
+    def present(c: str) -> Column:
+        return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
     moments = df.agg(
         F.struct(
-            *(F.avg(c).alias(f"{c}_mean") for c in columns),
-            *(F.stddev_pop(c).alias(f"{c}_dev") for c in columns),
+            *(F.avg(present(c)).alias(f"{c}_mean") for c in columns),
+            *(F.stddev_pop(present(c)).alias(f"{c}_dev") for c in columns),
         ).alias("m")
     ).scalar()
     return df.withColumns(

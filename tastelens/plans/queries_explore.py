@@ -296,16 +296,24 @@ def _(t: Tables) -> DataFrame:
     "zscore",
     sql=f"""SELECT o_orderkey AS review_id,
       {r('(o_totalprice - avg(o_totalprice) OVER ()) / stddev_pop(o_totalprice) OVER ()', 5)}
-        AS price_z, CAST(0 AS DOUBLE) AS constant_z
+        AS price_z, CAST(0 AS DOUBLE) AS constant_z,
+      CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE
+      {r("""(o_totalprice - avg(o_totalprice) FILTER (o_orderkey % 7 <> 0) OVER ())
+         / stddev_pop(o_totalprice) FILTER (o_orderkey % 7 <> 0) OVER ()""", 5)} END AS holed_z
     FROM orders""",
 )
 def _(t: Tables) -> DataFrame:
     prices = t.read("orders").select(
         F.col("o_orderkey").alias("review_id"), F.col("o_totalprice").alias("price"),
         F.lit(3.0).alias("constant"),
+        F.when(F.col("o_orderkey") % 7 == 0, float("nan")).otherwise(F.col("o_totalprice")).alias(
+            "holed"
+        ),
+    )
+    scored = E.zscore(prices, ["price", "constant", "holed"])
+    return _rounded(scored, "price_z", "holed_z", digits=5).select(
+        "review_id", "price_z", "constant_z", "holed_z"
     )
-    scored = E.zscore(prices, ["price", "constant"])
-    return _rounded(scored, "price_z", digits=5).select("review_id", "price_z", "constant_z")
 
 
 

@@ -331,13 +331,18 @@ def _(t: Tables) -> DataFrame:
     "numeric_coerce",
     sql=with_(DOCS) + """
     SELECT review_id, coalesce(try_cast(like_count AS DOUBLE), 0) AS like_count,
-           coalesce(try_cast(trip_type AS DOUBLE), 0) AS not_a_number FROM docs""",
+           coalesce(try_cast(trip_type AS DOUBLE), 0) AS not_a_number,
+           0.0::DOUBLE AS suffixed, 0.0::DOUBLE AS hexadecimal FROM docs""",
 )
 def _(t: Tables) -> DataFrame:
     return t.doc_reviews().select(
         "review_id",
         S.to_number(F.col("like_count")).alias("like_count"),
         S.to_number(F.col("trip_type")).alias("not_a_number"),
+        S.to_number(
+            F.concat("review_id", F.when(F.col("review_id") % 2 == 0, "d").otherwise("F"))
+        ).alias("suffixed"),
+        S.to_number(F.concat(F.lit("0x"), F.col("review_id"), F.lit("p3"))).alias("hexadecimal"),
     )
 
 

@@ -223,3 +223,22 @@ def test_valence_rules(spark, folder):
         got = (row.vader_compound, row.vader_neg, row.vader_neu, row.vader_pos)
         for a, b, unit in zip(got, expected, (1e-4, 1e-3, 1e-3, 1e-3)):
             assert abs(a - b) <= unit * 0.51, (text[:80], got, expected)
+
+
+def test_numbers_that_only_a_cast_would_read(spark):
+    from tastelens.functions.scalar import safe_div, to_number
+
+    rows = [("12d", 0.0), ("12f", 0.0), ("0x1p3", 0.0), (" 1.5 ", 1.5), ("-2e3", -2000.0), (None, 0.0)]
+    df = spark.createDataFrame(rows, "a string, wanted double")
+    assert all(r[0] == r[1] for r in df.select(to_number(F.col("a")), "wanted").collect())
+    pair = spark.createDataFrame([(1.0, float("nan")), (float("inf"), 1.0), (1.0, 0.0), (None, 1.0)], "a double, b double")
+    assert [r[0] for r in pair.select(safe_div(F.col("a"), F.col("b"))).collect()] == [0.0] * 4
+
+
+def test_a_thousand_valences(spark):
+    from tastelens.functions import lexicon as L
+
+    table = {f"w{i}": i / 250 + 0.004 for i in range(1_000)}
+    df = spark.createDataFrame([(["w3", "no", "w999"],)], "t array<string>")
+    total = df.select(L.valence_sum(F.col("t"), table)).first()[0]
+    assert abs(total - (table["w3"] + table["w999"])) < 1e-9

@@ -419,3 +419,30 @@ def test_vote(spark):
     assert uniform == {1: 0, 2: 0}
     assert weighted[1].prediction == 1 and weighted[2].prediction == 0
     assert weighted[2].share == 1.0
+
+
+def test_zscore_with_gaps(spark):
+    from tastelens.operators.summaries import zscore
+
+    rows = [(1.0, 1.0), (3.0, float("inf")), (float("nan"), 2.0), (None, None)]
+    got = [tuple(r) for r in zscore(spark.createDataFrame(rows, "a double, b double"), ["a", "b"]).select("a_z", "b_z").collect()]
+    assert got == [(-1.0, 0.0), (1.0, 0.0), (0.0, 0.0), (0.0, 0.0)]
+
+
+def test_joined_scores_of_repeated_words_and_keys(spark):
+    from tastelens.functions import lexicon as L
+    from tastelens.functions.text import tokenize
+    from tastelens.operators.sentiment import emotions_by_join, score_by_join
+
+    words = [("good", True, False, False), ("good", True, False, False), ("bad", False, True, False), ("not", False, False, True)]
+    kinds = "word string, is_pos boolean, is_neg boolean, is_negation boolean"
+    rows = [(1, "good food bad"), (1, "food not"), (1, "good"), (None, "good good"), (None, "not bad"), (2, "good"), (2, "good"), (3, None)]
+    df = spark.createDataFrame(rows, "k int, t string")
+    joined = score_by_join(df, spark.createDataFrame(words, kinds), "k", "t")
+    score = L.lexicon_sentiment(tokenize(F.coalesce("t", F.lit(""))), ["good"], ["bad"], ["not"])
+    inside = df.select("k", score.alias("s")).select("k", "s.*")
+    assert sorted(map(str, joined.collect())) == sorted(map(str, inside.collect()))
+    table = spark.createDataFrame([("good", ["joy"]), ("good", ["joy", "trust"])], "word string, emotions array<string>")
+    found = emotions_by_join(df, table, "k", "t")
+    assert found.count() == len(rows)
+    assert sorted(r["happy_count"] for r in found.collect()) == [0, 0, 0, 1, 1, 1, 1, 2]
