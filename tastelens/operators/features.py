@@ -19,13 +19,23 @@ MAX_CATEGORIES = 10_000
 # --- numbers and categories ----------------------------------------------------------------------
 
 
+def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(name, median) of several numeric columns from one pass over counts per value."""
+    numbers = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
+    long = numbers.unpivot([], list(columns), "name", "value")
+    return quantiles(long, "value", {"median": 0.5}, ["name"]).select("name", "median")
+
+
 def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing numbers become the exact median of their column."""
-    filled = {}
-    for c in columns:
-        middle = quantiles(df.select(c), c, {"median": 0.5}).select("median").scalar()
-        filled[c] = F.coalesce(F.col(c).cast("double"), middle)
-    return df.withColumns(filled)
+    if not columns:
+        return df
+    found = medians(df, columns).agg(
+        F.map_from_entries(F.collect_list(F.struct("name", "median")))
+    ).scalar()
+    return df.withColumns(
+        {c: F.coalesce(F.col(c).cast("double"), F.try_element_at(found, F.lit(c))) for c in columns}
+    )
 
 
 def mode_of(df: DataFrame, column: str) -> DataFrame:
