@@ -24,11 +24,21 @@ def read_stream(
     return reader.option("maxFilesPerTrigger", files_per_trigger).load(path)
 
 
-def first_arrivals(reviews: DataFrame) -> DataFrame:
-    """Each review id (or link, without an id) once, whatever pages repeat it."""
+def first_arrivals(
+    reviews: DataFrame, event_time: str | None = None, delay: str = "7 days"
+) -> DataFrame:
+    """Each review id (or link, without an id) once, whatever pages repeat it.
+
+    With ``event_time``, a timestamp column, keys are forgotten once they are older than ``delay``
+    behind the latest arrival, and repeats are caught within that time; without it, every key is
+    kept for good.
+    """
     key = id_or_link(F.col("review_id"), F.col("review_link"))
     keyed = reviews.withColumn("_key", key).filter(F.col("_key").isNotNull())
-    return keyed.dropDuplicates(["_key"]).drop("_key")
+    if event_time is None:
+        return keyed.dropDuplicates(["_key"]).drop("_key")
+    marked = keyed.withWatermark(event_time, delay)
+    return marked.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
 def enrich(reviews: DataFrame, lexicons: Lexicons, valence: bool = True) -> DataFrame:

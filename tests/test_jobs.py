@@ -192,3 +192,18 @@ def test_experiment_matrix():
     ]
     assert sizes == [8, 12, 16, 8, 12, 16, 24, 10, 16, 4]
     assert (experiments.tree_depth(None), experiments.tree_depth(None, 31)) == (30, 5)
+
+
+def test_first_arrivals_within_a_watermark(spark, tmp_path):
+    from tastelens.streaming.reviews import first_arrivals, read_stream, write_stream
+
+    rows = [(1, "a", "2024-01-01"), (1, "a", "2024-01-02"), (2, "b", "2024-01-02"), (None, "c", "2024-01-03"), (None, None, "2024-01-03")]
+    df = spark.createDataFrame(rows, "review_id bigint, review_link string, day string")
+    df = df.selectExpr("review_id", "review_link", "to_timestamp(day) AS at")
+    df.write.parquet(str(tmp_path / "in"))
+    stream = read_stream(spark, str(tmp_path / "in"), df.schema)
+    write_stream(
+        first_arrivals(stream, "at", "3 days"), str(tmp_path / "out"), str(tmp_path / "state")
+    ).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted((r["review_id"] or 0, r["review_link"]) for r in got.collect()) == [(0, "c"), (1, "a"), (2, "b")]
