@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import string
 from collections import defaultdict
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -188,92 +188,9 @@ def valence_sum(tokens: Column, table: Mapping[str, float]) -> Column:
     )
 
 
-def valence_profile(
-    text: Column,
-    table: Mapping[str, float],
-    negations: Sequence[str] = fv.NEGATIONS,
-    boosters: Sequence[str] = fv.INTENSIFIERS,
-    dampeners: Sequence[str] = fv.DAMPENERS,
-) -> Column:
-    """Struct (compound, neg, neu, pos) by the rules of the valence paper.
-
-    Each word of the table scores its valence, changed by capitals, by boosters and negations up
-    to three words back and by a following or preceding *but*; punctuation adds emphasis.
-    """
-    strengthen = {w: fv.BOOST for w in boosters} | {w: -fv.BOOST for w in dampeners}
-
-    def scored(ctx: Column) -> Column:
-        lower = ctx.lower
-        valences = F.transform(lower, lambda w: _lookup(w, table))
-
-        def item_back(items: Column, position: Column, back: Column) -> Column:
-            """Item ``back`` places before a 0-based position, null before the first."""
-            return F.get(items, F.when(position >= back, position - back))
-
-        def word_back(position: Column, back: Column) -> Column:
-            return item_back(lower, position, back)
-
-        def emphasised(position: Column, back: Column) -> Column:
-            """A word in capitals in a text that is not all capitals."""
-            return ctx.mixed_case & F.coalesce(
-                item_back(ctx.loud, position, back), F.lit(False)
-            )
-
-        def look_back(position: Column):
-            def step(value: Column, back: Column) -> Column:
-                previous = word_back(position, back)
-                push = _lookup(previous, strengthen) * _sign(value) + F.when(
-                    emphasised(position, back), fv.CAPS_BOOST * _sign(value)
-                ).otherwise(0.0)
-                damping = F.element_at(F.lit(list(fv.LOOKBACK_DAMPING)), back)
-                pushed = value + F.coalesce(push, F.lit(0.0)) * damping
-                so_between = F.exists(
-                    F.sequence(F.lit(1), F.greatest(back - 1, F.lit(1))),
-                    lambda b: (b < back) & word_back(position, b).isin("so", "this"),
-                )
-                doubt_between = F.exists(
-                    F.sequence(F.lit(1), F.greatest(back - 1, F.lit(1))),
-                    lambda b: (b < back) & (word_back(position, b) == "doubt"),
-                )
-                turned = (
-                    F.when((previous == "never") & F.coalesce(so_between, F.lit(False)),
-                           pushed * fv.NEVER_SO_FACTOR)
-                    .when((previous == "without") & F.coalesce(doubt_between, F.lit(False)), pushed)
-                    .when(
-                        previous.isin(list(negations)) | F.endswith(previous, F.lit("n't")),
-                        pushed * fv.NEGATED_FACTOR,
-                    )
-                    .otherwise(pushed)
-                )
-                # a previous word that itself carries valence neither pushes nor negates
-                plain = previous.isNotNull() & ~previous.isin(list(table))
-                return F.when(plain, turned).otherwise(value)
-
-            return step
-
-        def word_score(valence: Column, position: Column) -> Column:
-            raised = valence + F.when(
-                emphasised(position, F.lit(0)), fv.CAPS_BOOST * _sign(valence)
-            ).otherwise(0.0)
-            value = F.aggregate(
-                F.array(F.lit(1), F.lit(2), F.lit(3)), raised, look_back(position)
-            )
-            least = (word_back(position, F.lit(1)) == "least") & ~F.coalesce(
-                word_back(position, F.lit(2)).isin("at", "very"), F.lit(False)
-            )
-            value = F.when(F.coalesce(least, F.lit(False)), value * fv.NEGATED_FACTOR).otherwise(
-                value
-            )
-            around_but = (
-                F.when(ctx.but_at < 0, 1.0)
-                .when(position < ctx.but_at, fv.BUT_BEFORE)
-                .when(position > ctx.but_at, fv.BUT_AFTER)
-                .otherwise(1.0)
-            )
-            booster = word_back(position, F.lit(0)).isin(list(strengthen))
-            return F.when(valence.isNull() | booster, 0.0).otherwise(value * around_but)
-
-        return F.transform(valences, word_score)
+def valence_words_in_context(text: Column) -> Column:
+    """One struct per word: position, word, the words ``before`` it (itself at 0), which of them
+    are ``loud``, the next word, mixed_case of the text and the position of its first *but*."""
 
     def context(words: Column) -> Column:
         cased = F.struct(
@@ -294,14 +211,123 @@ def valence_profile(
 
         return bind(cased, described)
 
+    def back(items: Column, position: Column) -> Column:
+        """The item at a 0-based position and the three before it, null before the first."""
+        return F.array(*(F.get(items, F.when(position >= b, position - b)) for b in range(4)))
+
+    def described(ctx: Column) -> Column:
+        return F.transform(
+            ctx.lower,
+            lambda word, position: F.struct(
+                position.alias("position"),
+                word.alias("word"),
+                back(ctx.lower, position).alias("before"),
+                back(ctx.loud, position).alias("loud"),
+                F.get(ctx.lower, position + 1).alias("next"),
+                ctx.mixed_case.alias("mixed_case"),
+                ctx.but_at.alias("but_at"),
+            ),
+        )
+
+    return bind(bind(valence_words(text), context), described)
+
+
+def word_score(
+    hit: Column,
+    valence: Column,
+    carries: Callable[[Column], Column],
+    negations: Sequence[str] = fv.NEGATIONS,
+    boosters: Sequence[str] = fv.INTENSIFIERS,
+    dampeners: Sequence[str] = fv.DAMPENERS,
+    phrases: Sequence[str] = fv.DAMPENING_PHRASES,
+) -> Column:
+    """Valence of one word in its context, see :func:`valence_words_in_context`.
+
+    ``carries`` tells of the word so many places back whether it has a valence of its own.
+    """
+    strengthen = {w: fv.BOOST for w in boosters} | {w: -fv.BOOST for w in dampeners}
+
+    def word_back(back: Column | int) -> Column:
+        return F.get(hit.before, F.lit(back) if isinstance(back, int) else back)
+
+    def emphasised(back: Column) -> Column:
+        """A word in capitals in a text that is not all capitals."""
+        return hit.mixed_case & F.coalesce(F.get(hit.loud, back), F.lit(False))
+
+    def between(back: Column, test) -> Column:
+        nearer = F.sequence(F.lit(1), F.greatest(back - 1, F.lit(1)))
+        return F.coalesce(
+            F.exists(nearer, lambda b: (b < back) & test(word_back(b))), F.lit(False)
+        )
+
+    def step(value: Column, back: Column) -> Column:
+        previous = word_back(back)
+        push = _lookup(previous, strengthen) * _sign(value) + F.when(
+            emphasised(back), fv.CAPS_BOOST * _sign(value)
+        ).otherwise(0.0)
+        damping = F.element_at(F.lit(list(fv.LOOKBACK_DAMPING)), back)
+        pushed = value + F.coalesce(push, F.lit(0.0)) * damping
+        turned = (
+            F.when((previous == "never") & between(back, lambda w: w.isin("so", "this")),
+                   pushed * fv.NEVER_SO_FACTOR)
+            .when((previous == "without") & between(back, lambda w: w == "doubt"), pushed)
+            .when(
+                previous.isin(list(negations)) | F.endswith(previous, F.lit("n't")),
+                pushed * fv.NEGATED_FACTOR,
+            )
+            .otherwise(pushed)
+        )
+        # a previous word that itself carries valence neither pushes nor negates
+        plain = previous.isNotNull() & ~carries(back)
+        return F.when(plain, turned).otherwise(value)
+
+    raised = valence + F.when(
+        emphasised(F.lit(0)), fv.CAPS_BOOST * _sign(valence)
+    ).otherwise(0.0)
+    value = F.aggregate(F.array(F.lit(1), F.lit(2), F.lit(3)), raised, step)
+
+    def phrase(first: Column, second: Column) -> Column:
+        found = F.concat_ws(" ", first, second).isin(list(phrases))
+        return F.when(found, -fv.BOOST).otherwise(0.0)
+
+    # phrases are looked for only where the third word back exists and has no valence
+    reached = word_back(3).isNotNull() & ~carries(F.lit(3))
+    value = value + F.when(
+        reached,
+        phrase(word_back(3), word_back(2)) + phrase(word_back(2), word_back(1)),
+    ).otherwise(0.0)
+    least = (word_back(1) == "least") & ~F.coalesce(
+        word_back(2).isin("at", "very"), F.lit(False)
+    )
+    value = F.when(F.coalesce(least, F.lit(False)), value * fv.NEGATED_FACTOR).otherwise(value)
+    around_but = (
+        F.when(hit.but_at < 0, 1.0)
+        .when(hit.position < hit.but_at, fv.BUT_BEFORE)
+        .when(hit.position > hit.but_at, fv.BUT_AFTER)
+        .otherwise(1.0)
+    )
+    opens_phrase = F.coalesce(
+        F.concat_ws(" ", hit.word, hit.next).isin(list(phrases)), F.lit(False)
+    )
+    booster = hit.word.isin(list(strengthen)) | opens_phrase
+    return F.when(valence.isNull() | booster, 0.0).otherwise(value * around_but)
+
+
+def valence_emphasis(text: Column) -> Column:
+    """What exclamation and question marks add."""
     exclamations = F.length(text) - F.length(F.replace(text, F.lit("!"), F.lit("")))
     questions = F.length(text) - F.length(F.replace(text, F.lit("?"), F.lit("")))
-    emphasis = F.least(exclamations, F.lit(fv.EXCLAMATION_MAX)) * fv.EXCLAMATION_STEP + (
+    return F.least(exclamations, F.lit(fv.EXCLAMATION_MAX)) * fv.EXCLAMATION_STEP + (
         F.when(questions > 3, fv.QUESTION_FULL)
         .when(questions > 1, questions * fv.QUESTION_STEP)
         .otherwise(0.0)
     )
 
+
+def valence_shares(scores: Column, words: Column, emphasis: Column) -> Column:
+    """Struct (compound, neg, neu, pos) from the scores of a text of so many words; scores of
+    zero may be left out."""
+
     def shares(s: Column) -> Column:
         def total(test, gain):
             return F.aggregate(
@@ -317,9 +343,8 @@ def valence_profile(
             up = t.up + F.when(t.up > t.down, s.emphasis).otherwise(0.0)
             down = t.down + F.when(t.down > t.up, s.emphasis).otherwise(0.0)
             whole = up + down + t.flat
-            empty = F.size(s.scores) == 0
             return F.struct(
-                F.when(empty, 0.0).otherwise(half_even(compound(raised), 4)).alias(
+                F.when(s.words == 0, 0.0).otherwise(half_even(compound(raised), 4)).alias(
                     "vader_compound"
                 ),
                 half_even(safe_div(down, whole), 3).alias("vader_neg"),
@@ -332,10 +357,48 @@ def valence_profile(
                 F.aggregate(s.scores, F.lit(0.0), lambda acc, v: acc + v).alias("total"),
                 total(lambda v: v > 0, 1.0).alias("up"),
                 (-total(lambda v: v < 0, -1.0)).alias("down"),
-                F.size(F.filter(s.scores, lambda v: v == 0)).cast("double").alias("flat"),
+                (s.words - F.size(F.filter(s.scores, lambda v: v != 0))).cast("double").alias(
+                    "flat"
+                ),
             ),
             finish,
         )
 
-    scores = bind(bind(valence_words(text), context), scored)
-    return bind(F.struct(scores.alias("scores"), emphasis.alias("emphasis")), shares)
+    return bind(
+        F.struct(scores.alias("scores"), words.alias("words"), emphasis.alias("emphasis")), shares
+    )
+
+
+def valence_profile(
+    text: Column,
+    table: Mapping[str, float],
+    negations: Sequence[str] = fv.NEGATIONS,
+    boosters: Sequence[str] = fv.INTENSIFIERS,
+    dampeners: Sequence[str] = fv.DAMPENERS,
+    phrases: Sequence[str] = fv.DAMPENING_PHRASES,
+) -> Column:
+    """Struct (compound, neg, neu, pos) by the rules of the valence paper.
+
+    Each word of the table scores its valence, changed by capitals, by boosters, dampening phrases
+    and negations up to three words back and by a following or preceding *but*; punctuation adds
+    emphasis. The table is compiled into the row; see ``valence_by_join`` for tables.
+    """
+
+    def scored(hit: Column) -> Column:
+        return word_score(
+            hit, _lookup(hit.word, table),
+            lambda back: F.get(hit.before, back).isin(list(table)),
+            negations, boosters, dampeners, phrases,
+        )
+
+    hits = bind(
+        valence_words_in_context(text),
+        lambda items: F.struct(
+            F.transform(F.filter(items, lambda h: h.word.isin(list(table))), scored).alias(
+                "scores"
+            ),
+            F.size(items).alias("words"),
+        ),
+    )
+    emphasis = valence_emphasis(text)
+    return bind(hits, lambda h: valence_shares(h.scores, h.words, emphasis))

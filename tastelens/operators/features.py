@@ -13,7 +13,6 @@ from tastelens.operators.ranking import quantiles
 
 # Words of two or more letters, digits or underscores, in any script.
 WORD_PATTERN = r"(?U)\b\w\w+\b"
-MAX_CATEGORIES = 10_000
 
 
 # --- numbers and categories ----------------------------------------------------------------------
@@ -68,38 +67,23 @@ def standard_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: scaled(c) for c in columns})
 
 
-def categories_of(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> list[str]:
-    """Sorted distinct values; refuses a column with too many to be a category."""
-    found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1)
-    values = sorted(r[0] for r in found.collect())
-    if len(values) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values")
-    return values
+def categories_of(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct values, one output column each in :func:`one_hot`."""
+    found = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    return sorted(r[0] for r in found.collect())
 
 
-def category_counts(
-    df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES
-) -> dict[str, dict[str, int]]:
-    """Rows per value of several categorical columns, from one aggregate and with the same
-    refusal of columns that are no categories."""
-    if not columns:
-        return {}
+def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(name, mode) of several categorical columns, the smallest value on ties."""
     texts = df.select(*(F.col(c).cast("string").alias(c) for c in columns))
     counts = (
         texts.unpivot([], list(columns), "name", "value")
         .filter(F.col("value").isNotNull())
         .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .limit(limit * len(columns) + 1)
-        .collect()
     )
-    found: dict[str, dict[str, int]] = {c: {} for c in columns}
-    for row in counts:
-        found[row["name"]][row["value"]] = row["n"]
-    for name, values in found.items():
-        if len(values) > limit:
-            raise ValueError(f"{name} has more than {limit} distinct values")
-    return found
+    first = F.min(F.struct((-F.col("n")).alias("minus"), "value"))
+    return counts.groupBy("name").agg(first.alias("f")).select("name", F.col("f.value").alias("mode"))
 
 
 def one_hot(df: DataFrame, column: str, categories: Sequence[str]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Text features per review, in the row or, for large lexicons, through joins."""
+"""Text features per review, through joins with lexicon tables or, for short lists, in the row."""
 
 from __future__ import annotations
 
@@ -12,16 +12,21 @@ from tastelens.functions import lexicon as L
 from tastelens.functions.scalar import half_even, safe_div
 from tastelens.functions.text import bind, tokenize
 from tastelens.operators.rows import compute_once
-from tastelens.sources.lexicons import Lexicons, is_inline
+from tastelens.sources.lexicons import Lexicons, LexiconTables, fits_broadcast
 
 
 def with_text_features(
     df: DataFrame,
-    lexicons: Lexicons,
+    lexicons: Lexicons | LexiconTables,
     text: str = "combined_text",
     valence: bool = True,
 ) -> DataFrame:
-    """Token counts, lexicon sentiment, emotions and valence as extra columns of the same row."""
+    """Token counts, lexicon sentiment, emotions and valence as extra columns of the same row.
+
+    Tables are joined, lists are compiled into the row; both give the same.
+    """
+    if isinstance(lexicons, LexiconTables):
+        return features_by_join(df, lexicons, text, valence)
     source = F.coalesce(F.col(text), F.lit(""))
 
     def features(tokens):
@@ -60,7 +65,7 @@ def match_tokens(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> Data
     not the text.
     """
     words = lexicon.withColumnRenamed("word", "token")
-    side = F.broadcast(words) if is_inline(lexicon) else words
+    side = F.broadcast(words) if fits_broadcast(lexicon) else words
     return tokens_by_row(df, key, text).join(side, "token", "inner")
 
 
@@ -109,11 +114,6 @@ def score_by_join(
     )
 
 
-def score_any_size(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
-    """Lexicon sentiment with the lexicon as a table, by the same join for every size."""
-    return score_by_join(df, lexicon, key, text)
-
-
 def emotions_by_join(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
     """Emotion counts and ratios for lexicons of any size, one row per row of ``df``.
 
@@ -151,6 +151,121 @@ def emotions_by_join(df: DataFrame, lexicon: DataFrame, key: str, text: str) ->
     )
 
 
+def _negated(hits: DataFrame, row: str, window: int) -> DataFrame:
+    """Hits with ``negated``: is a negation among the ``window`` tokens before?"""
+    earlier = Window.partitionBy(row).orderBy("position").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    last = F.max(F.when(F.col("is_negation"), F.col("position"))).over(earlier)
+    return hits.withColumn(
+        "negated", F.coalesce(F.col("position") - last <= window, F.lit(False))
+    )
+
+
+def features_by_join(
+    df: DataFrame,
+    lexicons: LexiconTables,
+    text: str = "combined_text",
+    valence: bool = True,
+    window: int = fv.NEGATION_WINDOW,
+) -> DataFrame:
+    """The columns of :func:`with_text_features` with lexicons of any size.
+
+    Features depend on the text alone, so hits are kept once per digest of a text, however many
+    rows repeat it, and given to each of them. A missing text counts as empty.
+    """
+    source = F.coalesce(F.col(text), F.lit(""))
+    rows = df.withColumn("_row", F.md5(source))
+    texts = rows.select("_row", source.alias("_text"))
+    hits = _negated(
+        match_tokens(texts, lexicons.words, "_row", "_text").distinct(), "_row", window
+    )
+    polar = F.col("is_pos") | F.col("is_neg")
+    turned = F.col("negated")
+    short = list(fv.SHORT_EMOTIONS.items())
+    counts = hits.groupBy("_row").agg(
+        F.count_if(F.when(turned, F.col("is_neg")).otherwise(F.col("is_pos"))).alias("_up"),
+        F.count_if(F.when(turned, F.col("is_pos")).otherwise(F.col("is_neg"))).alias("_down"),
+        F.count_if(turned & polar).alias("_turned"),
+        *(
+            F.count_if(F.array_contains("emotions", cls)).alias(f"_{cls}")
+            for cls in fv.EMOTION_CLASSES
+        ),
+    )
+    sizes = bind(
+        tokenize(source),
+        lambda t: F.struct(
+            F.size(t).cast("bigint").alias("token_count"),
+            F.size(F.array_distinct(t)).cast("bigint").alias("unique_token_count"),
+        ),
+    )
+    wide = compute_once(rows, {"_size": sizes}).join(counts, "_row", "left").na.fill(
+        0, ["_up", "_down", "_turned", *(f"_{cls}" for cls in fv.EMOTION_CLASSES)]
+    )
+    parts = [F.col("_size.token_count"), F.col("_size.unique_token_count")]
+    if valence:
+        scored = valence_scores(texts, lexicons, "_row", "_text")
+        facts = F.struct(
+            F.size(L.valence_words(source)).alias("words"),
+            L.valence_emphasis(source).alias("emphasis"),
+        )
+        wide = compute_once(wide, {"_facts": facts}).join(scored, "_row", "left")
+        shares = L.valence_shares(
+            F.coalesce("_scores", F.array().cast("array<double>")),
+            F.col("_facts.words"), F.col("_facts.emphasis"),
+        )
+        wide = compute_once(wide, {"_val": shares})
+        parts.append(F.col("_val.*"))
+    total = F.greatest(F.col("_size.token_count"), F.lit(1))
+    return wide.select(
+        *df.columns,
+        *parts,
+        *L.sentiment_from_counts(F.col("_up"), F.col("_down"), F.col("_turned")),
+        L.dominant_emotion({name: F.col(f"_{cls}") for cls, name in short}).alias(
+            "dominant_emotion"
+        ),
+        *(F.col(f"_{cls}").alias(f"nrc_{cls}_count") for cls in fv.SIDE_CLASSES),
+        *(F.col(f"_{cls}").alias(f"{name}_count") for cls, name in short),
+        *(
+            half_even(safe_div(F.col(f"_{cls}"), total), 6).alias(f"{name}_ratio")
+            for cls, name in short
+        ),
+    )
+
+
+def valence_scores(
+    texts: DataFrame, lexicons: LexiconTables, row: str = "_row", text: str = "_text"
+) -> DataFrame:
+    """(``row``, _scores): scores of the valence words of a text in their order.
+
+    Words meet the table with their context, so only scored words are shuffled. A word repeated
+    in the table has the largest of its valences.
+    """
+    table = lexicons.valence.groupBy("word").agg(F.max("valence").alias("valence"))
+    side = F.broadcast(table) if fits_broadcast(table) else table
+    hits = (
+        texts.select(row, F.inline(L.valence_words_in_context(F.col(text))))
+        .join(side, "word")
+        .dropDuplicates([row, "position"])
+    )
+    # the positions of scored words up to three places back
+    near = Window.partitionBy(row).orderBy("position").rangeBetween(-3, -1)
+    placed = hits.withColumn("scored_before", F.collect_list("position").over(near))
+    hit = F.struct(*(F.col(c) for c in placed.columns if c != row))
+    score = bind(
+        hit,
+        lambda h: L.word_score(
+            h, h.valence,
+            lambda back: F.array_contains(h.scored_before, h.position - back),
+            lexicons.negations, lexicons.boosters, lexicons.dampeners, lexicons.phrases,
+        ),
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("position", "score")))
+    return placed.select(row, "position", score.alias("score")).groupBy(row).agg(
+        F.transform(ordered, lambda s: s.score).alias("_scores")
+    )
+
+
 def list_hits(df: DataFrame, lists: DataFrame, key: str, text: str) -> DataFrame:
     """Hits per word list; ``lists`` has list, word."""
     hits = match_tokens(df, lists, key, text)

@@ -14,7 +14,7 @@ from tastelens.operators import audit, dedup, experiments, importance, prepare,
 from tastelens.operators import metrics as M
 from tastelens.operators import summaries as E
 from tastelens.sources import files
-from tastelens.sources.lexicons import Lexicons
+from tastelens.sources.lexicons import Lexicons, LexiconTables
 
 
 def _store(df: DataFrame, path: str, csv: bool = False) -> DataFrame:
@@ -142,7 +142,7 @@ def write_exploration(tables: Mapping[str, DataFrame], out: str) -> None:
 
 
 def text_feature_table(
-    modelling: DataFrame, lexicons: Lexicons, out: str, csv: bool = False
+    modelling: DataFrame, lexicons: Lexicons | LexiconTables, out: str, csv: bool = False
 ) -> DataFrame:
     """Modelling rows with text features, stored once, then with the two z-scores."""
     enriched = _store(

@@ -14,7 +14,7 @@ from tastelens.operators import sentiment
 from tastelens.operators import summaries as E
 from tastelens.plans.registry import FEATURES, HITS, LEX, TOKENS, query, r, with_, words
 from tastelens.session import scratch_path
-from tastelens.sources.lexicons import builtin_table, lexicon_table
+from tastelens.sources.lexicons import LexiconTables, as_tables, builtin_table, lexicon_table, one_row_per_word
 from tastelens.sources.tables import Tables
 from tastelens.streaming import reviews as streaming
 
@@ -84,11 +84,12 @@ def _(t: Tables) -> DataFrame:
 
 
 @query(
-    "text_features",
+    "text_features_inline",
     sql=with_(FEATURES) + f"""SELECT review_id, token_count, unique_token_count, {POLARITY},
                               {EMOTIONS} FROM feat""",
 )
 def _(t: Tables) -> DataFrame:
+    """Short lists compiled into the row."""
     docs = t.documents().select(F.col("doc_id").alias("review_id"), "text")
     return sentiment.with_text_features(docs, t.lexicons, "text", valence=False).drop("text")
 
@@ -140,6 +141,7 @@ seen AS (
   SELECT *, {", ".join(f"lag(low, {b}) OVER d AS low{b}, lag(loud, {b}) OVER d AS loud{b}" for b in (1, 2, 3))},
          bool_or(loud) OVER (PARTITION BY doc_id) AND bool_or(NOT loud) OVER (PARTITION BY doc_id)
            AS mixed,
+         coalesce(low || ' ' || lead(low) OVER d, '') AS opens,
          min(CASE WHEN low = 'but' THEN pos END) OVER (PARTITION BY doc_id) AS but_at
   FROM cased WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
 step0 AS (
@@ -148,8 +150,12 @@ step0 AS (
   FROM seen),
 {_look_back("step0", 1, 1.0)},{_look_back("step1", 2, 0.95)},{_look_back("step2", 3, 0.9)},
 scored AS (
-  SELECT doc_id, CASE WHEN v IS NULL OR low IN {words([*LEX.intensifiers, *fv.DAMPENERS])} THEN 0
-         ELSE v * CASE WHEN low1 = 'least' AND coalesce(low2, '') NOT IN ('at', 'very') THEN -0.74
+  SELECT doc_id, CASE WHEN v IS NULL OR low IN {words([*LEX.intensifiers, *fv.DAMPENERS])}
+                       OR opens IN {words(fv.DAMPENING_PHRASES)} THEN 0
+         ELSE (v + CASE WHEN low3 IS NOT NULL AND low3 NOT IN {_TABLE_WORDS}
+                        THEN -0.293 * (CAST(low3 || ' ' || low2 IN {words(fv.DAMPENING_PHRASES)} AS INTEGER)
+                             + CAST(low2 || ' ' || low1 IN {words(fv.DAMPENING_PHRASES)} AS INTEGER))
+                        ELSE 0 END) * CASE WHEN low1 = 'least' AND coalesce(low2, '') NOT IN ('at', 'very') THEN -0.74
                        ELSE 1 END
                 * CASE WHEN but_at IS NULL OR pos = but_at THEN 1 WHEN pos < but_at THEN 0.5
                        ELSE 1.5 END END AS s
@@ -177,9 +183,12 @@ SELECT doc_id AS review_id,
 FROM raised"""
 
 
-@query("valence_features", sql=VALENCE_SQL)
+VALENCE = "vader_compound, vader_neg, vader_neu, vader_pos"
+
+
+@query("valence_features_inline", sql=VALENCE_SQL)
 def _(t: Tables) -> DataFrame:
-    """The full valence rules."""
+    """The full valence rules, the table compiled into the row."""
     lex = t.lexicons
     scored = t.documents().select(
         F.col("doc_id").alias("review_id"),
@@ -188,6 +197,90 @@ def _(t: Tables) -> DataFrame:
     return scored.select("review_id", "v.*")
 
 
+@query(
+    "text_features",
+    sql=with_(FEATURES) + f"""SELECT review_id, token_count, unique_token_count, {VALENCE},
+      {POLARITY}, {EMOTIONS} FROM feat_text JOIN ({VALENCE_SQL}) USING (review_id)""".replace(
+        "feat_text", f"(SELECT review_id, token_count, unique_token_count, {POLARITY}, {EMOTIONS} FROM feat)"
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    """All text features, lexicons and valences joined as tables."""
+    docs = t.documents().select(F.col("doc_id").alias("review_id"), "text")
+    tables = as_tables(t.spark, t.lexicons)
+    return sentiment.with_text_features(docs, tables, "text").drop("text")
+
+
+@query("valence_features", sql=VALENCE_SQL)
+def _(t: Tables) -> DataFrame:
+    """The full valence rules with the valences as a table."""
+    docs = t.documents().select(F.col("doc_id").alias("review_id"), "text")
+    tables = as_tables(t.spark, t.lexicons)
+    features = sentiment.with_text_features(docs, tables, "text")
+    return features.select(
+        "review_id", "vader_compound", "vader_neg", "vader_neu", "vader_pos"
+    )
+
+
+LARGE_LEXICON = TOKENS + """,
+word AS (SELECT DISTINCT unnest(tokens) AS word FROM tok),
+lexicon AS (
+  SELECT word, length(word) % 2 = 0 AS up, length(word) % 3 = 0 AS down, length(word) = 2 AS turns
+  FROM (SELECT word FROM word UNION ALL
+        SELECT word || n FROM word, (SELECT unnest(range(300)) AS n))),
+spot AS (SELECT review_id, unnest(tokens) AS word, generate_subscripts(tokens, 1) AS pos FROM tok),
+hit AS (
+  SELECT *, coalesce(pos - max(CASE WHEN turns THEN pos END) OVER (PARTITION BY review_id
+             ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 3, false) AS flip
+  FROM spot JOIN lexicon USING (word)),
+counted AS (
+  SELECT review_id, count(*) FILTER (CASE WHEN flip THEN down ELSE up END) AS p,
+         count(*) FILTER (CASE WHEN flip THEN up ELSE down END) AS n,
+         count(*) FILTER (flip AND (up OR down)) AS turned
+  FROM hit GROUP BY review_id)
+"""
+
+
+@query(
+    "large_lexicon",
+    sql="WITH " + LARGE_LEXICON + """
+    SELECT CASE WHEN review_id % 7 = 0 THEN NULL ELSE review_id % 50 END AS place,
+           (SELECT count(*) FROM lexicon) AS words, coalesce(p, 0) AS lexicon_positive_count,
+           coalesce(n, 0) AS lexicon_negative_count, coalesce(turned, 0) AS lexicon_negated_hits
+    FROM tok LEFT JOIN counted USING (review_id)""",
+)
+def _(t: Tables) -> DataFrame:
+    """A lexicon beyond any broadcast, with repeated words, on rows whose keys repeat or miss."""
+    docs = t.documents()
+    found = docs.select(F.explode(X.tokenize(F.col("text"))).alias("word")).distinct()
+    endings = F.explode(F.sequence(F.lit(0), F.lit(299)))
+    made = found.select("word", endings.alias("n")).select(F.concat("word", "n").alias("word"))
+    # every found word is in it twice, its two flags in different rows
+    length, no = F.length("word"), F.lit(False)
+    rows = [
+        (length % 2 == 0, no, no), (no, length % 3 == 0, length == 2),
+    ]
+    every = found.unionByName(made)
+    lexicon = None
+    for up, down, turns in rows:
+        part = every.select(
+            "word", up.alias("is_pos"), down.alias("is_neg"), turns.alias("is_negation"),
+            F.lit(None).cast("array<string>").alias("emotions"),
+        )
+        lexicon = part if lexicon is None else lexicon.unionByName(part)
+    words_table = one_row_per_word(lexicon)
+    keyed = docs.select(
+        F.when(F.col("doc_id") % 7 != 0, F.col("doc_id") % 50).alias("place"), "text"
+    )
+    tables = LexiconTables(words_table, as_tables(t.spark, t.lexicons).valence)
+    scored = sentiment.with_text_features(keyed, tables, "text", valence=False)
+    size = words_table.agg(F.count(F.lit(1))).scalar()
+    return scored.select(
+        "place", size.alias("words"), "lexicon_positive_count", "lexicon_negative_count",
+        "lexicon_negated_hits",
+    )
+
+
 @query(
     "valence_core",
     sql=with_(FEATURES) + """SELECT review_id, valence_sum, vader_compound FROM feat""",

@@ -1,4 +1,4 @@
-"""Word lexicons: parsed as DataFrames, inlined into expressions while small."""
+"""Word lexicons: parsed as tables that are joined, or as short lists compiled into expressions."""
 
 from __future__ import annotations
 
@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tastelens import fixed_values as fv
 
-# Up to this many words a lexicon is compiled into the expression; beyond it, it is joined.
-MAX_INLINE_WORDS = 50_000
+# Up to this many words a lexicon is sent to the tasks; beyond it, the same join shuffles.
+MAX_BROADCAST_WORDS = 50_000
 
 
 @dataclass(frozen=True)
@@ -87,16 +87,79 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def is_inline(lexicon: DataFrame) -> bool:
-    """Small enough to be compiled into an expression? Counts no further than the bound."""
-    return lexicon.limit(MAX_INLINE_WORDS + 1).count() <= MAX_INLINE_WORDS
+def fits_broadcast(lexicon: DataFrame) -> bool:
+    """Few enough words to be sent to every task? Counts no further than the bound."""
+    return lexicon.limit(MAX_BROADCAST_WORDS + 1).count() <= MAX_BROADCAST_WORDS
 
 
-def _checked(lexicon: DataFrame) -> list:
-    rows = lexicon.limit(MAX_INLINE_WORDS + 1).collect()
-    if len(rows) > MAX_INLINE_WORDS:
-        raise ValueError("lexicon too large to inline; use the joined form on its table")
-    return rows
+@dataclass(frozen=True)
+class LexiconTables:
+    """Lexicons of any size: ``words`` (word, is_pos, is_neg, is_negation, emotions) and
+    ``valence`` (word, valence), and the short lists of the valence rules."""
+
+    words: DataFrame
+    valence: DataFrame
+    negations: Sequence[str] = tuple(fv.NEGATIONS)
+    boosters: Sequence[str] = tuple(fv.INTENSIFIERS)
+    dampeners: Sequence[str] = tuple(fv.DAMPENERS)
+    phrases: Sequence[str] = tuple(fv.DAMPENING_PHRASES)
+
+
+def load_tables(
+    spark: SparkSession,
+    polarity_path: str | None = None,
+    emotion_path: str | None = None,
+    negation_path: str | None = None,
+    valence_path: str | None = None,
+) -> LexiconTables:
+    """Lexicons from files as tables, the built-in lists where no file is given."""
+    built = as_tables(spark, Lexicons())
+    parts = {
+        "polarity": built.words.select("word", "is_pos", "is_neg"),
+        "emotion": built.words.select("word", "emotions"),
+        "negation": built.words.filter("is_negation").select("word"),
+    }
+    if polarity_path:
+        parts["polarity"] = parse_polarity(read_lines(spark, polarity_path))
+    if emotion_path:
+        parts["emotion"] = parse_emotions(read_lines(spark, emotion_path))
+    if negation_path:
+        parts["negation"] = parse_negations(read_lines(spark, negation_path))
+    valence = parse_valence(read_lines(spark, valence_path)) if valence_path else built.valence
+    negated = parts["negation"].withColumn("is_negation", F.lit(True))
+    rows = (
+        parts["polarity"]
+        .unionByName(parts["emotion"], allowMissingColumns=True)
+        .unionByName(negated, allowMissingColumns=True)
+    )
+    return LexiconTables(one_row_per_word(rows), valence)
+
+
+def one_row_per_word(rows: DataFrame) -> DataFrame:
+    """(word, is_pos, is_neg, is_negation, emotions): a repeated word has the flags and emotions
+    of all its rows, missing ones count as false and none."""
+    flags = ("is_pos", "is_neg", "is_negation")
+    merged = rows.groupBy("word").agg(
+        *(F.coalesce(F.bool_or(c), F.lit(False)).alias(c) for c in flags),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("emotions")))).alias("emotions"),
+    )
+    return merged.filter(F.col("word").isNotNull())
+
+
+def as_tables(spark: SparkSession, lexicons: Lexicons) -> LexiconTables:
+    """Lists given as Python values, as tables."""
+    by_word: dict[str, list[str]] = {}
+    for cls, words in lexicons.emotions.items():
+        for word in words:
+            by_word.setdefault(word, []).append(cls)
+    felt = spark.createDataFrame(list(by_word.items()), "word string, emotions array<string>")
+    rows = lexicon_table(spark, lexicons).unionByName(felt, allowMissingColumns=True)
+    valence = spark.createDataFrame(
+        [(w, float(v)) for w, v in lexicons.valence.items()], "word string, valence double"
+    )
+    return LexiconTables(
+        one_row_per_word(rows), valence, lexicons.negations, lexicons.intensifiers
+    )
 
 
 def load_lexicons(
@@ -106,34 +169,32 @@ def load_lexicons(
     negation_path: str | None = None,
     valence_path: str | None = None,
 ) -> Lexicons:
-    """Lexicons from files, the built-in lists where no file is given."""
+    """Short lexicons from files as lists for the in-row form, the built-in lists where no file
+    is given. Files of any size are read by :func:`load_tables`."""
     changed: dict = {}
     if polarity_path:
-        rows = _checked(parse_polarity(read_lines(spark, polarity_path)))
+        rows = parse_polarity(read_lines(spark, polarity_path)).collect()
         changed["positive"] = sorted(r.word for r in rows if r.is_pos)
         changed["negative"] = sorted(r.word for r in rows if r.is_neg)
     if emotion_path:
-        rows = _checked(parse_emotions(read_lines(spark, emotion_path)))
+        rows = parse_emotions(read_lines(spark, emotion_path)).collect()
         changed["emotions"] = {
             cls: sorted(r.word for r in rows if cls in r.emotions) for cls in fv.EMOTION_CLASSES
         }
     if negation_path:
-        rows = _checked(parse_negations(read_lines(spark, negation_path)))
+        rows = parse_negations(read_lines(spark, negation_path)).collect()
         changed["negations"] = sorted(r.word for r in rows)
     if valence_path:
-        rows = _checked(parse_valence(read_lines(spark, valence_path)))
+        rows = parse_valence(read_lines(spark, valence_path)).collect()
         changed["valence"] = {r.word: r.valence for r in rows}
     return Lexicons(**changed)
 
 
 def lexicon_table(spark: SparkSession, lexicons: Lexicons) -> DataFrame:
     """(word, is_pos, is_neg, is_negation) rows of the built-in or loaded lists."""
-    words = sorted({*lexicons.positive, *lexicons.negative, *lexicons.negations})
+    up, down, turn = map(set, (lexicons.positive, lexicons.negative, lexicons.negations))
     return spark.createDataFrame(
-        [
-            (w, w in lexicons.positive, w in lexicons.negative, w in lexicons.negations)
-            for w in words
-        ],
+        [(w, w in up, w in down, w in turn) for w in sorted(up | down | turn)],
         "word string, is_pos boolean, is_neg boolean, is_negation boolean",
     )
 

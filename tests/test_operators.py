@@ -5,11 +5,12 @@ import math
 import random
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tastelens import fixed_values as fv
 from tastelens import schemas
-from tastelens.operators import audit, dedup, features, metrics, neighbours, prepare, sentiment, split
+from tastelens.operators import audit, dedup, features, learning, metrics, neighbours, prepare, sentiment, split
 from tastelens.operators import summaries as E
 from tastelens.operators.ranking import hashed_row_number, quantiles, running_totals
 from tastelens.sources import files, lexicons
@@ -333,10 +334,43 @@ def test_large_lexicon_path_gives_the_same(spark, folder, monkeypatch):
     table = lexicons.lexicon_table(spark, lex)
     matched = sentiment.match_tokens(docs, table, "doc_id", "text")
     assert "BuildRight" in matched._jdf.queryExecution().executedPlan().toString()
-    assert rows(sentiment.score_any_size(docs, table, "doc_id", "text")) == rows(joined)
-    monkeypatch.setattr(lexicons, "MAX_INLINE_WORDS", 2)
-    assert not lexicons.is_inline(table)
-    assert rows(sentiment.score_any_size(docs, table, "doc_id", "text")) == rows(joined)
+    tables = lexicons.as_tables(spark, lex)
+    want = rows(sentiment.with_text_features(docs, lex, "text"))
+    assert rows(sentiment.with_text_features(docs, tables, "text")) == want
+    monkeypatch.setattr(lexicons, "MAX_BROADCAST_WORDS", 2)
+    assert not lexicons.fits_broadcast(table)
+    assert rows(sentiment.score_by_join(docs, table, "doc_id", "text")) == rows(joined)
+    assert rows(sentiment.with_text_features(docs, tables, "text")) == want
+
+
+def test_joined_features_of_odd_rows(spark):
+    lex = lexicons.Lexicons(
+        positive=["good"], negative=["bad"], negations=["not"],
+        valence={"good": 2.0, "bad": -2.0, "kind": 1.5},
+    )
+    texts = ["not good", "not good", None, "", "so GOOD but bad!!", "that was kind of good", "x" * 9000,
+             "we are kind of good", "a kind man", "good bad " * 3000]
+    df = spark.createDataFrame([(None if i == 1 else i % 3, t) for i, t in enumerate(texts)],
+                               "id int, combined_text string")
+    inline = sentiment.with_text_features(df, lex)
+    joined = sentiment.with_text_features(df, lexicons.as_tables(spark, lex))
+    assert joined.columns == inline.columns
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, inline.collect()))
+    score = {r.combined_text: r.vader_compound for r in joined.collect()}
+    assert score["that was kind of good"] == pytest.approx(round(1.707 / math.sqrt(1.707**2 + 15), 4))
+    assert score["a kind man"] > 0
+    empty = sentiment.with_text_features(df.limit(0), lexicons.as_tables(spark, lex))
+    assert empty.count() == 0
+
+
+def test_loaded_tables_equal_loaded_lists(spark, tmp_path):
+    (tmp_path / "p").write_text("type=x word1=good priorpolarity=positive\nword1=good priorpolarity=both\n")
+    (tmp_path / "n").write_text("not\nno,x\n")
+    paths = {"polarity_path": str(tmp_path / "p"), "negation_path": str(tmp_path / "n")}
+    df = spark.createDataFrame([("not good but no delight",)], "combined_text string")
+    lists, tables = lexicons.load_lexicons(spark, **paths), lexicons.load_tables(spark, **paths)
+    a, b = (sentiment.with_text_features(df, x, valence=False).first() for x in (lists, tables))
+    assert a == b
 
 
 # --- splits, metrics, neighbours -----------------------------------------------------------------------
@@ -408,6 +442,43 @@ def test_nearest_equals_brute_force(spark, block_rows, same):
         assert all(abs(a - b) < 1e-9 for (a, _), (b, _) in zip(mine, all_pairs))
 
 
+def test_nearest_reads_sparse_vectors_and_copies_by_blocks(spark):
+    pick = random.Random(8)
+    dense = [
+        (i, Vectors.dense([pick.random() if pick.random() < 0.3 else 0.0 for _ in range(12)]))
+        for i in range(90)
+    ]
+    sparse = [
+        (i, Vectors.sparse(12, {j: x for j, x in enumerate(v) if x})) for i, v in dense
+    ]
+    found = []
+    for side in (dense, sparse):
+        df = spark.createDataFrame(side, ["id", "vec"])
+        found.append(sorted(map(tuple, neighbours.nearest(df, df, 4, block_rows=20).collect())))
+    assert found[0] == found[1]
+
+    points = neighbours.with_parts(df, "id", "vec", "point_id")
+    asked = neighbours.with_parts(df.filter("id < 40"), "id", "vec", "query_id")
+    left, right = neighbours.paired(
+        asked, points, neighbours.blocks_of(asked, 20), neighbours.blocks_of(points, 20)
+    )
+    assert (left.count(), right.count()) == (40 * 5, 90 * 2)
+
+
+def test_modes_of_many_categories(spark):
+    df = spark.range(30_000).select(
+        F.concat(F.lit("c"), F.col("id") % 15_000).alias("wide"),
+        F.when(F.col("id") % 3 == 0, "b").when(F.col("id") % 3 == 1, "a").alias("tied"),
+    )
+    assert dict(map(tuple, features.modes(df, ["wide", "tied"]).collect())) == {
+        "wide": "c0", "tied": "a",
+    }
+    fitted = learning.TableEncoder([], ["wide"], "f").fit(df)
+    assert len(fitted.names()) == 15_000
+    first = fitted.transform(df.limit(1)).first()["f"]
+    assert (first.size, first.numNonzeros()) == (15_000, 1)
+
+
 def test_vote(spark):
     near = spark.createDataFrame(
         [(1, 10, 0.5), (1, 11, 0.1), (1, 12, 0.5), (2, 10, 0.0), (2, 11, 0.1), (2, 12, 0.1)],
