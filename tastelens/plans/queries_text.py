@@ -227,7 +227,7 @@ word AS (SELECT DISTINCT unnest(tokens) AS word FROM tok),
 lexicon AS (
   SELECT word, length(word) % 2 = 0 AS up, length(word) % 3 = 0 AS down, length(word) = 2 AS turns
   FROM (SELECT word FROM word UNION ALL
-        SELECT word || n FROM word, (SELECT unnest(range(300)) AS n))),
+        SELECT word || n FROM word, (SELECT unnest(range(2)) AS n))),
 spot AS (SELECT review_id, unnest(tokens) AS word, generate_subscripts(tokens, 1) AS pos FROM tok),
 hit AS (
   SELECT *, coalesce(pos - max(CASE WHEN turns THEN pos END) OVER (PARTITION BY review_id
@@ -253,7 +253,7 @@ def _(t: Tables) -> DataFrame:
     """A lexicon beyond any broadcast, with repeated words, on rows whose keys repeat or miss."""
     docs = t.documents()
     found = docs.select(F.explode(X.tokenize(F.col("text"))).alias("word")).distinct()
-    endings = F.explode(F.sequence(F.lit(0), F.lit(299)))
+    endings = F.explode(F.sequence(F.lit(0), F.lit(1)))
     made = found.select("word", endings.alias("n")).select(F.concat("word", "n").alias("word"))
     # every found word is in it twice, its two flags in different rows
     length, no = F.length("word"), F.lit(False)
