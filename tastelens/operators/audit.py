@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,24 +32,51 @@ def cap_hits(
     )
 
 
-def repeated(*columns: str, digest: bool = False) -> Column:
-    """Rows beyond the first of each distinct value, where missing equals missing.
+# What is counted per distinct value, with the columns that make the value.
+REPEATS = {
+    "duplicate_review_id": ["review_id"],
+    "duplicate_review_link": ["review_link"],
+    "duplicate_title_text": ["title", "text"],
+}
 
-    With ``digest`` long texts are compared and shuffled by their 256-bit digest.
+
+def counts_by_value(
+    reviews: DataFrame, kinds: Mapping[str, Sequence[str] | Column]
+) -> DataFrame:
+    """(kind, value, n): rows per distinct value of columns or an expression, from one scan.
+
+    Missing equals missing. Values of more than one column are compared by 256-bit digests; the
+    counts combine before the shuffle, so a value held by many rows does no harm.
     """
-    parts = [F.sha2(F.col(c), 256) if digest else F.col(c) for c in columns]
-    return F.count(F.lit(1)) - F.count_distinct(F.struct(*parts))
+
+    def value(columns: Sequence[str] | Column) -> Column:
+        if isinstance(columns, Column):
+            return columns.cast("string")
+        if len(columns) == 1:
+            return F.col(columns[0]).cast("string")
+        parts = (F.coalesce(F.sha2(F.col(c), 256), F.lit("-")) for c in columns)
+        return F.concat_ws(" ", *parts)
+
+    each = [
+        F.struct(F.lit(kind).alias("kind"), value(columns).alias("value"))
+        for kind, columns in kinds.items()
+    ]
+    return reviews.select(F.inline(F.array(*each))).groupBy("kind", "value").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def _repeats() -> list[Column]:
+    """Rows beyond the first of each distinct value."""
+    return [
+        F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n") - 1)), F.lit(0)).alias(kind)
+        for kind in REPEATS
+    ]
 
 
 def duplicates(reviews: DataFrame) -> DataFrame:
-    """Duplicate ids, links and (title, text) pairs, each from its own slim aggregate."""
-    counted = {
-        "duplicate_review_id": repeated("review_id"),
-        "duplicate_review_link": repeated("review_link"),
-        "duplicate_title_text": repeated("title", "text", digest=True),
-    }
-    singles = {name: reviews.agg(c.alias(name)).scalar() for name, c in counted.items()}
-    return reviews.sparkSession.range(1).select(*(c.alias(n) for n, c in singles.items()))
+    """Duplicate ids, links and (title, text) pairs in one row."""
+    return counts_by_value(reviews, REPEATS).agg(*_repeats())
 
 
 def missing(reviews: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -75,25 +102,24 @@ def _as_metrics(section: str, row: DataFrame) -> DataFrame:
     )
 
 
-def _text_facts(featured: DataFrame, restaurants: DataFrame) -> DataFrame:
+def _text_facts(featured: DataFrame, copies: DataFrame) -> DataFrame:
     """Everything that needs cleaned text, as (section, metric, value) from one pass over it.
 
     The pass counts per (rating, classes), a handful of rows, which are then read as the raw and
-    the modelling distributions. A review counts for modelling once per matching restaurant row,
-    as the joined modelling table would hold it.
+    the modelling distributions. A review counts for modelling once per matching restaurant row
+    (``copies``), as the joined modelling table would hold it.
     """
-    copies = restaurants.groupBy("restaurant_entity_id").agg(F.count(F.lit(1)).alias("_copies"))
     rows = join_restaurants(featured, copies)
     labels = ["rating", "rating_3class", "target_five_star_label"]
     kept = F.sum(F.when(fit_condition(), F.coalesce("_copies", F.lit(1))).otherwise(0))
-    quality = {
+    text = {
         "non_ascii": F.count_if(F.col("combined_ascii_ratio") < 1),
         "with_chinese": F.count_if("has_chinese"),
         "original_english": F.count_if("is_original_english"),
         "kept_for_modeling": kept,
     }
     cells = rows.groupBy(*labels).agg(
-        F.count(F.lit(1)).alias("n"), *(c.alias(name) for name, c in quality.items())
+        F.count(F.lit(1)).alias("n"), *(c.alias(name) for name, c in text.items())
     )
 
     def fact(section: str, metric: Column, value: Column) -> Column:
@@ -102,7 +128,7 @@ def _text_facts(featured: DataFrame, restaurants: DataFrame) -> DataFrame:
             value.cast("bigint").alias("value"),
         )
 
-    facts = [fact("text", F.lit(name), F.col(name)) for name in quality]
+    facts = [fact("text", F.lit(name), F.col(name)) for name in text]
     for name, count in (("raw", "n"), ("modeling", "kept_for_modeling")):
         present = F.when(F.col(count) > 0, F.col(count))
         whole = F.when(
@@ -123,6 +149,7 @@ def _text_facts(featured: DataFrame, restaurants: DataFrame) -> DataFrame:
         )
         for c in classes
     ]
+    fixed += [("text", name, 0) for name in text]
     seeds = featured.sparkSession.createDataFrame(
         fixed, "section string, metric string, value bigint"
     )
@@ -135,14 +162,34 @@ def _text_facts(featured: DataFrame, restaurants: DataFrame) -> DataFrame:
 def audit_summary(
     reviews: DataFrame, restaurants: DataFrame, featured: DataFrame, cap: int = fv.REVIEW_CAP
 ) -> DataFrame:
-    """The whole audit as one long table (section, metric, value)."""
-    raw = [
-        _as_metrics("overview", overview(reviews, restaurants)),
-        _as_metrics("overview", cap_hits(reviews, cap=cap)),
-        _as_metrics("quality", duplicates(reviews)),
-        _as_metrics("quality", missing(reviews, ["trip_type", "title", "stay_date"])),
-    ]
-    result = _text_facts(featured, restaurants)
-    for part in raw:
-        result = result.unionByName(part)
-    return result
+    """The whole audit as one long table (section, metric, value).
+
+    The reviews are read twice: once for everything counted per distinct value, once for
+    everything counted on cleaned text.
+    """
+    copies = restaurants.groupBy("restaurant_entity_id").agg(F.count(F.lit(1)).alias("_copies"))
+    gaps = {f"missing_{c}": F.col(c).isNull() for c in ("trip_type", "title", "stay_date")}
+    kinds = {**REPEATS, **gaps, "reviewer": ["reviewer_id"], "place": ["restaurant_entity_id"]}
+    known = F.col("value").isNotNull()
+    reviewer, place = F.col("kind") == "reviewer", F.col("kind") == "place"
+    whole = counts_by_value(reviews, kinds).agg(
+        F.coalesce(F.sum(F.when(place, F.col("n"))), F.lit(0)).alias("reviews"),
+        F.count_if(reviewer & known).alias("unique_reviewers"),
+        F.count_if(place & known & (F.col("n") == cap)).alias("at_cap"),
+        F.count_if(place & known).alias("groups"),
+        *_repeats(),
+        *(
+            F.coalesce(
+                F.sum(F.when((F.col("kind") == c) & (F.col("value") == "true"), F.col("n"))),
+                F.lit(0),
+            ).alias(c)
+            for c in gaps
+        ),
+    )
+    places = copies.agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("restaurants"))
+    overall = ["reviews", "unique_reviewers", "at_cap", "groups"]
+    sections = F.when(F.col("metric").isin(overall), "overview").otherwise("quality")
+    result = _text_facts(featured, copies)
+    return result.unionByName(_as_metrics("overview", places)).unionByName(
+        _as_metrics("", whole).withColumn("section", sections)
+    )

@@ -69,10 +69,10 @@ def running_totals(
     ``measures`` maps an input column to its output: the sum up to and including the row. Each
     output comes with ``<output>_all``, the sum over the group. Slots are cut at quantiles of the
     distinct values, so they stay even whatever the distribution; by default there are as many
-    as shuffle partitions, within 16 and 256.
+    as shuffle partitions, 16 at least.
     """
     if slots is None:
-        slots = min(256, max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+        slots = max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = [i / slots for i in range(1, slots)]
     bounds = df.agg(F.percentile_approx(value, F.lit(cuts), F.lit(10_000)).alias("b")).scalar()
     slot = F.size(F.filter("_bounds", lambda b: b < F.col(value)))

@@ -14,7 +14,7 @@ from tastelens.operators import dedup, prepare
 from tastelens.plans.registry import (
     CLEAN, DOCS, HITS, KEPT, META, QUALITY, TOKENS, ascii_share, query, r, with_,
 )
-from tastelens.session import scratch_path
+from tastelens.session import cut, scratch_path
 from tastelens.sources import files, lexicons
 from tastelens.sources.tables import Tables
 
@@ -266,9 +266,9 @@ def _(t: Tables) -> DataFrame:
 
 @query("modeling_sorted", sql=SAFE_SQL + " ORDER BY pub NULLS LAST, review_id NULLS LAST")
 def _(t: Tables) -> DataFrame:
-    return _plain(
-        prepare.in_review_order(prepare.modelling_table(t.review_features(), t.places()))
-    )
+    # a range sort samples its input first: the cleaned rows are stored and read twice instead
+    stored = cut(prepare.modelling_table(t.review_features(), t.places()))
+    return _plain(prepare.in_review_order(stored))
 
 
 @query(

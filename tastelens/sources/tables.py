@@ -39,15 +39,14 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def spread(self, df: DataFrame, key: str) -> DataFrame:
-        """Rows over all cores when the files give fewer splits than that.
+        """Rows of a table that is a single file over all cores.
 
-        A small file is one task, however costly its rows; large inputs have splits enough and
-        are left where they are.
+        Such a file is one task, however costly its rows. Tables of many files have splits
+        enough and are left where they are.
         """
-        cores = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
+        if len(df.inputFiles()) > 1:
             return df
-        return df.repartition(cores, key)
+        return df.repartition(self.spark.sparkContext.defaultParallelism, key)
 
     def documents(self) -> DataFrame:
         return self.spread(self.read("documents"), "doc_id")

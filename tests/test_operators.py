@@ -227,8 +227,18 @@ def test_repeated_counts_missing_as_equal(spark):
     df = spark.createDataFrame(
         [(None, None), (None, None), ("a", "b"), ("a", "b"), ("a", None)], "t string, u string"
     )
-    assert df.agg(audit.repeated("t", "u")).first()[0] == 2
-    assert df.agg(audit.repeated("t", "u", digest=True)).first()[0] == 2
+    counts = audit.counts_by_value(df, {"pair": ["t", "u"], "one": ["t"], "gap": F.col("u").isNull()})
+    beyond = counts.groupBy("kind").agg(F.sum(F.col("n") - 1)).collect()
+    assert dict(map(tuple, beyond))["pair"] == 2
+
+
+def test_audit_reads_the_reviews_twice(spark, folder):
+    from tastelens.sources.tables import Tables
+
+    t = Tables(spark, folder)
+    summary = audit.audit_summary(t.doc_reviews(), t.places(), t.review_features())
+    plan = summary._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [doc_id") == 2
 
 
 # --- ranks and quantiles ----------------------------------------------------------------------------
