@@ -17,10 +17,7 @@ def test_matches_sql(spark, folder, con, name):
     assert difference(entry.queries()[name](spark, folder), con, SQL[name]) is None
 
 
-SLOW = {"grid_search", "random_search", "permutation_importance"}
-
-
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(SQL)))
 def test_gives_rows(spark, folder, name):
     assert entry.queries()[name](spark, folder).count() > 0
 
