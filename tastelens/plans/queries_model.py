@@ -520,7 +520,7 @@ def _(t: Tables) -> DataFrame:
 
 
 # Settings of the registered learners: see "Open" in the README.
-RF_TREES, RF_DEPTH, ROUNDS = 200, 8, 20
+RF_TREES, RF_DEPTH = 200, 8
 
 # --- learners --------------------------------------------------------------------------------------------
 
@@ -564,16 +564,14 @@ def _(t: Tables) -> DataFrame:
 
 @query("gbt_predict", sql=TESTED)
 def _(t: Tables) -> DataFrame:
-    model = learning.boosted(
-        "target_five_star", validation="is_validation", maxIter=ROUNDS, maxDepth=3
-    )
+    model = learning.boosted("target_five_star", validation="is_validation")
     return _answers(t, model)
 
 
 @query("gbt_weighted", sql=TESTED)
 def _(t: Tables) -> DataFrame:
     model = learning.boosted(
-        "target_five_star", maxIter=ROUNDS, maxDepth=3, subsamplingRate=0.8,
+        "target_five_star", maxIter=200, maxDepth=4, subsamplingRate=0.8,
         featureSubsetStrategy="0.8",
     )
     return _answers(t, model)
