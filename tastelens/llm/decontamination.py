@@ -1,10 +1,9 @@
-"""Benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
+"""Benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
 
-The n-grams of the test items are counted in the corpus. An item's seeds are its rare n-grams,
-those that are not much more frequent than its median one: n-grams that occur by chance in many
-other texts are left out, while copies of the item, however many, raise all its n-grams alike and
-edited copies take only some of them away. Where a passage holds a seed, the words around it are
-aligned with the item by Smith-Waterman, so that edited and paraphrased copies score as well.
+Every n-gram of a test item is a seed, however often it occurs: frequency cannot tell chance from
+copies edited alike. Where a passage holds a seed and shares so many words with the item that an
+alignment could reach the wanted score, the words around it are aligned with the item by
+Smith-Waterman, so that edited and paraphrased copies score as well.
 """
 
 from __future__ import annotations
@@ -22,10 +21,10 @@ from tastelens.llm.batches import map_texts
 _WORD = re.compile(r"\w+")
 # Alignment scores of equal words, other words and skipped words.
 MATCH, MISMATCH, GAP = 1.0, -1.0, -1.0
-# An n-gram is common from so many times the median frequency of its item.
-COMMON = 4
 # Words of an item that start one window of the alignment, and pairs aligned at once.
 BIN, AT_ONCE = 16, 2_048
+# Places of seeds in items, and words of windows, looked at in one go.
+SEEDS_AT_ONCE, WORDS_AT_ONCE = 1_000_000, 1_000_000
 # Characters of test items sent to the tasks at once; more items make more passes.
 BLOCK_CHARS = 8_000_000
 
@@ -61,9 +60,17 @@ class Items:
         found = [self.grams(codes) for codes in self.items]
         sizes = [len(g) for g in found]
         flat = np.concatenate(found) if found else np.zeros(0, np.int64)
-        self.known, self.which = np.unique(flat, return_inverse=True)
-        self.owner = np.repeat(np.arange(len(found)), sizes)
-        self.offset = np.concatenate([np.arange(s) for s in sizes] or [np.zeros(0, int)])
+        self.seeds, which = np.unique(flat, return_inverse=True)
+        order = np.argsort(which, kind="stable")
+        self.seed_owner = np.repeat(np.arange(len(found)), sizes)[order]
+        offset = np.concatenate([np.arange(s) for s in sizes] or [np.zeros(0, int)])
+        self.seed_offset = offset[order]
+        self.seed_bounds = np.searchsorted(which[order], np.arange(len(self.seeds) + 1))
+        # how often each item has each of its words
+        self.base, self.sizes = base, np.array([len(c) for c in self.items], dtype=np.int64)
+        words = np.concatenate(self.items) if self.items else np.zeros(0, np.int64)
+        owner = np.repeat(np.arange(len(self.items)), self.sizes)
+        self.bag, self.bag_counts = np.unique(owner * base + words, return_counts=True)
 
     def codes(self, words: list[str]) -> np.ndarray:
         get = self.vocabulary.get
@@ -90,22 +97,21 @@ class Items:
         hit = known[at] == grams[places]
         return places[hit], at[hit]
 
-    def choose(self, frequency: np.ndarray) -> None:
-        """Keeps as seeds the n-grams up to COMMON times the median of those that occur."""
-        often = frequency[self.which]
-        keep = np.zeros(len(often), dtype=bool)
-        for item in range(len(self.items)):
-            begin, end = np.searchsorted(self.owner, [item, item + 1])
-            rows = slice(begin, end)
-            seen = often[rows] > 0
-            if seen.any():
-                keep[rows] = seen & (often[rows] <= COMMON * np.median(often[rows][seen]))
-        order = np.argsort(self.which[keep], kind="stable")
-        which = self.which[keep][order]
-        self.seed_owner, self.seed_offset = self.owner[keep][order], self.offset[keep][order]
-        numbers, starts = np.unique(which, return_index=True)
-        self.seeds = self.known[numbers]
-        self.seed_bounds = np.append(starts, len(which))
+    def may_reach(self, codes, owner, first, end, least: float) -> np.ndarray:
+        """Whether windows share enough words with their items, repeats counted, for ``least``;
+        no alignment scores more than one for each shared word."""
+        sizes = end - first
+        pair = np.repeat(np.arange(len(owner)), sizes)
+        places = np.arange(len(pair)) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
+        words = codes[places]
+        pair, words = pair[words >= 0], words[words >= 0]
+        keys = owner[pair] * self.base + words
+        at = np.minimum(np.searchsorted(self.bag, keys), len(self.bag) - 1)
+        hit = self.bag[at] == keys
+        met, counts = np.unique(pair[hit] * len(self.bag) + at[hit], return_counts=True)
+        shared = np.minimum(counts, self.bag_counts[met % len(self.bag)])
+        total = np.bincount(met // len(self.bag), shared, len(owner))
+        return total >= least * self.sizes[owner]
 
 
 def align(items: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,20 +144,42 @@ def _padded(rows: list[np.ndarray], fill: int) -> np.ndarray:
     return made
 
 
-def _candidates(items: Items, grams: np.ndarray, length: int):
-    """(item, first word, end) of the windows around the seeds of one text."""
-    places, seeds = items.lookup(items.seeds, grams)
-    begin, end = items.seed_bounds[seeds], items.seed_bounds[seeds + 1]
-    sizes = end - begin
-    rows = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
-    owner = items.seed_owner[rows]
-    lead = np.repeat(places, sizes) - items.seed_offset[rows]
-    found = np.unique(np.stack([owner, lead // BIN], axis=1), axis=0) if len(owner) else []
-    for item, block in found:
-        size = len(items.items[item])
+def _parts(sizes: np.ndarray, most: int):
+    """Slices of about ``most`` in total, of at least one entry each."""
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    begin = 0
+    while begin < len(sizes):
+        end = int(np.searchsorted(total, total[begin] + most, side="right")) - 1
+        end = max(begin + 1, end)
+        yield slice(begin, end)
+        begin = end
+
+
+def _candidates(items: Items, codes: np.ndarray, least: float) -> set[tuple[int, int, int]]:
+    """(item, first word, end) of the windows around the seeds of one text that may reach
+    ``least``."""
+    every, seeds = items.lookup(items.seeds, items.grams(codes))
+    begins = items.seed_bounds[seeds]
+    counts = items.seed_bounds[seeds + 1] - begins
+    found = set()
+    for part in _parts(counts, SEEDS_AT_ONCE):
+        places, begin, sizes = every[part], begins[part], counts[part]
+        rows = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+        lead = np.repeat(places, sizes) - items.seed_offset[rows]
+        # the block is at least -(longest item) // BIN, so that the pairs fit one number
+        span = len(codes) // BIN + 2 + int(items.sizes.max()) // BIN
+        low = -(int(items.sizes.max()) // BIN + 1)
+        pairs = np.unique(items.seed_owner[rows] * span + lead // BIN - low)
+        owner, block = pairs // span, pairs % span + low
+        size = items.sizes[owner]
         slack = size // 2 + BIN
-        first = max(0, int(block) * BIN - slack)
-        yield int(item), first, min(length, (int(block) + 1) * BIN + size + slack)
+        first = np.maximum(0, block * BIN - slack)
+        end = np.minimum(len(codes), (block + 1) * BIN + size + slack)
+        for some in _parts(end - first, WORDS_AT_ONCE):
+            window = owner[some], first[some], end[some]
+            fits = items.may_reach(codes, *window, least)
+            found.update(zip(*(w[fits].tolist() for w in window)))
+    return found
 
 
 def leaks_of(texts: list, items: Items, least: float) -> list[list[dict]]:
@@ -160,10 +188,10 @@ def leaks_of(texts: list, items: Items, least: float) -> list[list[dict]]:
     wanted = [
         (row, *window)
         for row, codes in enumerate(coded)
-        for window in _candidates(items, items.grams(codes), len(codes))
+        for window in _candidates(items, codes, least)
     ]
     best: dict[tuple[int, int], tuple] = {}
-    wanted.sort(key=lambda w: w[3] - w[2])
+    wanted.sort(key=lambda w: (w[3] - w[2], w))
     for at in range(0, len(wanted), AT_ONCE):
         part = wanted[at : at + AT_ONCE]
         left = [items.items[i] for _, i, _, _ in part]
@@ -201,28 +229,6 @@ def leaks_of(texts: list, items: Items, least: float) -> list[list[dict]]:
     return result
 
 
-def _frequencies(docs: DataFrame, items, size: int, text: str) -> np.ndarray:
-    """In how many documents each known n-gram of a block occurs."""
-
-    def count(batches):
-        block = items.value
-        total = np.zeros(len(block.known), dtype=np.int64)
-        for batch in batches:
-            for value in batch.column(0):
-                grams = block.grams(block.codes(words_of(value.as_py())))
-                total[np.unique(block.lookup(block.known, grams)[1])] += 1
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["gram", "n"]
-        )
-
-    parts = docs.select(text).mapInArrow(count, "gram bigint, n bigint")
-    frequency = np.zeros(size, dtype=np.int64)
-    for row in parts.groupBy("gram").agg(F.sum("n").alias("n")).collect():
-        frequency[row["gram"]] = row["n"]
-    return frequency
-
-
 _FOUND = "array<struct<item_id:bigint,similarity:double,begin:bigint,end:bigint>>"
 
 
@@ -241,7 +247,7 @@ def with_leaks(
 
     ``similarity`` is the alignment score over that of a full copy of the item, at least ``least``;
     ``begin`` and ``end`` are code points of the aligned passage. The items are sent to the tasks
-    in blocks of at most about BLOCK_CHARS characters, each in two passes over the documents.
+    in blocks of at most about BLOCK_CHARS characters, each in one pass over the documents.
     Null texts, items without an id and items of fewer than ``n`` words match nothing; items
     repeated with one id and text count once; repeated documents stay; empty tables give empty
     arrays or an empty table. Only ``keep`` columns are passed on.
@@ -256,10 +262,7 @@ def with_leaks(
     for number in range(blocks):
         mine = F.pmod(F.xxhash64("item", "content"), F.lit(blocks)) == number
         rows = sorted((r["item"], r["content"]) for r in items.filter(mine).collect())
-        block = Items(rows, n)
-        shared = session.sparkContext.broadcast(block)
-        block.choose(_frequencies(docs, shared, len(block.known), text))
-        seeded = session.sparkContext.broadcast(block)
+        seeded = session.sparkContext.broadcast(Items(rows, n))
 
         def start(seeded=seeded):
             def compute(texts):

@@ -294,6 +294,20 @@ def test_leaks_of_edited_copies(spark, monkeypatch):
     assert decontamination.leaks(df.limit(0), bench).collect() == []
 
 
+def test_leaks_of_many_copies_edited_alike(spark):
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(6))
+    words = [word() for _ in range(40)]
+    edited = [word() if at % 5 == 4 else w for at, w in enumerate(words)]
+    rows = [(0, " ".join(words))]
+    rows += [(i, " ".join([word() for _ in range(30)] + edited)) for i in range(1, 9)]
+    rows += [(9, " ".join(words[:3] * 50)), (10, " ".join(words[:19]))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(7, " ".join(words))], "item_id bigint, text string")
+    got = {r["doc_id"]: r["similarity"] for r in decontamination.leaks(df, bench).collect()}
+    assert got == {0: 1.0, **{i: 25 / 40 for i in range(1, 9)}}
+
+
 def brute_alignment(a, b):
     score = np.zeros((len(a) + 1, len(b) + 1))
     for i, x in enumerate(a):
