@@ -99,45 +99,87 @@ def read_json(text: str | None):
         return None, False
 
 
-def _levels(calls: DataFrame) -> DataFrame:
-    """(call_id, level): sorted by level, turn and identifier, every call follows what it needs.
+def _anchored(chain: DataFrame) -> DataFrame:
+    """(call_id, anchor, steps): the first call off the chains that each call of a chain leads to.
 
-    Where all dependencies of a conversation lie before the call, in the conversation itself, the
-    turns are a topological order already and the level is 0; one join verifies that. The other
-    conversations are taken apart in rounds, each removing the calls that wait for nothing: as
-    many rounds as their longest chain. Calls on a cycle, and those behind it, get no level.
+    ``chain``: call_id, needs, one row per call of a chain. Pointers are doubled, so a chain of n
+    calls takes about log2(n) rounds; calls that lead into a cycle are left out.
     """
-    group = F.coalesce(F.col("conv_id").cast("string"), F.lit("\0"))
-    names = calls.select("call_id", group.alias("group"), "turn")
-    needed = names.select(*(F.col(c).alias(f"n_{c}") for c in names.columns))
-    edges = calls.select("call_id", group.alias("group"), "turn", F.explode("depends_on").alias("needs"))
-    edges = cut(edges.join(needed, F.col("needs") == F.col("n_call_id")))
-    here = F.struct("turn", "call_id")
-    straight = (F.col("group") == F.col("n_group")) & F.coalesce(
-        (F.col("n_turn") < F.col("turn")) | (F.struct("n_turn", "needs") < here), F.lit(False)
+    chain = cut(chain)
+    members = chain.select(F.col("call_id").alias("needs"), F.lit(True).alias("on"))
+    state = cut(
+        chain.join(members, "needs", "left").select(
+            "call_id", F.col("needs").alias("anchor"), F.lit(1).alias("steps"),
+            F.col("on").isNotNull().alias("open"),
+        )
     )
-    crooked = edges.filter(~straight).select(F.explode(F.array("group", "n_group")).alias("group"))
-    crooked = cut(crooked.distinct())
-    ordered = names.join(crooked, "group", "left_anti").select("call_id", F.lit(0).alias("level"))
-    left = crooked.count()
-    if not left:
-        return ordered
-    edges = cut(edges.join(crooked, "group").select("call_id", "needs").distinct())
-    names = names.join(crooked, "group").select("call_id")
-    ready, level = cut(names.join(edges.select("call_id"), "call_id", "left_anti")), 0
-    done, left = ready.withColumn("level", F.lit(0)), edges.count()
-    while left:
-        level += 1
-        rest = cut(edges.join(ready.withColumnRenamed("call_id", "needs"), "needs", "left_anti"))
-        waited = edges.select("call_id").distinct()
-        ready = cut(waited.join(rest.select("call_id"), "call_id", "left_anti"))
-        done = done.union(ready.withColumn("level", F.lit(level)))
-        if level % 32 == 0:
-            done = cut(done)
-        edges, before, left = rest, left, rest.count()
-        if left == before:
-            break
-    return ordered.union(done)
+    # a chain has no more calls than there are, so whatever is open beyond that is on a cycle
+    total, reach = state.count(), 1
+    while reach <= total and state.filter("open").limit(1).count():
+        jump = state.select(
+            F.col("call_id").alias("anchor"), F.col("anchor").alias("far"),
+            F.col("steps").alias("more"), F.col("open").alias("still"),
+        )
+        moved = state.filter("open").join(jump, "anchor").select(
+            "call_id", F.col("far").alias("anchor"), (F.col("steps") + F.col("more")).alias("steps"),
+            F.col("still").alias("open"),
+        )
+        state = cut(state.filter(~F.col("open")).union(moved))
+        reach *= 2
+    return state.filter(~F.col("open")).drop("open")
+
+
+def _levels(calls: DataFrame) -> DataFrame:
+    """(call_id, level): the calls on the longest chain of known dependencies below each call.
+
+    Calls that need one other call are led along their chains by pointer doubling; what remains,
+    calls that need several, is taken apart in rounds, as many as their longest chain with the
+    plain chains left out. Calls on a cycle, and those behind it, get no level.
+    """
+    names = calls.select("call_id")
+    edges = calls.select("call_id", F.explode("depends_on").alias("needs"))
+    edges = cut(edges.join(names.withColumnRenamed("call_id", "needs"), "needs", "left_semi"))
+    degree = edges.groupBy("call_id").agg(F.count(F.lit(1)).alias("n"), F.min("needs").alias("needs"))
+    degree = cut(degree)
+    chains = cut(_anchored(degree.filter("n = 1").select("call_id", "needs")))
+    done = names.join(degree, "call_id", "left_anti").withColumn("level", F.lit(0))
+    several = degree.filter("n > 1").select("call_id")
+    if several.limit(1).count():
+        # every need gives way to its anchor; one that leads into a cycle keeps no anchor
+        whole = edges.join(several, "call_id", "left_semi")
+        single = degree.filter("n = 1").select(F.col("call_id").alias("needs"), F.lit(True).alias("on"))
+        ends = chains.select(F.col("call_id").alias("needs"), "anchor", "steps")
+        waiting = cut(
+            whole.join(single, "needs", "left").join(ends, "needs", "left").select(
+                "call_id",
+                F.when(F.col("on").isNull(), F.col("needs")).otherwise(F.col("anchor")).alias("anchor"),
+                (F.coalesce("steps", F.lit(0)) + 1).alias("steps"),
+                F.lit(None).cast("int").alias("level"),
+            )
+        )
+        done = ready = cut(done)
+        rounds = 0
+        while True:
+            known = ready.select(F.col("call_id").alias("anchor"), F.col("level").alias("below"))
+            waiting = cut(
+                waiting.join(known, "anchor", "left").select(
+                    "call_id", "anchor", "steps",
+                    F.coalesce("level", F.col("below") + F.col("steps")).alias("level"),
+                )
+            )
+            ready = waiting.groupBy("call_id").agg(
+                F.max("level").alias("level"), F.count_if(F.col("level").isNull()).alias("open")
+            )
+            ready = cut(ready.filter("open = 0").drop("open"))
+            if not ready.limit(1).count():
+                break
+            rounds += 1
+            done = done.union(ready)
+            done = cut(done) if rounds % 32 == 0 else done
+            waiting = waiting.join(ready.select("call_id"), "call_id", "left_anti")
+    below = done.select(F.col("call_id").alias("anchor"), "level")
+    led = chains.join(below, "anchor").select("call_id", (F.col("level") + F.col("steps")).alias("level"))
+    return done.union(led)
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -151,9 +193,9 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     ``unnamed``, their results are left out.
 
     Returns call_id, conv_id, turn, name, n_calls, n_results, status (answered, unanswered,
-    orphan, unnamed), level (calls sorted by level, turn and identifier follow what they need;
-    null on a cycle and for rows without a call or identifier), missing (dependencies that are no call), errors (array, empty
-    if the arguments fit the schema) and record, the canonical JSON of call and result, null if
+    orphan, unnamed), level (the calls on the longest chain of calls that it waits for, 0 if
+    it waits for none; null on a cycle, behind one and for rows without a call or identifier),
+    missing (dependencies that are no call), errors (array, empty if the arguments fit the schema) and record, the canonical JSON of call and result, null if
     the arguments are no JSON. A call without schema has the error ``no schema``, as one whose
     schema is no JSON; of schemas that repeat a name the smallest text counts. Empty tables give
     no rows of their kind.

@@ -424,6 +424,43 @@ def test_tool_calls(spark):
     assert none.collect() == []
 
 
+def test_levels_are_the_longest_chains(spark):
+    draw = random.Random(9)
+    needs = {"a0": [], **{f"a{i}": [f"a{i - 1}"] for i in range(1, 70)}}
+    needs |= {"loop0": ["loop2"], "loop1": ["loop0"], "loop2": ["loop1"], "tail": ["loop1"], "self": ["self"]}
+    needs |= {"wide": ["a69", "a3"], "behind": ["tail", "a1"], "after": ["wide"], "lost": ["none", "after"]}
+    for i in range(60):
+        needs[f"r{i}"] = [f"r{j}" for j in range(i) if draw.random() < 0.06] + draw.sample(["a5", "x"], 1)
+
+    def depth(call, path=()):
+        if call in path:
+            return None
+        below = [depth(n, (*path, call)) for n in needs[call] if n in needs]
+        return None if None in below else max(below, default=-1) + 1
+
+    rows = [(c, i % 4, i, n) for i, (c, n) in enumerate(needs.items())]
+    calls = spark.createDataFrame(rows, "call_id string, conv_id int, turn int, depends_on array<string>")
+    found = tool_calls._levels(calls).collect()
+    assert len(found) == len({r["call_id"] for r in found})
+    assert dict(found) == {c: d for c in needs if (d := depth(c)) is not None}
+
+
+def test_levels_of_the_query_are_depths(spark):
+    """Rows of a chain of calls two turns apart, numbered from 0."""
+    wanted = duckdb.sql(f"""
+        WITH calls AS (
+          SELECT DISTINCT conv_id, turn, conv_id || ':' || turn AS id
+          FROM '{DATA}/conversations.parquet' WHERE role IN ('user', 'system')),
+        chain AS (
+          SELECT *, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run
+          FROM calls)
+        SELECT id, row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 FROM chain
+    """).fetchall()
+    got = queries.QUERIES["op3_tool_calls"](spark, DATA).filter("status <> 'orphan'")
+    assert dict(got.select("call_id", "level").collect()) == dict(wanted)
+    assert max(level for _, level in wanted) > 1
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_against_sql(spark, name):
     from compare import difference, duck
