@@ -29,11 +29,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash component; rows without an id stay,
-    rows that repeat an id and its component stay as they are."""
-    found = simhash.near_duplicates(docs, NEAR_WORDS, NEAR_BITS)
-    others = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each SimHash component, that with the smallest id; rows without an id come last."""
+    return simhash.first_rows(docs, NEAR_WORDS, NEAR_BITS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tastelens.llm.batches import map_texts
 from tastelens.llm.components import connected
-from tastelens.session import cut
+from tastelens.session import cut, scratch_path
 
 BITS = 64
 # Fingerprints that one prefix should receive on average.
@@ -63,10 +63,16 @@ def fingerprints_of(texts: list, words: int, seed: int) -> np.ndarray:
     return np.ascontiguousarray(packed).view(np.uint64).ravel()
 
 
+def _free(names: list[str], name: str) -> str:
+    while name in names:
+        name += "_"
+    return name
+
+
 def fingerprints(
-    df: DataFrame, words: int, seed: int = 42, text: str = "text", keep=("doc_id",)
+    df: DataFrame, words: int, seed: int = 42, text: str = "text", keep=("doc_id",), out: str = "bits"
 ) -> DataFrame:
-    """Adds ``bits``, the SimHash of a text's word shingles as a long (the bits unsigned).
+    """Adds ``out``, the SimHash of a text's word shingles as a long (the bits unsigned).
 
     Letters A-Z are lower-cased, words are runs without ASCII white space. A text of at most
     ``words`` words is one shingle; a null text or one without words has fingerprint zero.
@@ -78,7 +84,7 @@ def fingerprints(
 
         return compute
 
-    return map_texts(df, text, keep, "bits bigint", start)
+    return map_texts(df, text, keep, f"{out} bigint", start)
 
 
 def ball(bits: int, flips: int) -> int:
@@ -187,6 +193,14 @@ def links(distinct: DataFrame, radius: int, count: int, bits: str = "bits") -> D
     return dealt.groupBy("prefix").applyInArrow(meet, "a bigint, b bigint")
 
 
+def _rooted(distinct: DataFrame, radius: int) -> DataFrame:
+    """``distinct`` fingerprints with ``root``, the same for all of a component."""
+    nodes = connected(links(distinct, radius, distinct.count()), "a", "b")
+    return distinct.join(nodes, F.col("bits") == F.col("node"), "left").select(
+        *distinct.columns, F.coalesce("component", "bits").alias("root")
+    )
+
+
 def near_duplicates(
     df: DataFrame,
     words: int,
@@ -206,10 +220,7 @@ def near_duplicates(
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("content"))
     rows = cut(fingerprints(rows, words, seed, "content", ["key"]))
     distinct = cut(rows.groupBy("bits").agg(F.min("key").alias("least")))
-    nodes = connected(links(distinct, radius, distinct.count()), "a", "b")
-    classes = distinct.join(nodes, F.col("bits") == F.col("node"), "left").select(
-        "bits", "least", F.coalesce("component", "bits").alias("root")
-    )
+    classes = _rooted(distinct, radius)
     named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = classes.join(named, "root").select("bits", "component_id")
     return rows.join(classes, "bits").select(
@@ -217,3 +228,35 @@ def near_duplicates(
         F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def first_rows(
+    df: DataFrame,
+    words: int,
+    radius: int,
+    seed: int = 42,
+    key: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """One whole row of every component: the smallest key, null keys last.
+
+    Rows that share a key, or have none, are told apart by a number of their own, which is written
+    with them; among such rows any one may be the first. An empty table gives an empty one.
+    """
+    names = df.columns
+    number, bits = (_free(names, n) for n in ("row", "bits"))
+    path = scratch_path(df.sparkSession, "fingerprints")
+    numbered = df.withColumn(number, F.monotonically_increasing_id())
+    fingerprints(numbered, words, seed, text, [*names, number], bits).write.parquet(path)
+    whole = df.sparkSession.read.parquet(path)
+    rows = whole.select(
+        F.col(bits).alias("bits"),
+        F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col(number).alias("row")).alias("place"),
+    )
+    distinct = cut(rows.groupBy("bits").agg(F.min("place").alias("least")))
+    classes = _rooted(distinct, radius)
+    firsts = classes.groupBy("root").agg(F.min("least").alias("first"))
+    firsts = classes.join(firsts, "root").select("bits", F.col("first.row").alias("first"))
+    others = rows.join(firsts, "bits").filter(F.col("place.row") != F.col("first"))
+    others = others.select(F.col("place.row").alias(number))
+    return whole.join(others, number, "left_anti").select(*names)

@@ -491,6 +491,19 @@ def test_pipeline_against_its_stages_done_plainly(spark, docs, texts):
     assert got == wanted
 
 
+def test_one_row_of_each_near_duplicate_class_stays(spark, folder):
+    draw = random.Random(11)
+    text = lambda: " ".join("".join(draw.choices("abcdefghij", k=6)) for _ in range(30))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(1, a), (5, a), (5, b), (5, b), (None, c), (None, c), (None, c), (None, a), (7, c), (None, d)]
+    rows += [(None, d), (8, e), (8, e)]
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id bigint, text string, row string, bits string")
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, folder)
+    assert left.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str)
+    assert got == sorted([(1, a), (5, b), (7, c), (None, d), (8, e)], key=str)
+
+
 def test_pipeline_stages_keep_the_columns(spark, tmp_path):
     rows = [(i, f"some words of text number {i} and {'x' * i}", "en", "src0", 10, "a", "b") for i in range(12)]
     rows += [(None, None, None, None, None, None, None), (3, rows[3][1], "en", "src0", 10, "a", "b"), (20, "", "en", "s", 0, "a", "b")]
