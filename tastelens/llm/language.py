@@ -9,6 +9,7 @@ Texts are scored in batches by matrix products with the landmarks.
 from __future__ import annotations
 
 import sys
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,10 @@ from tastelens.llm.samples import share
 LONGEST = 3
 # n-grams are told apart by this many hashed bits.
 SLOT_BITS = 16
-# Documented bounds of the fit: languages, training texts and landmarks per language.
-LANGUAGES, PER_LANGUAGE, LANDMARKS = 64, 1_000, 24
+# Documented bounds of the fit: training texts and landmarks per language, and of all languages
+# together; a language keeps LEAST_TEXTS texts, however many languages there are.
+PER_LANGUAGE, LANDMARKS = 1_000, 24
+ALL_TEXTS, ALL_LANDMARKS, LEAST_TEXTS = 64_000, 1_536, 40
 RIDGE = 1e-2
 UNKNOWN = "und"
 
@@ -109,44 +112,52 @@ def fit(
 ) -> LanguageModel:
     """Learns from the rows where ``learnable`` holds and label and text are present.
 
-    Bounds of the fit: the LANGUAGES most frequent labels, about PER_LANGUAGE texts of each, the
-    first LANDMARKS of which are landmarks. Without such rows the model knows no language.
+    Every label is learned. Bounds of the fit: about PER_LANGUAGE texts and LANDMARKS landmarks of
+    each label, fewer where ALL_TEXTS and ALL_LANDMARKS, shared evenly, give less. Without such
+    rows the model knows no language.
     """
     rows = docs.filter(learnable & F.col(label).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).alias("key"), F.col(text).alias("content"), F.col(label).alias("label")
     ).filter(F.col("content").rlike(r"\p{L}"))
-    counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES)
-    sizes = sorted((r["label"], r["count"]) for r in counts.collect())
+    counts = rows.groupBy("label").count()
+    sizes = sorted((str(r["label"]), r["count"]) for r in counts.collect())
     if not sizes:
         return LanguageModel([], None, np.zeros((0, 0)))
+    known = F.broadcast(rows.sparkSession.createDataFrame(sizes, "label string, size bigint"))
 
-    def sample(most: int, seed: int) -> DataFrame:
-        rate = F.lit(0.0)
-        for name, size in sizes:
-            rate = F.when(F.col("label") == name, most / size).otherwise(rate)
-        return rows.filter(share("key", seed) < rate).dropDuplicates(["key"])
+    def sample(most: float, seed: int) -> DataFrame:
+        drawn = rows.withColumn("label", F.col("label").cast("string")).join(known, "label")
+        drawn = drawn.filter(share("key", seed) < F.lit(float(most)) / F.col("size"))
+        return drawn.drop("size").dropDuplicates(["key"])
 
-    marks = sample(LANDMARKS, 1).select("content").limit(2 * LANDMARKS * len(sizes)).collect()
+    each = min(LANDMARKS, ALL_LANDMARKS / len(sizes))
+    texts = min(PER_LANGUAGE, max(LEAST_TEXTS, ALL_TEXTS // len(sizes)))
+    marks = sample(each, 1).select("content").limit(2 * ceil(each * len(sizes))).collect()
     if not marks:
         marks = rows.select("content").limit(LANDMARKS).collect()
     table = letter_table()
     landmarks = Landmarks(presences([m[0] for m in marks], table)[0])
-    data = _kernel_rows(sample(PER_LANGUAGE, 2), landmarks, "content", ["label"]).toPandas()
+    data = _kernel_rows(sample(texts, 2), landmarks, "content", ["label"]).toPandas()
     languages = [name for name, _ in sizes]
     if not len(data):
         data = _kernel_rows(rows.limit(LANDMARKS), landmarks, "content", ["label"]).toPandas()
     kernel = np.stack(data["kernel"].to_numpy()).astype(np.float64)
-    target = np.where(data["label"].to_numpy()[:, None] == np.array(languages)[None, :], 1.0, -1.0)
+    place = {name: i for i, name in enumerate(languages)}
+    labels = np.array([place[str(x)] for x in data["label"]], dtype=np.int64)
     own = (landmarks.rows @ landmarks.rows.T).astype(np.float64)
     # Nyström features: the kernel times the inverse root of the landmarks' own kernel
     values, vectors = np.linalg.eigh(own)
     root = vectors / np.sqrt(np.maximum(values, 1e-6))
     features = np.hstack([kernel @ root, np.ones((len(kernel), 1))])
     # each language weighs the same, however many of its texts were drawn
-    weight = 1.0 / np.maximum((target > 0).sum(axis=0), 1)[target.argmax(axis=1)]
+    weight = 1.0 / np.bincount(labels, minlength=len(languages))[labels]
     weight = weight / weight.sum() * len(weight)
-    gram = features.T @ (features * weight[:, None]) + RIDGE * np.eye(features.shape[1])
-    solved = np.linalg.solve(gram, features.T @ (target * weight[:, None]))
+    weighted = features * weight[:, None]
+    gram = features.T @ weighted + RIDGE * np.eye(features.shape[1])
+    # the targets are 1 for a text's own language and -1 for all others
+    own_sums = np.zeros((len(languages), features.shape[1]))
+    np.add.at(own_sums, labels, weighted)
+    solved = np.linalg.solve(gram, 2 * own_sums.T - weighted.sum(axis=0)[:, None])
     return LanguageModel(languages, landmarks, np.vstack([root @ solved[:-1], solved[-1:]]))
 
 

@@ -342,6 +342,20 @@ def test_language(spark, docs, odd, empty):
     assert language.predict(empty, model).collect() == []
 
 
+def test_every_language_is_learned(spark):
+    draw, rows = random.Random(13), []
+    for number in range(80):
+        letters = [chr(0x4E00 + 40 * number + i) for i in range(12)]
+        for _ in range(30 - number // 8):
+            words = ("".join(draw.choices(letters, k=4)) for _ in range(12))
+            rows.append((len(rows), " ".join(words), f"l{number}"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.fit(docs, fold("doc_id", 5) != 0)
+    assert len(model.languages) == 80
+    found = held(language.predict(docs, model, keep=["doc_id", "lang"]).collect(), 5, 0)
+    assert np.mean([r["lang"] == r["lang_pred"] for r in found]) > 0.95
+
+
 def test_kernel_is_that_of_the_presence_sets():
     table = language.letter_table()
     rows, known = language.presences(["Ab c", "ab", "1 !", "zzz"], table)
