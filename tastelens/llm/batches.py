@@ -39,28 +39,56 @@ def map_texts(
     """``keep`` columns of every row, followed by the columns of the DDL string ``out``.
 
     ``start`` runs once per task and returns the function that turns a list of texts (null: None)
-    into one Arrow array per output column. A kept column with the name of an output column gives
-    way to it; all other columns of ``df`` are ignored.
+    into one Arrow array per output column. A kept column with the name of an output column, in
+    letters of either case, gives way to it; all other columns of ``df`` are ignored.
     """
     fields = df.sparkSession.createDataFrame([], out).schema.fields
     names = [f.name for f in fields]
-    kept = [c for c in keep if c not in names]
-    schema = df.select(*kept).schema
+    kept = without(keep, names)
+    row, content = free("row", names), free("text", names)
+    source = df.select(row_of(kept).alias(row), quoted(text).alias(content))
+    schema = source.select(row).schema
     for field in fields:
         schema = schema.add(field)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = start()
         for batch in batches:
-            for first, part in slices(batch.column(len(kept))):
-                rows = batch.slice(first, len(part))
-                made = list(compute(part))
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(i) for i in range(len(kept))] + made, names=kept + names
-                )
-
-    source = df.select(*kept, F.col(text).alias("_text" if "_text" not in kept else "_text_"))
-    return source.mapInArrow(run, schema)
+            for first, part in slices(batch.column(1)):
+                rows = batch.column(0).slice(first, len(part))
+                yield pa.RecordBatch.from_arrays([rows, *compute(part)], names=[row, *names])
+
+    made = source.mapInArrow(run, schema)
+    return made.select(*fields_of(row, kept), *map(quoted, names))
+
+
+def quoted(name: str) -> Column:
+    """A column by its plain name, dots and quotes included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free(name: str, taken: Iterable[str]) -> str:
+    """The name, lengthened until it is none of the taken ones in letters of either case."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
+def without(names: Iterable[str], gone: Iterable[str]) -> list[str]:
+    """The names that are none of ``gone`` in letters of either case."""
+    lower = {g.lower() for g in gone}
+    return [n for n in names if n.lower() not in lower]
+
+
+def row_of(names: Sequence[str]) -> Column:
+    """The columns as one struct, in which their names meet no others."""
+    return F.struct(*map(quoted, names)) if names else F.struct(F.lit(0).alias("none"))
+
+
+def fields_of(row: str, names: Sequence[str]) -> list[Column]:
+    """The columns that ``row_of`` put into ``row``."""
+    return [quoted(row).getField(n).alias(n) for n in names]
 
 
 class Numbering(dict):

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastelens.llm import (
+    alignment,
     bpe,
     decontamination,
     language,
+    packing,
     quality,
+    runs,
     secret_scan,
     simhash,
     token_counts,
@@ -26,10 +29,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 TOKEN_LIMIT = 1_024
 NEAR_WORDS, NEAR_BITS = 4, 4
 NEIGHBOURS = 5
 GOOD, TOXIC = 0.7, 0.5
+SEQUENCE, END = 2_048, 0
 
 
 def query(name: str, sql: str | None = None):
@@ -85,12 +90,18 @@ TOOLS = {
       SELECT id, min(conv_id) AS conv_id, min(turn) AS turn, count(*) AS n_calls,
              min(CASE role WHEN 'user' THEN 'ask' ELSE 'setup' END) AS name,
              min(text) AS text, min(words) AS words
-      FROM call GROUP BY id)
+      FROM call GROUP BY id),
+    chain AS (
+      SELECT *, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run
+      FROM calls),
+    levels AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS level
+      FROM chain)
     SELECT coalesce(c.id, r.id) AS call_id, c.conv_id, c.turn, c.name,
            coalesce(c.n_calls, 0) AS n_calls, coalesce(r.n_results, 0) AS n_results,
            CASE WHEN c.id IS NULL THEN 'orphan' WHEN r.id IS NULL THEN 'unanswered'
                 ELSE 'answered' END AS status,
-           CASE WHEN c.id IS NOT NULL THEN 0 END AS level,
+           CAST(c.level AS INTEGER) AS level,
            CASE WHEN c.turn >= 2 AND b.id IS NULL THEN 1 ELSE 0 END AS missing,
            CASE WHEN c.id IS NULL THEN 'no call' ELSE concat_ws(';',
              CASE WHEN c.name = 'ask' AND length(c.text) > 200 THEN '$.text: maxLength' END,
@@ -103,7 +114,7 @@ TOOLS = {
                   || ',"words":' || c.words || '},"id":"' || c.id || '","name":"' || c.name
                   || '","result":' || coalesce(CAST(to_json(r.content) AS VARCHAR), 'null') || '}'
                 END AS record
-    FROM calls c FULL JOIN results r ON c.id = r.id
+    FROM levels c FULL JOIN results r ON c.id = r.id
     LEFT JOIN calls b ON b.id = c.conv_id || ':' || (c.turn - 2)
     """,
 )
@@ -265,3 +276,60 @@ def op10(spark, folder):
         "doc_id", _held("doc_id", 5, 0), "score",
         (F.col("score") >= TOXIC).cast("int").alias("predicted"),
     )
+
+
+@query("op11_packing")
+def op11(spark, folder):
+    path = public_tokenizers.path(VOCABULARY)
+    return packing.pack(table(spark, folder, "documents"), path, SEQUENCE, END)
+
+
+def repeated_words(text, key):
+    """The text, or where crc32(key) ends in 0, its words from one place on repeated with a period;
+    both follow from the key."""
+    h = F.crc32(key.cast("string"))
+    g = F.floor(h / 10)
+
+    def repeat(words):
+        n = F.size(words)
+        a = (g % n).cast("int")
+        left = n - a
+        p = (1 + F.floor(left / (3 + g % 8))).cast("int")
+        times = F.floor(left / p).cast("int") + 1
+        again = F.flatten(F.array_repeat(F.slice(words, a + 1, p), times))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(again, F.lit(1), left)), " ")
+
+    word = F.lit(r"[^\x20\x09-\x0D]+")
+    words = F.regexp_extract_all(text, word, F.lit(0))
+    made = F.get(F.transform(F.array(words), repeat), F.lit(0))
+    return F.when((h % 10 == 0) & F.regexp_like(text, word), made).otherwise(text)
+
+
+@query("op12_runs")
+def op12(spark, folder):
+    docs = table(spark, folder, "documents")
+    docs = docs.select("doc_id", repeated_words(F.col("text"), F.col("doc_id")).alias("text"))
+    found = runs.find_runs(docs)
+    longest = F.array_min(
+        F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"], r["period"]))
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    length, period = -longest["less"], longest["period"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        longest["start"].alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_alignment")
+def op13(spark, folder):
+    docs = table(spark, folder, "documents")
+    return alignment.align_tokens(
+        docs, public_tokenizers.path(VOCABULARY), public_tokenizers.path(PIECES)
+    )
