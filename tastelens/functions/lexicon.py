@@ -188,48 +188,53 @@ def valence_sum(tokens: Column, table: Mapping[str, float]) -> Column:
     )
 
 
-def valence_words_in_context(text: Column) -> Column:
-    """One struct per word: position, word, the words ``before`` it (itself at 0), which of them
-    are ``loud``, the next word, mixed_case of the text and the position of its first *but*."""
-
-    def context(words: Column) -> Column:
-        cased = F.struct(
-            F.transform(words, lambda w: F.lower(w)).alias("lower"),
-            # most words are lower case already and are not compared any further
-            F.transform(words, lambda w: (w != F.lower(w)) & (w == F.upper(w))).alias("loud"),
+def cased_words(words: Column) -> Column:
+    """Struct of the words in lower case, which of them are ``loud`` (capitals), mixed_case of the
+    text and the position of its first *but*."""
+    cased = F.struct(
+        F.transform(words, lambda w: F.lower(w)).alias("lower"),
+        # most words are lower case already and are not compared any further
+        F.transform(words, lambda w: (w != F.lower(w)) & (w == F.upper(w))).alias("loud"),
+    )
+
+    def described(c: Column) -> Column:
+        return F.struct(
+            c.lower.alias("lower"),
+            c.loud.alias("loud"),
+            (F.exists(c.loud, lambda x: x) & F.exists(c.loud, lambda x: ~x)).alias("mixed_case"),
+            (F.array_position(c.lower, F.lit("but")) - 1).alias("but_at"),
         )
 
-        def described(c: Column) -> Column:
-            return F.struct(
-                c.lower.alias("lower"),
-                c.loud.alias("loud"),
-                (F.exists(c.loud, lambda x: x) & F.exists(c.loud, lambda x: ~x)).alias(
-                    "mixed_case"
-                ),
-                (F.array_position(c.lower, F.lit("but")) - 1).alias("but_at"),
-            )
+    return bind(cased, described)
+
 
-        return bind(cased, described)
+def in_context(cased: Column, position: Column, *more: Column) -> Column:
+    """Struct of one word of :func:`cased_words`: position, word, the words ``before`` it (itself
+    at 0), which of them are ``loud``, the next word, mixed_case and but_at of the text, and
+    ``more``."""
 
-    def back(items: Column, position: Column) -> Column:
+    def back(items: Column) -> Column:
         """The item at a 0-based position and the three before it, null before the first."""
         return F.array(*(F.get(items, F.when(position >= b, position - b)) for b in range(4)))
 
-    def described(ctx: Column) -> Column:
-        return F.transform(
-            ctx.lower,
-            lambda word, position: F.struct(
-                position.alias("position"),
-                word.alias("word"),
-                back(ctx.lower, position).alias("before"),
-                back(ctx.loud, position).alias("loud"),
-                F.get(ctx.lower, position + 1).alias("next"),
-                ctx.mixed_case.alias("mixed_case"),
-                ctx.but_at.alias("but_at"),
-            ),
-        )
+    return F.struct(
+        position.alias("position"),
+        F.get(cased.lower, position).alias("word"),
+        back(cased.lower).alias("before"),
+        back(cased.loud).alias("loud"),
+        F.get(cased.lower, position + 1).alias("next"),
+        cased.mixed_case.alias("mixed_case"),
+        cased.but_at.alias("but_at"),
+        *more,
+    )
+
 
-    return bind(bind(valence_words(text), context), described)
+def valence_words_in_context(text: Column) -> Column:
+    """One struct per word, see :func:`in_context`."""
+    return bind(
+        cased_words(valence_words(text)),
+        lambda c: F.transform(c.lower, lambda _, position: in_context(c, position)),
+    )
 
 
 def word_score(
@@ -381,7 +386,7 @@ def valence_profile(
 
     Each word of the table scores its valence, changed by capitals, by boosters, dampening phrases
     and negations up to three words back and by a following or preceding *but*; punctuation adds
-    emphasis. The table is compiled into the row; see ``valence_by_join`` for tables.
+    emphasis. The table is compiled into the row; see ``features_by_join`` for tables.
     """
 
     def scored(hit: Column) -> Column:

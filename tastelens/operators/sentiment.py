@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastelens import fixed_values as fv
@@ -151,14 +152,128 @@ def emotions_by_join(df: DataFrame, lexicon: DataFrame, key: str, text: str) ->
     )
 
 
-def _negated(hits: DataFrame, row: str, window: int) -> DataFrame:
-    """Hits with ``negated``: is a negation among the ``window`` tokens before?"""
-    earlier = Window.partitionBy(row).orderBy("position").rowsBetween(
-        Window.unboundedPreceding, -1
+# Bits of a word in the table of hits; emotions take the bits from EMOTION on, one per class.
+POSITIVE, NEGATIVE, NEGATION, EMOTION = 1, 2, 4, 8
+
+
+def hit_table(words: DataFrame | None, valence: DataFrame | None) -> DataFrame:
+    """(word, flags, valence): all lexicons as one, a repeated word with all its flags and the
+    largest of its valences."""
+
+    def bit(test: Column, value: int) -> Column:
+        return F.when(test, value).otherwise(0)
+
+    parts = []
+    if words is not None:
+        flags = bit(F.col("is_pos"), POSITIVE) + bit(F.col("is_neg"), NEGATIVE)
+        flags = flags + bit(F.col("is_negation"), NEGATION)
+        for place, cls in enumerate(fv.EMOTION_CLASSES):
+            flags = flags + bit(F.array_contains("emotions", cls), EMOTION << place)
+        parts.append(words.select("word", flags.alias("flags"), F.lit(None).cast("double").alias("valence")))
+    if valence is not None:
+        parts.append(valence.select("word", F.lit(0).alias("flags"), F.col("valence").cast("double")))
+    every = reduce(DataFrame.union, parts)
+    return every.groupBy("word").agg(F.bit_or("flags").alias("flags"), F.max("valence").alias("valence"))
+
+
+def _with_hits(rows: DataFrame, table: DataFrame, source: Column, polar: bool, valence: bool) -> DataFrame:
+    """Adds ``_polar`` (position, flags) and ``_valued`` (position, valence) to ``rows``, whose
+    texts are named by their digest ``_row``.
+
+    Tokens and valence words of a text are spread once, meet the table once, and what matches is
+    folded into one short array per distinct text; the texts themselves are not shuffled.
+    """
+    none = F.array().cast("array<string>")
+    tokens = tokenize(source) if polar else none
+    others = F.transform(L.valence_words(source), lambda w: F.lower(w)) if valence else none
+    spread = bind(
+        tokens, lambda t: F.struct(F.size(t).alias("n"), F.concat(t, others).alias("words"))
+    )
+    # positions from n on are those of the valence words
+    spots = compute_once(rows, {"_spread": spread}).select(
+        "_row", F.col("_spread.n").alias("n"), F.posexplode("_spread.words").alias("at", "word")
+    )
+    side = F.broadcast(table) if fits_broadcast(table) else table
+    first = F.col("at") < F.col("n")
+    hits = spots.join(side, "word").filter(F.when(first, F.col("flags") != 0).otherwise(F.col("valence").isNotNull()))
+    folds = []
+    if polar:
+        folds.append(F.collect_set(F.when(first, F.struct("at", "flags"))).alias("_polar"))
+    if valence:
+        other = F.struct((F.col("at") - F.col("n")).alias("at"), "valence")
+        folds.append(F.collect_set(F.when(~first, other)).alias("_valued"))
+    # a set: rows that repeat a text have the same hits
+    return rows.join(hits.groupBy("_row").agg(*folds), "_row", "left")
+
+
+def _negation_counts(hits: Column, window: int) -> Column:
+    """Struct of up, down and turned over hits in the order of their positions; a hit with a
+    negation among the ``window`` tokens before counts for the other side."""
+
+    def has(hit: Column, bit: int) -> Column:
+        return hit.flags.bitwiseAND(F.lit(bit)) != 0
+
+    def step(state: Column, hit: Column) -> Column:
+        near = hit["at"] - state.last <= window
+        up = F.when(near, has(hit, NEGATIVE)).otherwise(has(hit, POSITIVE))
+        down = F.when(near, has(hit, POSITIVE)).otherwise(has(hit, NEGATIVE))
+        either = has(hit, POSITIVE) | has(hit, NEGATIVE)
+        return F.struct(
+            F.when(has(hit, NEGATION), hit["at"]).otherwise(state.last).alias("last"),
+            (state.up + up.cast("bigint")).alias("up"),
+            (state.down + down.cast("bigint")).alias("down"),
+            (state.turned + (near & either).cast("bigint")).alias("turned"),
+        )
+
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(
+        F.lit(-1 - window).alias("last"), zero.alias("up"), zero.alias("down"), zero.alias("turned")
     )
-    last = F.max(F.when(F.col("is_negation"), F.col("position"))).over(earlier)
-    return hits.withColumn(
-        "negated", F.coalesce(F.col("position") - last <= window, F.lit(False))
+    # a negation at a place far before the first token is near to none
+    return F.aggregate(F.array_sort(hits), start, step)
+
+
+def _valence_of_hits(source: Column, hits: Column, lexicons: LexiconTables) -> Column:
+    """Struct (compound, neg, neu, pos) of a text and the places of its scored words."""
+
+    def scored(cased: Column, ordered: Column) -> Column:
+        def score(hit: Column, number: Column) -> Column:
+            def carries(back: Column) -> Column:
+                nearest = (F.get(ordered, number - b)["at"] for b in (1, 2, 3))
+                return reduce(
+                    lambda a, b: a | b,
+                    (F.coalesce(n == hit["at"] - back, F.lit(False)) for n in nearest),
+                )
+
+            return bind(
+                L.in_context(cased, hit["at"]),
+                lambda h: L.word_score(
+                    h, hit.valence, carries, lexicons.negations, lexicons.boosters,
+                    lexicons.dampeners, lexicons.phrases,
+                ),
+            )
+
+        return F.transform(ordered, score)
+
+    def shares(words: Column) -> Column:
+        scores = bind(
+            F.struct(L.cased_words(words).alias("c"), F.array_sort(hits).alias("o")),
+            lambda s: scored(s.c, s.o),
+        )
+        some = F.when(F.size(hits) > 0, scores).otherwise(F.array().cast("array<double>"))
+        return L.valence_shares(some, F.size(words), L.valence_emphasis(source))
+
+    return bind(L.valence_words(source), shares)
+
+
+def valence_by_join(df: DataFrame, lexicons: LexiconTables, text: str = "combined_text") -> DataFrame:
+    """The valence columns of :func:`with_text_features` alone."""
+    source = F.coalesce(F.col(text), F.lit(""))
+    rows = df.withColumn("_row", F.md5(source))
+    wide = _with_hits(rows, hit_table(None, lexicons.valence), source, False, True)
+    hits = F.coalesce("_valued", F.array().cast("array<struct<at:int,valence:double>>"))
+    return compute_once(wide, {"_val": _valence_of_hits(source, hits, lexicons)}).select(
+        *df.columns, "_val.*"
     )
 
 
@@ -176,51 +291,37 @@ def features_by_join(
     """
     source = F.coalesce(F.col(text), F.lit(""))
     rows = df.withColumn("_row", F.md5(source))
-    texts = rows.select("_row", source.alias("_text"))
-    hits = _negated(
-        match_tokens(texts, lexicons.words, "_row", "_text").distinct(), "_row", window
-    )
-    polar = F.col("is_pos") | F.col("is_neg")
-    turned = F.col("negated")
-    short = list(fv.SHORT_EMOTIONS.items())
-    counts = hits.groupBy("_row").agg(
-        F.count_if(F.when(turned, F.col("is_neg")).otherwise(F.col("is_pos"))).alias("_up"),
-        F.count_if(F.when(turned, F.col("is_pos")).otherwise(F.col("is_neg"))).alias("_down"),
-        F.count_if(turned & polar).alias("_turned"),
-        *(
-            F.count_if(F.array_contains("emotions", cls)).alias(f"_{cls}")
-            for cls in fv.EMOTION_CLASSES
-        ),
-    )
-    sizes = bind(
-        tokenize(source),
-        lambda t: F.struct(
-            F.size(t).cast("bigint").alias("token_count"),
-            F.size(F.array_distinct(t)).cast("bigint").alias("unique_token_count"),
+    table = hit_table(lexicons.words, lexicons.valence if valence else None)
+    wide = _with_hits(rows, table, source, True, valence)
+    hits = F.coalesce("_polar", F.array().cast("array<struct<at:int,flags:int>>"))
+
+    def of_class(place: int) -> Column:
+        found = F.filter(hits, lambda h: h.flags.bitwiseAND(F.lit(EMOTION << place)) != 0)
+        return F.size(found).cast("bigint")
+
+    facts = {
+        "_size": bind(
+            tokenize(source),
+            lambda t: F.struct(
+                F.size(t).cast("bigint").alias("token_count"),
+                F.size(F.array_distinct(t)).cast("bigint").alias("unique_token_count"),
+            ),
         ),
-    )
-    wide = compute_once(rows, {"_size": sizes}).join(counts, "_row", "left").na.fill(
-        0, ["_up", "_down", "_turned", *(f"_{cls}" for cls in fv.EMOTION_CLASSES)]
-    )
-    parts = [F.col("_size.token_count"), F.col("_size.unique_token_count")]
+        "_turns": _negation_counts(hits, window),
+        **{f"_{cls}": of_class(place) for place, cls in enumerate(fv.EMOTION_CLASSES)},
+    }
     if valence:
-        scored = valence_scores(texts, lexicons, "_row", "_text")
-        facts = F.struct(
-            F.size(L.valence_words(source)).alias("words"),
-            L.valence_emphasis(source).alias("emphasis"),
-        )
-        wide = compute_once(wide, {"_facts": facts}).join(scored, "_row", "left")
-        shares = L.valence_shares(
-            F.coalesce("_scores", F.array().cast("array<double>")),
-            F.col("_facts.words"), F.col("_facts.emphasis"),
-        )
-        wide = compute_once(wide, {"_val": shares})
-        parts.append(F.col("_val.*"))
+        valued = F.coalesce("_valued", F.array().cast("array<struct<at:int,valence:double>>"))
+        facts["_val"] = _valence_of_hits(source, valued, lexicons)
+    wide = compute_once(wide, facts)
+    short = list(fv.SHORT_EMOTIONS.items())
     total = F.greatest(F.col("_size.token_count"), F.lit(1))
     return wide.select(
         *df.columns,
-        *parts,
-        *L.sentiment_from_counts(F.col("_up"), F.col("_down"), F.col("_turned")),
+        "_size.token_count",
+        "_size.unique_token_count",
+        *(["_val.*"] if valence else []),
+        *L.sentiment_from_counts(F.col("_turns.up"), F.col("_turns.down"), F.col("_turns.turned")),
         L.dominant_emotion({name: F.col(f"_{cls}") for cls, name in short}).alias(
             "dominant_emotion"
         ),
@@ -233,39 +334,6 @@ def features_by_join(
     )
 
 
-def valence_scores(
-    texts: DataFrame, lexicons: LexiconTables, row: str = "_row", text: str = "_text"
-) -> DataFrame:
-    """(``row``, _scores): scores of the valence words of a text in their order.
-
-    Words meet the table with their context, so only scored words are shuffled. A word repeated
-    in the table has the largest of its valences.
-    """
-    table = lexicons.valence.groupBy("word").agg(F.max("valence").alias("valence"))
-    side = F.broadcast(table) if fits_broadcast(table) else table
-    hits = (
-        texts.select(row, F.inline(L.valence_words_in_context(F.col(text))))
-        .join(side, "word")
-        .dropDuplicates([row, "position"])
-    )
-    # the positions of scored words up to three places back
-    near = Window.partitionBy(row).orderBy("position").rangeBetween(-3, -1)
-    placed = hits.withColumn("scored_before", F.collect_list("position").over(near))
-    hit = F.struct(*(F.col(c) for c in placed.columns if c != row))
-    score = bind(
-        hit,
-        lambda h: L.word_score(
-            h, h.valence,
-            lambda back: F.array_contains(h.scored_before, h.position - back),
-            lexicons.negations, lexicons.boosters, lexicons.dampeners, lexicons.phrases,
-        ),
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("position", "score")))
-    return placed.select(row, "position", score.alias("score")).groupBy(row).agg(
-        F.transform(ordered, lambda s: s.score).alias("_scores")
-    )
-
-
 def list_hits(df: DataFrame, lists: DataFrame, key: str, text: str) -> DataFrame:
     """Hits per word list; ``lists`` has list, word."""
     hits = match_tokens(df, lists, key, text)

@@ -216,10 +216,7 @@ def _(t: Tables) -> DataFrame:
     """The full valence rules with the valences as a table."""
     docs = t.documents().select(F.col("doc_id").alias("review_id"), "text")
     tables = as_tables(t.spark, t.lexicons)
-    features = sentiment.with_text_features(docs, tables, "text")
-    return features.select(
-        "review_id", "vader_compound", "vader_neg", "vader_neu", "vader_pos"
-    )
+    return sentiment.valence_by_join(docs, tables, "text").drop("text")
 
 
 LARGE_LEXICON = TOKENS + """,
