@@ -21,18 +21,27 @@ from tastelens.session import cut
 @dataclass(frozen=True)
 class Rule:
     """A kind of secret: ``group`` of a match has at least ``least`` characters, else it is
-    dropped after it was consumed. Letters of the pattern count in either case on request."""
+    dropped after it was consumed. Letters of the pattern count in either case on request.
+
+    ``long`` is a pattern of just the matches that stay, for rules of which a dropped match holds
+    no other one: short matches are then not even listed.
+    """
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
     any_case: bool = False
+    long: str | None = None
 
     @property
     def java(self) -> str:
         return f"(?i){self.pattern}" if self.any_case else self.pattern
 
+    @property
+    def scanned(self) -> str:
+        return self.long or self.java
+
 
 BASE = (
     Rule(
@@ -42,8 +51,9 @@ BASE = (
         6,
         True,
     ),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", r"[0-9a-f]+", 0, 24),
+    # what follows an AKIA inside a run is shorter than the run from its first AKIA on
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 20, long=r"AKIA[A-Z0-9]{16,}"),
+    Rule("hex", r"[0-9a-f]+", 0, 24, long=r"[0-9a-f]{24,}"),
 )
 MORE = (
     Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
@@ -165,56 +175,55 @@ def candidates(posted: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return found.filter(F.size("rules") > 0)
 
 
+def _running(values: Column, both) -> Column:
+    """Running totals by ``both`` (sum or maximum) of an array of numbers from 0 on.
+
+    Round k joins each total with that 2**k places before, so n values take n log n steps and no
+    array grows element by element.
+    """
+    rounds = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
+    shifts = F.transform(F.array_repeat(F.lit(0), rounds), lambda _, k: F.pow(F.lit(2), k).cast("int"))
+
+    def joined(totals: Column, shift: Column) -> Column:
+        earlier = F.slice(totals, F.lit(1), F.size(totals) - shift)
+        return F.zip_with(totals, F.concat(F.array_repeat(F.lit(0), shift), earlier), both)
+
+    return F.aggregate(shifts, values, joined)
+
+
 def _spans(text: Column, rule: Rule) -> Column:
-    """Array of (kind, begin, end) of one rule's matches, leftmost and not overlapping."""
-    pattern = F.lit(rule.java)
-    between = F.split(text, rule.java, -1)
-    matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    sizes = F.transform(
-        F.arrays_zip(
-            between.alias("a"),
-            matches.alias("m"),
-            F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("g"),
-        ),
-        lambda x: F.struct(
-            F.length(x["a"]).alias("a"),
-            F.length(x["m"]).alias("m"),
-            F.length(x["g"]).alias("g"),
-        ),
-    )
-    kind = "array<struct<kind:string,begin:int,end:int,length:int>>"
-    placed = F.aggregate(
-        # the last piece follows the last match
-        F.filter(sizes, lambda x: x["m"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), kind).alias("found")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["a"] + x["m"]).alias("at"),
-            F.concat(
-                acc["found"],
-                F.array(
-                    F.struct(
-                        F.lit(rule.kind).alias("kind"),
-                        (acc["at"] + x["a"]).alias("begin"),
-                        (acc["at"] + x["a"] + x["m"]).alias("end"),
-                        x["g"].alias("length"),
-                    )
-                ),
-            ).alias("found"),
-        ),
-        lambda acc: acc["found"],
-    )
-    return F.filter(placed, lambda s: s["length"] >= rule.least)
+    """Array of (kind, begin, end, length) of one rule's matches, leftmost and not overlapping."""
+    pattern = F.lit(rule.scanned)
 
+    def lengths(strings: Column) -> Column:
+        return F.transform(strings, F.length)
 
-def _worth(text: Column, rule: Rule) -> Column:
-    """A cheaper test that a match long enough to stay exists."""
-    if rule.group == 0 and rule.least > 1 and rule.pattern.endswith("]+"):
-        # the last class repeated; a match of the least length has at least so many of it or more
-        tail = rule.pattern[rule.pattern.rindex("[") : -1]
-        head = rule.pattern[: rule.pattern.rindex("[")]
-        if not head:
-            return text.rlike(f"{tail}{{{rule.least}}}")
-    return text.rlike(rule.java)
+    cut = {
+        "m": lengths(F.regexp_extract_all(text, pattern, F.lit(0))),
+        "a": lengths(F.split(text, rule.scanned, -1)),
+    }
+    if rule.group:
+        cut["g"] = lengths(F.regexp_extract_all(text, pattern, F.lit(rule.group)))
+
+    def placed(f: Column) -> Column:
+        # the last piece follows the last match
+        before = F.slice(f.a, F.lit(1), F.size(f.m))
+        ends = _running(F.zip_with(before, f.m, lambda a, m: a + m), lambda x, y: x + y)
+        length = f.g if rule.group else f.m
+        each = F.arrays_zip(ends.alias("end"), f.m.alias("m"), length.alias("length"))
+        return F.transform(
+            F.filter(each, lambda x: x["length"] >= rule.least),
+            lambda x: F.struct(
+                F.lit(rule.kind).alias("kind"),
+                (x["end"] - x["m"]).alias("begin"),
+                x["end"].alias("end"),
+                x["length"].alias("length"),
+            ),
+        )
+
+    # bound to a variable, so that the text is cut once
+    found = F.struct(*(c.alias(name) for name, c in cut.items()))
+    return F.get(F.transform(F.array(found), placed), F.lit(0))
 
 
 def with_secrets(
@@ -240,7 +249,7 @@ def with_secrets(
     empty = F.from_json(F.lit("[]"), "array<struct<kind:string,begin:int,end:int,length:int>>")
     parts = []
     for number, (rule, query) in enumerate(zip(rules, queries)):
-        run = _worth(content, rule)
+        run = content.rlike(rule.scanned)
         if query is not None:
             run = F.array_contains("rules", number) & run
         parts.append(F.when(run, _spans(content, rule)).otherwise(empty))
@@ -270,25 +279,29 @@ def written(spans: Column) -> Column:
 
 
 def masked(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span, and what overlaps it, replaced by ``mark``."""
-    done = F.aggregate(
-        spans,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("made")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(
-                s["begin"] >= acc["at"],
-                F.concat(
-                    acc["made"],
-                    F.substring(text, acc["at"] + 1, s["begin"] - acc["at"]),
-                    F.lit(mark),
-                ),
-            )
-            .otherwise(acc["made"])
-            .alias("made"),
-        ),
-        lambda acc: F.concat(
-            acc["made"], F.substring(text, acc["at"] + 1, F.length(text))
-        ),
-    )
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    """The text with every span, and what overlaps it, replaced by ``mark``.
+
+    ``spans`` are ordered by their begin. The text is cut into characters once and put together
+    from slices of them, however many spans there are.
+    """
+
+    def done(p: Column) -> Column:
+        upto = _running(F.transform(p.spans, lambda s: s["end"]), lambda x, y: F.greatest(x, y))
+        ends = F.concat(F.array(F.lit(0)), upto)
+        starts = F.transform(p.spans, lambda s: s["begin"])
+
+        def part(begin: Column, end: Column) -> Column:
+            return F.array_join(F.slice(p.chars, begin + 1, F.greatest(end - begin, F.lit(0))), "")
+
+        # a span that begins inside what is masked already adds nothing
+        pieces = F.zip_with(
+            F.slice(ends, F.lit(1), F.size(starts)), starts,
+            lambda b, s: F.when(s >= b, F.concat(part(b, s), F.lit(mark))).otherwise(F.lit("")),
+        )
+        rest = F.transform(F.slice(ends, F.size(ends), F.lit(1)), lambda e: part(e, F.size(p.chars)))
+        return F.array_join(F.concat(pieces, rest), "")
+
+    chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    parts = F.struct(chars.alias("chars"), spans.alias("spans"))
+    made = F.get(F.transform(F.array(parts), done), F.lit(0))
+    return F.when(F.size(spans) > 0, made).otherwise(text)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -235,6 +236,42 @@ def test_secret_spans(spark, odd, empty, docs, texts):
     assert all(s == brute_spans(texts[k]) for k, s in whole.collect())
 
 
+def test_many_short_matches_take_time_in_proportion(spark):
+    """A million characters with 100,000 runs that are dropped, and 20,000 spans that stay."""
+    short = "abc ghi 7 " * 100_000 + "0123456789abcdef01234567 "
+    many = "token=abcdef; " * 20_000 + "é😀 token=ab " * 20_000
+    df = spark.createDataFrame([(1, short), (2, many)], "doc_id bigint, text string")
+    begun = time.monotonic()
+    found = secret_scan.with_secrets(df)
+    masked = secret_scan.masked(F.col("text"), F.col("secrets")).alias("masked")
+    written = secret_scan.written(F.col("secrets")).alias("s")
+    rows = {r["doc_id"]: r for r in found.select("doc_id", masked, written).collect()}
+    assert time.monotonic() - begun < 60
+    for key, text in ((1, short), (2, many)):
+        assert rows[key]["s"] == brute_spans(text)
+    assert rows[1]["masked"] == "abc ghi 7 " * 100_000 + "[SECRET] "
+    assert rows[2]["masked"] == "[SECRET]; " * 20_000 + "é😀 token=ab " * 20_000
+
+
+def test_masks_of_overlapping_spans(spark):
+    draw = random.Random(8)
+    rows, wanted = [], {}
+    for key in range(60):
+        text = "".join(draw.choice("ab é😀\n") for _ in range(draw.randint(1, 30)))
+        spans = sorted(sorted(draw.choices(range(len(text) + 1), k=2)) for _ in range(draw.randint(0, 6)))
+        spans = [(b, e) for b, e in spans if e > b]
+        made, at = "", 0
+        for b, e in spans:
+            if b >= at:
+                made += text[at:b] + "[SECRET]"
+            at = max(at, e)
+        rows.append((key, text, [("k", b, e) for b, e in spans]))
+        wanted[key] = made + text[at:]
+    df = spark.createDataFrame(rows, "k int, text string, s array<struct<kind:string,begin:int,end:int>>")
+    got = df.select("k", secret_scan.masked(F.col("text"), F.col("s"))).collect()
+    assert dict(map(tuple, got)) == wanted
+
+
 def test_secret_candidates_hold_every_match(spark, monkeypatch):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(SECRETS)], "doc_id bigint, text string")
     sent = secret_scan.with_secrets(df).collect()
