@@ -62,8 +62,17 @@ class Recent:
     def many(self, keys: list) -> list:
         """Values of distinct keys; those not remembered are made in the order of the keys."""
         recent, older = self.new, self.old
-        found = {k: recent.get(k) or older.get(k) for k in keys}
-        for key in sorted(k for k, value in found.items() if value is None):
+        found, missing = {}, []
+        for key in keys:
+            value = recent.get(key)
+            if value is None:
+                value = older.get(key)
+                if value is None:
+                    missing.append(key)
+                else:
+                    recent[key] = value
+            found[key] = value
+        for key in sorted(missing):
             found[key] = self(key)
         return list(found.values())
 

@@ -1,9 +1,10 @@
-"""Benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
+"""Benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
 
-Every n-gram of a test item is a seed, however often it occurs: frequency cannot tell chance from
-copies edited alike. Where a passage holds a seed and shares so many words with the item that an
-alignment could reach the wanted score, the words around it are aligned with the item by
-Smith-Waterman, so that edited and paraphrased copies score as well.
+The n-grams of the test items are counted over all passages. Those of an item that fewest passages
+hold are its rare seeds: where a passage meets one, the words around it are aligned with the item
+by Smith-Waterman, so that edited and paraphrased copies score as well. Where that leaves a passage
+undecided, every other n-gram of the item is a seed too: frequency alone cannot tell chance from
+many copies edited alike. Windows that share too few words to reach the wanted score are skipped.
 """
 
 from __future__ import annotations
@@ -16,13 +17,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastelens.llm.batches import map_texts
+from tastelens.llm.batches import fields_of, map_texts, quoted, row_of, slices, without
+from tastelens.session import cut
 
 _WORD = re.compile(r"\w+")
 # Alignment scores of equal words, other words and skipped words.
 MATCH, MISMATCH, GAP = 1.0, -1.0, -1.0
 # Words of an item that start one window of the alignment, and pairs aligned at once.
 BIN, AT_ONCE = 16, 2_048
+# Share of an item's n-grams, the rarest ones, that are its first seeds.
+RARE_SHARE = 0.25
 # Places of seeds in items, and words of windows, looked at in one go.
 SEEDS_AT_ONCE, WORDS_AT_ONCE = 1_000_000, 1_000_000
 # Characters of test items sent to the tasks at once; more items make more passes.
@@ -43,59 +47,81 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Items:
-    """The words, n-grams and seeds of one block of test items."""
+    """The words, n-grams and seeds of one block of test items.
 
-    def __init__(self, rows: list[tuple[int, str]], n: int):
+    An n-gram is numbered by the pair of its first n - 1 words and its last, so n may be any
+    length. Items of fewer than n words have no n-gram and are looked up as a whole.
+    """
+
+    def __init__(self, rows: list[tuple], n: int):
         self.n, self.ids, self.vocabulary, self.items = n, [], {}, []
         number = self.vocabulary
         for item, text in rows:
             codes = [number.setdefault(w, len(number)) for w in words_of(text)]
-            if len(codes) >= n:  # shorter items cannot be told from ordinary text
+            if codes:
                 self.ids.append(item)
                 self.items.append(np.array(codes, dtype=np.int64))
-        base = max(1, len(number))
-        if base**n >= 2**63:
-            raise ValueError("too many words in a block of test items")
-        self.factors = base ** np.arange(n - 1, -1, -1, dtype=np.int64)
-        found = [self.grams(codes) for codes in self.items]
-        sizes = [len(g) for g in found]
-        flat = np.concatenate(found) if found else np.zeros(0, np.int64)
-        self.seeds, which = np.unique(flat, return_inverse=True)
-        order = np.argsort(which, kind="stable")
-        self.seed_owner = np.repeat(np.arange(len(found)), sizes)[order]
-        offset = np.concatenate([np.arange(s) for s in sizes] or [np.zeros(0, int)])
+        self.base, self.sizes = max(1, len(number)), np.array([len(c) for c in self.items], dtype=np.int64)
+        self.known: list[np.ndarray] = []
+        self.short: dict[int, list[tuple[int, int]]] = {}
+        grams = self.items
+        for length in range(1, n + 1):
+            if length > 1:
+                keys = [g[:-1] * self.base + c[length - 1 :] for g, c in zip(grams, self.items)]
+                flat = np.concatenate([*keys, np.zeros(0, np.int64)])
+                self.known.append(np.unique(flat))
+                grams = [np.searchsorted(self.known[-1], k) for k in keys]
+            if length < n:
+                whole = [(int(g[0]), i) for i, g in enumerate(grams) if self.sizes[i] == length]
+                self.short.update({length: whole} if whole else {})
+        sizes = [len(g) for g in grams]
+        flat = np.concatenate([*grams, np.zeros(0, np.int64)]).astype(np.int64)
+        # where items hold a seed, ordered by its number
+        order = np.argsort(flat, kind="stable")
+        self.seeds = int(flat.max(initial=-1)) + 1
+        self.seed_owner = np.repeat(np.arange(len(grams)), sizes)[order]
+        offset = np.concatenate([*(np.arange(s) for s in sizes), np.zeros(0, np.int64)]).astype(np.int64)
         self.seed_offset = offset[order]
-        self.seed_bounds = np.searchsorted(which[order], np.arange(len(self.seeds) + 1))
+        self.seed_bounds = np.searchsorted(flat[order], np.arange(self.seeds + 1))
+        self.rare = np.ones(len(flat), dtype=bool)
         # how often each item has each of its words
-        self.base, self.sizes = base, np.array([len(c) for c in self.items], dtype=np.int64)
-        words = np.concatenate(self.items) if self.items else np.zeros(0, np.int64)
+        words = np.concatenate([*self.items, np.zeros(0, np.int64)])
         owner = np.repeat(np.arange(len(self.items)), self.sizes)
-        self.bag, self.bag_counts = np.unique(owner * base + words, return_counts=True)
+        self.bag, self.bag_counts = np.unique(owner * self.base + words, return_counts=True)
+
+    def keep_rare(self, passages: np.ndarray):
+        """Marks the rare seeds of every item by how many passages hold each seed."""
+        held = passages[np.repeat(np.arange(self.seeds), np.diff(self.seed_bounds))]
+        order = np.lexsort((held, self.seed_owner))
+        counts = np.bincount(self.seed_owner, minlength=len(self.items))
+        last = np.cumsum(counts) - counts + np.ceil(counts * RARE_SHARE).astype(np.int64) - 1
+        limit = held[order][np.maximum(last, 0)] if len(order) else np.zeros(len(counts), np.int64)
+        self.rare = held <= limit[self.seed_owner]
 
     def codes(self, words: list[str]) -> np.ndarray:
         get = self.vocabulary.get
         return np.array([get(w, -1) for w in words], dtype=np.int64)
 
-    def grams(self, codes: np.ndarray) -> np.ndarray:
-        """The number of the n-gram at every place, -1 where a word is in no item."""
-        size = len(codes) - self.n + 1
-        if size < 1:
-            return np.zeros(0, np.int64)
-        total, fits = np.zeros(size, np.int64), np.ones(size, dtype=bool)
-        for i, factor in enumerate(self.factors):
-            part = codes[i : i + size]
-            total += part * factor
-            fits &= part >= 0
-        return np.where(fits, total, -1)
-
-    def lookup(self, known: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places, numbers) of the grams that are in ``known``."""
-        places = np.flatnonzero(grams >= 0)
-        if not len(known) or not len(places):
-            return places[:0], places[:0]
-        at = np.minimum(np.searchsorted(known, grams[places]), len(known) - 1)
-        hit = known[at] == grams[places]
-        return places[hit], at[hit]
+    def levels(self, codes: np.ndarray):
+        """For lengths 1 to n: the number of the run of words at every place, -1 if in no item."""
+        grams = codes
+        yield 1, grams
+        for length, known in enumerate(self.known, 2):
+            grams, last = grams[:-1], codes[length - 1 :]
+            keys = np.where((grams >= 0) & (last >= 0), grams * self.base + last, -1)
+            at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
+            grams = np.where(known[at] == keys, at, -1) if len(known) else np.full(len(keys), -1)
+            yield length, grams
+
+    def look(self, codes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """(seed at every place or -1, whole short items as (item, first word, end))."""
+        grams, found = codes, []
+        for length, grams in self.levels(codes):
+            for number, item in self.short.get(length, ()):
+                places = np.flatnonzero(grams == number)
+                if len(places):
+                    found.append((item, int(places[0]), int(places[0]) + length))
+        return grams, found
 
     def may_reach(self, codes, owner, first, end, least: float) -> np.ndarray:
         """Whether windows share enough words with their items, repeats counted, for ``least``;
@@ -155,17 +181,24 @@ def _parts(sizes: np.ndarray, most: int):
         begin = end
 
 
-def _candidates(items: Items, codes: np.ndarray, least: float) -> set[tuple[int, int, int]]:
+def _candidates(
+    items: Items, codes: np.ndarray, grams: np.ndarray, least: float, rare: bool, decided=()
+) -> set[tuple[int, int, int]]:
     """(item, first word, end) of the windows around the seeds of one text that may reach
-    ``least``."""
-    every, seeds = items.lookup(items.seeds, items.grams(codes))
+    ``least``; only around rare seeds if wanted, and not for items that are decided."""
+    every = np.flatnonzero(grams >= 0)
+    seeds = grams[every]
     begins = items.seed_bounds[seeds]
     counts = items.seed_bounds[seeds + 1] - begins
+    skipped = np.zeros(len(items.items), dtype=bool)
+    skipped[list(decided)] = True
     found = set()
     for part in _parts(counts, SEEDS_AT_ONCE):
         places, begin, sizes = every[part], begins[part], counts[part]
         rows = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
         lead = np.repeat(places, sizes) - items.seed_offset[rows]
+        wanted = ~skipped[items.seed_owner[rows]] & (items.rare[rows] if rare else True)
+        rows, lead = rows[wanted], lead[wanted]
         # the block is at least -(longest item) // BIN, so that the pairs fit one number
         span = len(codes) // BIN + 2 + int(items.sizes.max()) // BIN
         low = -(int(items.sizes.max()) // BIN + 1)
@@ -182,16 +215,9 @@ def _candidates(items: Items, codes: np.ndarray, least: float) -> set[tuple[int,
     return found
 
 
-def leaks_of(texts: list, items: Items, least: float) -> list[list[dict]]:
-    """The best alignment of each text with each item that reaches ``least``."""
-    coded = [items.codes(words_of(t)) for t in texts]
-    wanted = [
-        (row, *window)
-        for row, codes in enumerate(coded)
-        for window in _candidates(items, codes, least)
-    ]
-    best: dict[tuple[int, int], tuple] = {}
-    wanted.sort(key=lambda w: (w[3] - w[2], w))
+def _aligned(items: Items, coded: list, wanted: list, least: float, best: dict) -> None:
+    """Aligns (row, item, first word, end) and keeps in ``best`` what reaches ``least``."""
+    wanted = sorted(wanted, key=lambda w: (w[3] - w[2], w))
     for at in range(0, len(wanted), AT_ONCE):
         part = wanted[at : at + AT_ONCE]
         left = [items.items[i] for _, i, _, _ in part]
@@ -213,6 +239,25 @@ def leaks_of(texts: list, items: Items, least: float) -> list[list[dict]]:
             stop = first + int(window_end[n])
             found = (share, -(stop - int(back[2][k])), stop)
             best[row, item] = max(best.get((row, item), found), found)
+
+
+def leaks_of(texts: list, items: Items, least: float) -> list[list[dict]]:
+    """The best alignment of each text with each item that reaches ``least``."""
+    coded = [items.codes(words_of(t)) for t in texts]
+    looked = [items.look(codes) for codes in coded]
+    best: dict[tuple[int, int], tuple] = {}
+    for row, (_, whole) in enumerate(looked):
+        best.update({(row, item): (1.0, -first, end - 1) for item, first, end in whole})
+    for rare in (True, False):
+        decided: dict[int, list[int]] = {}
+        for row, item in best:
+            decided.setdefault(row, []).append(item)
+        wanted = [
+            (row, *window)
+            for row, (codes, (grams, _)) in enumerate(zip(coded, looked))
+            for window in _candidates(items, codes, grams, least, rare, decided.get(row, ()))
+        ]
+        _aligned(items, coded, wanted, least, best)
     result: list[list[dict]] = [[] for _ in texts]
     spans: dict[int, list] = {}
     for (row, item), (share, start, stop) in sorted(best.items()):
@@ -229,7 +274,25 @@ def leaks_of(texts: list, items: Items, least: float) -> list[list[dict]]:
     return result
 
 
-_FOUND = "array<struct<item_id:bigint,similarity:double,begin:bigint,end:bigint>>"
+def _passages_by_seed(docs: DataFrame, items: Items, sent) -> np.ndarray:
+    """How many rows hold each seed of a block; partial counts per slice of a task."""
+
+    def run(batches):
+        held = sent.value
+        for batch in batches:
+            for _, part in slices(batch.column(0)):
+                grams = (held.look(held.codes(words_of(t)))[0] for t in part)
+                seeds = [np.unique(g[g >= 0]) for g in grams]
+                number, n = np.unique(np.concatenate([*seeds, np.zeros(0, np.int64)]), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(number, pa.int64()), pa.array(n, pa.int64())], names=["seed", "n"]
+                )
+
+    counted = docs.select("content").mapInArrow(run, "seed bigint, n bigint")
+    rows = counted.groupBy("seed").agg(F.sum("n").alias("n")).toPandas()
+    passages = np.zeros(items.seeds, np.int64)
+    passages[rows["seed"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    return passages
 
 
 def with_leaks(
@@ -246,43 +309,52 @@ def with_leaks(
     """Adds the array ``out`` of (item_id, similarity, begin, end) for every whole text.
 
     ``similarity`` is the alignment score over that of a full copy of the item, at least ``least``;
-    ``begin`` and ``end`` are code points of the aligned passage. The items are sent to the tasks
-    in blocks of at most about BLOCK_CHARS characters, each in one pass over the documents.
-    Null texts, items without an id and items of fewer than ``n`` words match nothing; items
-    repeated with one id and text count once; repeated documents stay; empty tables give empty
-    arrays or an empty table. Only ``keep`` columns are passed on.
+    ``begin`` and ``end`` are code points of the aligned passage. Items of fewer than ``n`` words
+    are found where all their words stand in a row; ids may be of any type. The items are sent to
+    the tasks in blocks of at most about BLOCK_CHARS characters, one block at a time, each in one
+    pass that counts its seeds and one that aligns; the counts, one per n-gram of the block, are
+    all that the driver receives.
+
+    Null texts, items without an id and items without words match nothing; items repeated with one
+    id and text count once; repeated documents stay; empty tables give empty arrays or an empty
+    table. Only ``keep`` columns are passed on, and one named like ``out`` gives way to it.
     """
     session = docs.sparkSession
-    items = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("content"))
+    items = benchmark.select(quoted(item).alias("item"), quoted(item_text).alias("content"))
     items = items.filter("item IS NOT NULL AND content IS NOT NULL").distinct()
     total = items.agg(F.sum(F.length("content"))).first()[0] or 0
     blocks = max(1, ceil(total / BLOCK_CHARS))
-    none = F.from_json(F.lit("[]"), _FOUND)
-    made = docs.select(*(c for c in keep if c != out), F.col(text).alias("_content"), none.alias("_found"))
+    kind = items.schema["item"].dataType.simpleString()
+    arrow = items.select("item").limit(0).toArrow().schema.field(0).type
+    found_type = f"array<struct<item_id:{kind},similarity:double,begin:bigint,end:bigint>>"
+    fields = [("item_id", arrow), ("similarity", pa.float64()), ("begin", pa.int64()), ("end", pa.int64())]
+    arrow_type = pa.list_(pa.struct(fields))
+    kept = without(keep, [out])
+    none = F.array().cast(found_type)
+    made = docs.select(row_of(kept).alias("row"), quoted(text).alias("content"), none.alias("found"))
     for number in range(blocks):
-        mine = F.pmod(F.xxhash64("item", "content"), F.lit(blocks)) == number
-        rows = sorted((r["item"], r["content"]) for r in items.filter(mine).collect())
-        seeded = session.sparkContext.broadcast(Items(rows, n))
+        mine = F.pmod(F.xxhash64(F.col("item").cast("string"), "content"), F.lit(blocks)) == number
+        rows = sorted(((r["item"], r["content"]) for r in items.filter(mine).collect()), key=repr)
+        block = Items(rows, n)
+        if block.seeds:
+            sent = session.sparkContext.broadcast(block)
+            block.keep_rare(_passages_by_seed(made, block, sent))
+            sent.destroy()
+        seeded = session.sparkContext.broadcast(block)
 
         def start(seeded=seeded):
-            def compute(texts):
-                found = leaks_of(texts, seeded.value, least)
-                kind = pa.list_(
-                    pa.struct(
-                        [("item_id", pa.int64()), ("similarity", pa.float64())]
-                        + [("begin", pa.int64()), ("end", pa.int64())]
-                    )
-                )
-                return [pa.array(found, kind)]
-
-            return compute
+            return lambda texts: [pa.array(leaks_of(texts, seeded.value, least), arrow_type)]
 
-        made = map_texts(made, "_content", made.columns, f"_new {_FOUND}", start)
-        made = made.withColumn("_found", F.concat("_found", "_new")).drop("_new")
-    return made.drop("_content").withColumnRenamed("_found", out)
+        made = map_texts(made, "content", ["row", "content", "found"], f"new {found_type}", start)
+        made = made.select("row", "content", F.concat("found", "new").alias("found"))
+        if number + 1 < blocks:
+            # the next block finds this one gone from the tasks
+            made = cut(made)
+            seeded.destroy()
+    return made.select(*fields_of("row", kept), F.col("found").alias(out))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """One row per document and test item found in it: key, item_id, similarity, begin, end."""
     found = with_leaks(docs, benchmark, [key], out="_leaks", **options)
-    return found.select(key, F.inline("_leaks"))
+    return found.select(quoted(key), F.inline("_leaks"))

@@ -15,6 +15,7 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastelens.llm.batches import fields_of, row_of, without
 from tastelens.session import cut
 
 
@@ -235,12 +236,13 @@ def with_secrets(
     are scanned whole; repeated rows stay; an empty table gives an empty one. A column named like
     ``out`` gives way; other columns, whatever their names, are passed on untouched.
     """
-    docs = docs.select(F.struct(*(c for c in docs.columns if c != out)).alias("row"))
-    content = F.col(f"row.`{text}`")
+    kept = without(docs.columns, [out])
+    content = F.col("row").getField(text)
+    docs = docs.select(row_of(kept).alias("row"))
     queries = [trigram_query(r) for r in rules]
     grams = sorted({g for q in queries if q is not None for way in q for g in way})
     if grams:
-        found = cut(candidates(postings(docs, grams, f"row.`{text}`"), rules))
+        found = cut(candidates(postings(docs.select(content.alias("text")), grams), rules))
         if found.count() <= MOST_SENT:
             found = F.broadcast(found)
         docs = docs.withColumn("text_key", F.xxhash64(content)).join(found, "text_key", "left")
@@ -268,7 +270,7 @@ def with_secrets(
         ordered,
         lambda s: F.struct(s["kind"].alias("kind"), s["begin"].alias("begin"), s["end"].alias("end")),
     )
-    return docs.select("row.*", final.alias(out))
+    return docs.select(*fields_of("row", kept), final.alias(out))
 
 
 def written(spans: Column) -> Column:

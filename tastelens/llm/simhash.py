@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastelens.llm.batches import map_texts
+from tastelens.llm.batches import fields_of, map_texts, quoted, row_of
 from tastelens.llm.components import connected
 from tastelens.session import cut, scratch_path
 
@@ -63,12 +63,6 @@ def fingerprints_of(texts: list, words: int, seed: int) -> np.ndarray:
     return np.ascontiguousarray(packed).view(np.uint64).ravel()
 
 
-def _free(names: list[str], name: str) -> str:
-    while name in names:
-        name += "_"
-    return name
-
-
 def fingerprints(
     df: DataFrame, words: int, seed: int = 42, text: str = "text", keep=("doc_id",), out: str = "bits"
 ) -> DataFrame:
@@ -84,7 +78,7 @@ def fingerprints(
 
         return compute
 
-    return map_texts(df, text, keep, f"{out} bigint", start)
+    return map_texts(df, text, keep, f"`{out}` bigint", start)
 
 
 def ball(bits: int, flips: int) -> int:
@@ -217,7 +211,7 @@ def near_duplicates(
     Repeated rows and repeated keys stay, an empty table gives an empty one, other columns are
     ignored.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("content"))
+    rows = df.select(quoted(key).alias("key"), quoted(text).alias("content"))
     rows = cut(fingerprints(rows, words, seed, "content", ["key"]))
     distinct = cut(rows.groupBy("bits").agg(F.min("key").alias("least")))
     classes = _rooted(distinct, radius)
@@ -243,20 +237,20 @@ def first_rows(
     Rows that share a key, or have none, are told apart by a number of their own, which is written
     with them; among such rows any one may be the first. An empty table gives an empty one.
     """
-    names = df.columns
-    number, bits = (_free(names, n) for n in ("row", "bits"))
     path = scratch_path(df.sparkSession, "fingerprints")
-    numbered = df.withColumn(number, F.monotonically_increasing_id())
-    fingerprints(numbered, words, seed, text, [*names, number], bits).write.parquet(path)
+    numbered = df.select(
+        row_of(df.columns).alias("row"), quoted(key).alias("key"), quoted(text).alias("content"),
+        F.monotonically_increasing_id().alias("number"),
+    )
+    fingerprints(numbered, words, seed, "content", ["row", "key", "number"]).write.parquet(path)
     whole = df.sparkSession.read.parquet(path)
     rows = whole.select(
-        F.col(bits).alias("bits"),
-        F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col(number).alias("row")).alias("place"),
+        "bits", F.struct(F.col("key").isNull().alias("none"), "key", "number").alias("place")
     )
     distinct = cut(rows.groupBy("bits").agg(F.min("place").alias("least")))
     classes = _rooted(distinct, radius)
     firsts = classes.groupBy("root").agg(F.min("least").alias("first"))
-    firsts = classes.join(firsts, "root").select("bits", F.col("first.row").alias("first"))
-    others = rows.join(firsts, "bits").filter(F.col("place.row") != F.col("first"))
-    others = others.select(F.col("place.row").alias(number))
-    return whole.join(others, number, "left_anti").select(*names)
+    firsts = classes.join(firsts, "root").select("bits", F.col("first.number").alias("first"))
+    others = rows.join(firsts, "bits").filter(F.col("place.number") != F.col("first"))
+    others = others.select(F.col("place.number").alias("number"))
+    return whole.join(others, "number", "left_anti").select(*fields_of("row", df.columns))

@@ -14,6 +14,7 @@ import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -321,7 +322,8 @@ def test_leaks_of_edited_copies(spark, monkeypatch):
     for size in (8_000_000, 400):
         monkeypatch.setattr(decontamination, "BLOCK_CHARS", size)
         got = {(r["doc_id"], r["item_id"]): r for r in decontamination.leaks(df, bench).collect()}
-        assert set(got) == {(i, i) for i in range(6)} | {(13, 0)}
+        assert set(got) == {(i, i) for i in range(6)} | {(13, 0), (14, 6)}
+        assert got.pop((14, 6))["similarity"] == 1.0
         assert got[13, 0]["similarity"] == 1.0
         text = dict((k, t) for k, t, _ in rows)
         for (d, i), r in got.items():
@@ -345,6 +347,54 @@ def test_leaks_of_many_copies_edited_alike(spark):
     assert got == {0: 1.0, **{i: 25 / 40 for i in range(1, 9)}}
 
 
+@pytest.mark.parametrize("n", [1, 2, 5, 8, 13])
+def test_leaks_of_any_length_of_seeds(spark, n):
+    draw = random.Random(n)
+    word = lambda: "w%d" % draw.randrange(10**6)
+    items = [(f"é{i}", " ".join(word() for _ in range(7_000 if i == 3 else 30))) for i in range(4)]
+    items += [("two", "Of, Which"), ("one", "alone")]
+    texts = [items[0][1], "x " + items[1][1].upper() + " y", items[3][1], "of which", "of the which", "a alone b", ""]
+    df = spark.createDataFrame([(i, t, "z") for i, t in enumerate(texts)], "doc_id int, text string, item_id string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = {(r[0], r["item_id"]) for r in decontamination.leaks(df, bench, n=n).collect()}
+    # with single words as seeds, two words around a third reach half of the score
+    near = {(4, "two")} if n == 1 else set()
+    assert got == {(0, "é0"), (1, "é1"), (2, "é3"), (3, "two"), (5, "one")} | near
+
+
+def test_leaks_are_those_of_aligning_every_pair(spark):
+    """Every text with every item: what reaches the score and shares a seed is found, whole."""
+    draw = random.Random(12)
+    common = ["of", "the", "and", "a", "to", "in"]
+    word = lambda: draw.choice(common) if draw.random() < 0.5 else "w%d" % draw.randrange(200)
+    items = [(i, " ".join(word() for _ in range(draw.randint(3, 25)))) for i in range(25)]
+    rows = []
+    for key in range(80):
+        words = [word() for _ in range(draw.randint(0, 60))]
+        for _ in range(draw.randint(0, 2)):
+            copied = draw.choice(items)[1].split()
+            for _ in range(draw.randint(0, 6)):
+                copied[draw.randrange(len(copied))] = word()
+            at = draw.randint(0, len(words))
+            words[at:at] = copied
+        rows.append((key, " ".join(words)))
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontamination.leaks(
+        spark.createDataFrame(rows, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")
+    ).collect()}
+    index, wanted = {}, {}
+    codes = lambda t: [index.setdefault(w, len(index)) for w in t.split()]
+    grams = lambda t: set(zip(t.split(), t.split()[1:], t.split()[2:]))
+    for key, text in rows:
+        for item, passage in items:
+            share = brute_alignment(codes(passage), codes(text)) / len(passage.split())
+            if share >= 0.5:
+                wanted[key, item] = share
+    seeded = {k for k in wanted if grams(dict(rows)[k[0]]) & grams(dict(items)[k[1]])}
+    assert set(got) <= set(wanted) and len(wanted) > 50
+    assert set(got) >= seeded and len(got) >= 0.9 * len(wanted)
+    assert sum(got[k] == wanted[k] for k in got) >= 0.95 * len(got)
+
+
 def brute_alignment(a, b):
     score = np.zeros((len(a) + 1, len(b) + 1))
     for i, x in enumerate(a):
@@ -555,6 +605,21 @@ def test_one_row_of_each_near_duplicate_class_stays(spark, folder):
     assert got == sorted([(1, a), (5, b), (7, c), (None, d), (8, e)], key=str)
 
 
+def test_pipeline_stages_bear_any_column_names(spark, tmp_path):
+    names = ["_content", "_found", "Leaks", "leaks_", "a.b", "Secrets", "Row", "Bits", "Toxicity", "key", "place", "c`d"]
+    rows = [(i % 18 if i else None, f"some words of text {i % 15} here", *names) for i in range(20)]
+    rows += [(30, None, *[None] * len(names)), (31, "", *names)]
+    kinds = StructType([StructField(c, LongType() if c == "doc_id" else StringType()) for c in ["doc_id", "text", *names]])
+    docs = spark.createDataFrame(rows, kinds)
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{DATA}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, docs, str(tmp_path))
+        assert left.columns == docs.columns
+        assert all(tuple(r)[2:] in (tuple(names), (None,) * len(names)) for r in left.collect())
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 22
+
+
 def test_pipeline_stages_keep_the_columns(spark, tmp_path):
     rows = [(i, f"some words of text number {i} and {'x' * i}", "en", "src0", 10, "a", "b") for i in range(12)]
     rows += [(None, None, None, None, None, None, None), (3, rows[3][1], "en", "src0", 10, "a", "b"), (20, "", "en", "s", 0, "a", "b")]
