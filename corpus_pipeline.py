@@ -8,24 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastelens.llm import bpe, decontamination, secret_scan, simhash, toxicity
-from tastelens.llm.batches import fold
+from tastelens.llm.batches import fold, free, quoted
 from tastelens.llm.queries import NEAR_BITS, NEAR_WORDS, TOXIC, VOCABULARY, table
 from tastelens.session import scratch_path
 
 
-def _free(docs: DataFrame, name: str) -> str:
-    """A column name that the documents do not have."""
-    while name in docs.columns:
-        name += "_"
-    return name
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier, fitted on their own texts, does not reject."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
-    out = _free(docs, "toxicity")
+    out = free("toxicity", docs.columns)
     scored = toxicity.score(docs, model, keep=docs.columns, out=out)
-    return scored.filter(F.col(out) < TOXIC).select(*docs.columns)
+    return scored.filter(F.col(out) < TOXIC).select(*map(quoted, docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,18 +28,18 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    out = _free(docs, "leaks")
+    out = free("leaks", docs.columns)
     items = table(spark, sf_dir, "benchmark")
     found = decontamination.with_leaks(docs, items, keep=docs.columns, out=out)
-    return found.filter(F.size(out) == 0).select(*docs.columns)
+    return found.filter(F.size(out) == 0).select(*map(quoted, docs.columns))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced by a mark."""
-    out = _free(docs, "secrets")
+    out = free("secrets", docs.columns)
     found = secret_scan.with_secrets(docs, out=out)
-    text = secret_scan.masked(F.col("text"), F.col(out))
-    return found.withColumn("text", text).select(*docs.columns)
+    text = secret_scan.masked(F.col("text"), F.col(out)).alias("text")
+    return found.select(*(text if c == "text" else quoted(c) for c in docs.columns))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
