@@ -10,6 +10,7 @@ many copies edited alike. Windows that share too few words to reach the wanted s
 from __future__ import annotations
 
 import re
+from itertools import repeat
 from math import ceil
 
 import numpy as np
@@ -99,8 +100,8 @@ class Items:
         self.rare = held <= limit[self.seed_owner]
 
     def codes(self, words: list[str]) -> np.ndarray:
-        get = self.vocabulary.get
-        return np.array([get(w, -1) for w in words], dtype=np.int64)
+        numbers = map(self.vocabulary.get, words, repeat(-1))
+        return np.fromiter(numbers, np.int64, len(words))
 
     def levels(self, codes: np.ndarray):
         """For lengths 1 to n: the number of the run of words at every place, -1 if in no item."""
