@@ -7,6 +7,8 @@ against the schemas of their tools and written as canonical JSON.
 from __future__ import annotations
 
 import json
+import re
+from fractions import Fraction
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,36 +36,120 @@ def _is(value, kind: str) -> bool:
     return isinstance(value, _KINDS[kind]) if kind in _KINDS else True
 
 
+def _same(a, b) -> bool:
+    """Equality of JSON values: true is not 1, but 1 is 1.0."""
+    if isinstance(a, bool) or isinstance(b, bool):
+        return a is b
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(_same, a, b))
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(_same(v, b[k]) for k, v in a.items())
+    return a == b
+
+
+def _count(value) -> bool:
+    return _is(value, "integer") and value >= 0
+
+
+def _names(value) -> bool:
+    return isinstance(value, list) and all(isinstance(v, str) for v in value)
+
+
+def _pattern(value) -> bool:
+    try:
+        re.compile(value)
+        return isinstance(value, str)
+    except (TypeError, ValueError, re.error, RecursionError):
+        return False
+
+
+# What the value of each keyword of a schema must be, so that a value can be checked against it.
+_KEYWORDS = {
+    "type": lambda v: isinstance(v, str) or _names(v),
+    "enum": lambda v: isinstance(v, list),
+    **dict.fromkeys(
+        ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum"), lambda v: _is(v, "number")
+    ),
+    "multipleOf": lambda v: _is(v, "number") and v > 0,
+    **dict.fromkeys(("minLength", "maxLength", "minItems", "maxItems"), _count),
+    "pattern": _pattern,
+    "required": _names,
+    "properties": lambda v: isinstance(v, dict),
+    **dict.fromkeys(("anyOf", "oneOf", "allOf"), lambda v: isinstance(v, list) and bool(v)),
+}
+
+
+def sound(schema) -> bool:
+    """Whether a schema, and all schemas inside it, can be checked against."""
+    if isinstance(schema, bool):
+        return True
+    if not isinstance(schema, dict) or "$ref" in schema:
+        return False
+    if not all(fits(schema[k]) for k, fits in _KEYWORDS.items() if k in schema):
+        return False
+    inner = [*schema.get("properties", {}).values()]
+    inner += [s for k in ("anyOf", "oneOf", "allOf") for s in schema.get(k, ())]
+    inner += [schema[k] for k in ("items", "additionalProperties", "not") if k in schema]
+    return all(map(sound, inner))
+
+
 def violations(value, schema, path: str = "$") -> list[str]:
-    """Where a value departs from a JSON schema: type, enum, bounds, lengths, required and
-    further properties, items."""
+    """Where a value departs from a sound JSON schema: type, enum, const, bounds, lengths,
+    patterns, required and further properties, items, anyOf, oneOf, allOf and not."""
+    if schema is False:
+        return [f"{path}: none allowed"]
     if not isinstance(schema, dict):
         return []
     wanted = schema.get("type")
     kinds = [wanted] if isinstance(wanted, str) else wanted or []
     if kinds and not any(_is(value, k) for k in kinds):
         return [f"{path}: type"]
-    found = []
-    if "enum" in schema and value not in schema["enum"]:
-        found.append(f"{path}: enum")
+    broken = []
+    if "enum" in schema and not any(_same(value, v) for v in schema["enum"]):
+        broken.append("enum")
+    if "const" in schema and not _same(value, schema["const"]):
+        broken.append("const")
+    tests = ()
     if _is(value, "number"):
-        if "minimum" in schema and value < schema["minimum"]:
-            found.append(f"{path}: minimum")
-        if "maximum" in schema and value > schema["maximum"]:
-            found.append(f"{path}: maximum")
-    if isinstance(value, str):
-        if len(value) < schema.get("minLength", 0):
-            found.append(f"{path}: minLength")
-        if "maxLength" in schema and len(value) > schema["maxLength"]:
-            found.append(f"{path}: maxLength")
+        tests = (
+            ("minimum", lambda bound: value >= bound),
+            ("maximum", lambda bound: value <= bound),
+            ("exclusiveMinimum", lambda bound: value > bound),
+            ("exclusiveMaximum", lambda bound: value < bound),
+            ("multipleOf", lambda step: Fraction(str(value)) % Fraction(str(step)) == 0),
+        )
+    elif isinstance(value, str):
+        tests = (
+            ("minLength", lambda size: len(value) >= size),
+            ("maxLength", lambda size: len(value) <= size),
+            ("pattern", lambda pattern: re.search(pattern, value)),
+        )
+    elif isinstance(value, list):
+        tests = (
+            ("minItems", lambda size: len(value) >= size),
+            ("maxItems", lambda size: len(value) <= size),
+        )
+    broken += [name for name, holds in tests if name in schema and not holds(schema[name])]
+    for name, fits in (
+        ("anyOf", lambda n, _: n >= 1), ("oneOf", lambda n, _: n == 1), ("allOf", lambda n, m: n == m)
+    ):
+        if name in schema:
+            passed = sum(not violations(value, s, path) for s in schema[name])
+            broken += [] if fits(passed, len(schema[name])) else [name]
+    if "not" in schema and not violations(value, schema["not"], path):
+        broken.append("not")
+    found = [f"{path}: {name}" for name in broken]
     if isinstance(value, dict):
         known = schema.get("properties", {})
+        further = schema.get("additionalProperties", True)
         found += [f"{path}.{k}: required" for k in schema.get("required", ()) if k not in value]
         for name in sorted(value):
             if name in known:
                 found += violations(value[name], known[name], f"{path}.{name}")
-            elif schema.get("additionalProperties") is False:
+            elif further is False:
                 found.append(f"{path}.{name}: additional")
+            else:
+                found += violations(value[name], further, f"{path}.{name}")
     if isinstance(value, list):
         for place, item in enumerate(value):
             found += violations(item, schema.get("items"), f"{path}[{place}]")
@@ -197,7 +283,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     it waits for none; null on a cycle, behind one and for rows without a call or identifier),
     missing (dependencies that are no call), errors (array, empty if the arguments fit the schema) and record, the canonical JSON of call and result, null if
     the arguments are no JSON. A call without schema has the error ``no schema``, as one whose
-    schema is no JSON; of schemas that repeat a name the smallest text counts. Empty tables give
+    schema is no JSON; one whose schema holds a keyword of the wrong kind, or a reference, has ``bad
+    schema``; of schemas that repeat a name the smallest text counts. Empty tables give
     no rows of their kind.
     """
     fields = ["conv_id", "turn", "name", "arguments", "depends_on"]
@@ -266,14 +353,16 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
                 if row["schema"] not in remembered:
                     if len(remembered) > 10_000:
                         remembered.clear()
-                    remembered[row["schema"]] = read_json(row["schema"])
-                schema, usable = remembered[row["schema"]]
+                    schema, usable = read_json(row["schema"])
+                    fault = None if usable else ["no schema"]
+                    remembered[row["schema"]] = schema, fault or (None if sound(schema) else ["bad schema"])
+                schema, fault = remembered[row["schema"]]
                 value, valid = read_json(row["arguments"])
                 if not valid:
                     errors.append(["$: json"])
                     records.append(None)
                     continue
-                errors.append(violations(value, schema) if usable else ["no schema"])
+                errors.append(fault or violations(value, schema))
                 records.append(
                     canonical(
                         {

@@ -525,6 +525,45 @@ def test_tool_calls(spark):
     assert none.collect() == []
 
 
+BAD = [
+    '{"type":5}', '{"type":{"a":1}}', '{"required":5}', '{"required":[["a"]]}', '{"minimum":"3"}', '{"enum":null}',
+    '{"minLength":"x"}', '{"properties":5}', '{"pattern":"("}', '{"anyOf":[]}', '{"items":[1]}', '{"$ref":"#"}', "5",
+    '{"properties":{"a":{"multipleOf":0}}}', '{"additionalProperties":{"type":[1]}}', '{"maxItems":true}',
+]
+
+
+def test_schemas_that_cannot_be_checked(spark):
+    schemas = [(f"t{i}", text) for i, text in enumerate(BAD)] + [("torn", "{"), ("fine", "true")]
+    calls = [(n, 1, i, n, '{"a": 3}', None) for i, (n, _) in enumerate(schemas)]
+    kinds = "call_id string, conv_id int, turn int, name string, arguments string, depends_on array<string>"
+    linked = tool_calls.link_calls(
+        spark.createDataFrame(calls, kinds),
+        spark.createDataFrame([], "call_id string, turn int, content string"),
+        spark.createDataFrame(schemas, "name string, schema string"),
+    )
+    got = {r["name"]: r["errors"] for r in linked.collect()}
+    wanted = {f"t{i}": ["bad schema"] for i in range(len(BAD))}
+    assert got == wanted | {"torn": ["no schema"], "fine": []}
+
+
+@pytest.mark.parametrize("value, schema, wanted", [
+    (3, {"const": 4}, ["$: const"]), (True, {"enum": [1]}, ["$: enum"]), (1.0, {"enum": [1]}, []),
+    ([True], {"const": [1]}, ["$: const"]), ({"a": 1}, {"const": {"a": 1.0}}, []),
+    ("ab", {"pattern": "^b"}, ["$: pattern"]), ("ab", {"pattern": "b"}, []), (3, {"pattern": "b"}, []),
+    (3, {"exclusiveMinimum": 3}, ["$: exclusiveMinimum"]), (3, {"exclusiveMaximum": 3.5}, []),
+    (0.3, {"multipleOf": 0.1}, []), (7, {"multipleOf": 2}, ["$: multipleOf"]),
+    ([1], {"minItems": 2}, ["$: minItems"]), ([1, 2], {"maxItems": 1}, ["$: maxItems"]),
+    (5, {"anyOf": [{"type": "string"}, {"minimum": 6}]}, ["$: anyOf"]), (6, {"anyOf": [{"type": "string"}, {"minimum": 6}]}, []),
+    (6, {"oneOf": [{"minimum": 5}, {"minimum": 6}]}, ["$: oneOf"]), (5, {"oneOf": [{"minimum": 5}, {"minimum": 6}]}, []),
+    (5, {"allOf": [{"minimum": 5}, {"minimum": 6}]}, ["$: allOf"]), (5, {"not": {"type": "integer"}}, ["$: not"]),
+    ({"b": "x"}, {"additionalProperties": {"type": "integer"}}, ["$.b: type"]), ([1, "x"], {"items": {"type": "integer"}}, ["$[1]: type"]),
+    ({"a": 1}, {"properties": {"a": False}}, ["$.a: none allowed"]), (None, {"type": ["null", "string"]}, []),
+])
+def test_schema_rules(value, schema, wanted):
+    assert tool_calls.sound(schema)
+    assert tool_calls.violations(value, schema) == wanted
+
+
 def test_levels_are_the_longest_chains(spark):
     draw = random.Random(9)
     needs = {"a0": [], **{f"a{i}": [f"a{i - 1}"] for i in range(1, 70)}}
