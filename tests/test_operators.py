@@ -527,3 +527,22 @@ def test_joined_scores_of_repeated_words_and_keys(spark):
     found = emotions_by_join(df, table, "k", "t")
     assert found.count() == len(rows)
     assert sorted(r["happy_count"] for r in found.collect()) == [0, 0, 0, 1, 1, 1, 1, 2]
+
+
+class _Named:
+    """A session of which only the settings are asked."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = type("Context", (), {"master": master})()
+        known = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "/house/"}
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, *_: known[key])})()
+
+
+def test_shared_folder_is_named_on_clusters():
+    from tastelens.session import shared_root
+
+    assert shared_root(_Named("yarn", "hdfs://x/y/")) == "hdfs://x/y"
+    assert shared_root(_Named("local[4]")) == shared_root(_Named("local")) == "/house/_scratch"
+    for master in ("yarn", "spark://h:1", "local-cluster[3,2,1024]", "k8s://x"):
+        with pytest.raises(ValueError):
+            shared_root(_Named(master))
