@@ -10,6 +10,7 @@ from tastelens.functions import scalar as S
 from tastelens.operators import audit, prepare
 from tastelens.operators import summaries as E
 from tastelens.plans.registry import DOCS, KEPT, META, QUALITY, query, r, with_
+from tastelens.session import scratch_path
 from tastelens.sources.tables import Tables
 
 # --- audit ---------------------------------------------------------------------------------------
@@ -34,6 +35,42 @@ def _(t: Tables) -> DataFrame:
     return audit.cap_hits(t.order_reviews(), cap=10)
 
 
+_SKETCHED = ("l_orderkey", "l_partkey", "l_suppkey")
+
+
+@query(
+    "distinct_sketches",
+    sql=" UNION ALL ".join(
+        f"""SELECT {flag} AS flag, '{c}' AS name, count(DISTINCT {c}) AS exact, count({c}) AS filled,
+            true AS near FROM lineitem{group}"""
+        for c in _SKETCHED
+        for flag, group in (("l_returnflag", " GROUP BY l_returnflag"), ("'all'", ""))
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    """Distinct counts from stored sketches, per group and merged over the groups, next to the
+    exact ones: near means within three standard errors."""
+    lines = t.read("lineitem").withColumnRenamed("l_returnflag", "flag")
+    path = scratch_path(t.spark, "sketches")
+    audit.distinct_sketches(lines, _SKETCHED, ["flag"]).write.parquet(path)
+    sketches = t.spark.read.parquet(path)
+    every = F.lit("all").alias("flag")
+    about = audit.distinct_counts(sketches, ["flag"]).unionByName(
+        audit.distinct_counts(sketches).withColumn("flag", every)
+    )
+    # the exact counts, each value once per group before it is counted
+    values = lines.select("flag", F.explode(F.array(*(
+        F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in _SKETCHED
+    ))).alias("v")).select("flag", "v.*").filter("value IS NOT NULL").distinct()
+    exact = values.groupBy("flag", "name").agg(E.rows("exact")).unionByName(
+        values.select("name", "value").distinct().groupBy("name").agg(E.rows("exact")).withColumn("flag", every)
+    )
+    off = F.abs(F.col("distinct_about") - F.col("exact")) / F.col("exact")
+    return about.join(exact, ["flag", "name"]).select(
+        "flag", "name", "exact", "filled", (off <= 3 * audit.SKETCH_ERROR).alias("near")
+    )
+
+
 @query(
     "audit_duplicates",
     sql=with_(DOCS) + """

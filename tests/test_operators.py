@@ -546,3 +546,26 @@ def test_shared_folder_is_named_on_clusters():
     for master in ("yarn", "spark://h:1", "local-cluster[3,2,1024]", "k8s://x"):
         with pytest.raises(ValueError):
             shared_root(_Named(master))
+
+
+def test_sketches_merge_and_count(spark):
+    from pyspark.sql import functions as F
+
+    from tastelens.operators import audit
+
+    rows = spark.range(60_000).select(
+        (F.col("id") % 3).alias("day"), (F.col("id") % 20_000).alias("many"), F.lit("x").alias("one"),
+        F.when(F.col("id") % 2 == 0, F.col("id") % 7).alias("few"), F.lit(None).cast("string").alias("none"),
+    )
+    columns = ["many", "one", "few", "none"]
+    sketches = audit.distinct_sketches(rows, columns, ["day"])
+    assert sketches.count() == 12
+    merged = {r["name"]: r for r in audit.distinct_counts(sketches).collect()}
+    whole = {r["name"]: r for r in audit.distinct_counts(audit.distinct_sketches(rows, columns)).collect()}
+    assert merged == whole
+    assert abs(merged["many"]["distinct_about"] - 20_000) <= 3 * audit.SKETCH_ERROR * 20_000
+    assert [merged[c]["distinct_about"] for c in columns[1:]] == [1, 7, 0]
+    assert [merged[c]["filled"] for c in columns] == [60_000, 60_000, 30_000, 0]
+    per_day = audit.distinct_counts(sketches, ["day"])
+    assert per_day.count() == 12
+    assert audit.distinct_counts(audit.distinct_sketches(rows.limit(0), columns, ["day"]), ["day"]).count() == 0
