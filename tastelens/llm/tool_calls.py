@@ -20,6 +20,8 @@ from tastelens.session import cut
 # Schemas are sent to every task while they have at most so many characters together; beyond
 # that they are joined by the name of the tool.
 MOST_SCHEMA_CHARS = 4_000_000
+# Calls that need several others are ordered in segments of 2**SEGMENT_BITS neighbours.
+SEGMENT_BITS = 14
 
 _KINDS = {
     "object": dict, "array": list, "string": str, "boolean": bool, "null": type(None),
@@ -215,12 +217,57 @@ def _anchored(chain: DataFrame) -> DataFrame:
     return state.filter(~F.col("open")).drop("open")
 
 
+def _segments(calls: DataFrame, count: int) -> DataFrame:
+    """(call_id, segment): neighbours by conversation and turn, 2**SEGMENT_BITS calls at most.
+
+    Ranges end in the identifier, so that a conversation of any size is split.
+    """
+    order = ["conv_id", "turn", "call_id"]
+    ranges = count // 2 ** (SEGMENT_BITS + 4) + 1
+    placed = calls.select(*order).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    return placed.select(
+        "call_id", F.shiftright(F.monotonically_increasing_id(), SEGMENT_BITS).alias("segment")
+    )
+
+
+def _settle(key, table):
+    """Levels of the calls of one segment whose needs are known or settled within the segment.
+
+    ``table``: call_id, anchor, steps, level, one row per need, ``level`` what the need asks for
+    or null while it is not known.
+    """
+    calls, anchors, steps, levels = (
+        table.column(c).to_pylist() for c in ("call_id", "anchor", "steps", "level")
+    )
+    best: dict[str, int] = {}
+    open_needs: dict[str, int] = {}
+    asked: dict[str, list] = {}
+    for call, anchor, step, level in zip(calls, anchors, steps, levels):
+        open_needs.setdefault(call, 0)
+        if level is None:
+            open_needs[call] += 1
+            asked.setdefault(anchor, []).append((call, step))
+        else:
+            best[call] = max(level, best.get(call, 0))
+    ready = [call for call, needs in open_needs.items() if not needs]
+    for call in ready:
+        for user, step in asked.get(call, ()):
+            best[user] = max(best[call] + step, best.get(user, 0))
+            open_needs[user] -= 1
+            if not open_needs[user]:
+                ready.append(user)
+    return pa.table(
+        {"call_id": pa.array(ready, pa.string()), "level": pa.array([best[c] for c in ready], pa.int32())}
+    )
+
+
 def _levels(calls: DataFrame) -> DataFrame:
     """(call_id, level): the calls on the longest chain of known dependencies below each call.
 
-    Calls that need one other call are led along their chains by pointer doubling; what remains,
-    calls that need several, is taken apart in rounds, as many as their longest chain with the
-    plain chains left out. Calls on a cycle, and those behind it, get no level.
+    Calls that need one other call are led along their chains by pointer doubling. What remains,
+    calls that need several, is cut into segments of neighbouring turns; a round settles all that
+    can be settled within every segment at once, so there are as many rounds as a chain of needs
+    passes from segment to segment. Calls on a cycle, and those behind it, get no level.
     """
     names = calls.select("call_id")
     edges = calls.select("call_id", F.explode("depends_on").alias("needs"))
@@ -230,14 +277,16 @@ def _levels(calls: DataFrame) -> DataFrame:
     chains = cut(_anchored(degree.filter("n = 1").select("call_id", "needs")))
     done = names.join(degree, "call_id", "left_anti").withColumn("level", F.lit(0))
     several = degree.filter("n > 1").select("call_id")
-    if several.limit(1).count():
+    count = several.count()
+    if count:
         # every need gives way to its anchor; one that leads into a cycle keeps no anchor
-        whole = edges.join(several, "call_id", "left_semi")
+        segments = cut(_segments(calls.join(several, "call_id", "left_semi"), count))
+        whole = edges.join(segments, "call_id")
         single = degree.filter("n = 1").select(F.col("call_id").alias("needs"), F.lit(True).alias("on"))
         ends = chains.select(F.col("call_id").alias("needs"), "anchor", "steps")
         waiting = cut(
             whole.join(single, "needs", "left").join(ends, "needs", "left").select(
-                "call_id",
+                "segment", "call_id",
                 F.when(F.col("on").isNull(), F.col("needs")).otherwise(F.col("anchor")).alias("anchor"),
                 (F.coalesce("steps", F.lit(0)) + 1).alias("steps"),
                 F.lit(None).cast("int").alias("level"),
@@ -249,14 +298,11 @@ def _levels(calls: DataFrame) -> DataFrame:
             known = ready.select(F.col("call_id").alias("anchor"), F.col("level").alias("below"))
             waiting = cut(
                 waiting.join(known, "anchor", "left").select(
-                    "call_id", "anchor", "steps",
+                    "segment", "call_id", "anchor", "steps",
                     F.coalesce("level", F.col("below") + F.col("steps")).alias("level"),
                 )
             )
-            ready = waiting.groupBy("call_id").agg(
-                F.max("level").alias("level"), F.count_if(F.col("level").isNull()).alias("open")
-            )
-            ready = cut(ready.filter("open = 0").drop("open"))
+            ready = cut(waiting.groupBy("segment").applyInArrow(_settle, "call_id string, level int"))
             if not ready.limit(1).count():
                 break
             rounds += 1

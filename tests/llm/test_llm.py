@@ -163,6 +163,25 @@ def test_links_of_dense_clusters(spark):
     assert len(set.union(*classes.values())) == len(classes)
 
 
+@pytest.mark.parametrize("most", [20, 0])
+def test_hot_prefixes_are_dealt_again(spark, monkeypatch, most):
+    """A family that shares its leading bits meets in longer prefixes, with the same classes."""
+    draw = random.Random(5)
+    family = {(0xF << 60) | sum(1 << b for b in draw.sample(range(60), 2)) for _ in range(60)}
+    family |= {(0xF << 60) | 0xFF00 | sum(1 << b for b in draw.sample(range(60), 9)) for _ in range(12)}
+    values = np.array(sorted(family), dtype=np.uint64)
+    table = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "bits bigint")
+    monkeypatch.setattr(simhash, "FURTHER", 28)
+    monkeypatch.setattr(simhash, "MOST_IN_PREFIX", most)
+    found = simhash.links(table, 4, len(values))
+    nodes = dict(components.connected(found, "a", "b").collect())
+    classes = {}
+    for value, root in zip(values.view(np.int64).tolist(), brute_classes(values, 4)):
+        classes.setdefault(root, set()).add(nodes.get(value, value))
+    assert len(classes) > 1 and all(len(c) == 1 for c in classes.values())
+    assert len(set.union(*classes.values())) == len(classes)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 200), (300, 200), (5, 5), (None, 3), (7, None)]
     found = dict(components.connected(spark.createDataFrame(links, "x int, y int"), "x", "y").collect())
@@ -585,6 +604,42 @@ def test_levels_are_the_longest_chains(spark):
     assert dict(found) == {c: d for c in needs if (d := depth(c)) is not None}
 
 
+def _plain_levels(needs):
+    """Level of every call by repeated relaxation; calls on or behind a cycle are absent."""
+    levels = {}
+    while True:
+        more = {
+            c: 1 + max((levels[n] for n in ns), default=-1)
+            for c, ns in needs.items()
+            if c not in levels and all(n in levels for n in ns)
+        }
+        if not more:
+            return levels
+        levels |= more
+
+
+def test_a_ladder_takes_few_rounds(spark, monkeypatch):
+    """Every call needs the two before it: one segment settles them in one round."""
+    needs = {f"c{i:04}": [f"c{j:04}" for j in (i - 1, i - 2) if j >= 0] for i in range(2000)}
+    rows = [(c, "a", i, ns) for i, (c, ns) in enumerate(needs.items())]
+    cuts, cut = [], tool_calls.cut
+    monkeypatch.setattr(tool_calls, "cut", lambda df: cuts.append(1) or cut(df))
+    calls = spark.createDataFrame(rows, "call_id string, conv_id string, turn int, depends_on array<string>")
+    assert dict(tool_calls._levels(calls).collect()) == {c: i for i, c in enumerate(needs)}
+    assert len(cuts) <= 20
+
+
+def test_levels_across_segments(spark, monkeypatch):
+    """Segments of four calls, needs within and across conversations, and a cycle among them."""
+    monkeypatch.setattr(tool_calls, "SEGMENT_BITS", 2)
+    rng = random.Random(11)
+    needs = {f"c{i:02}": [f"c{j:02}" for j in rng.sample(range(i), min(i, rng.randrange(4)))] for i in range(40)}
+    needs |= {"x1": ["x2", "c01"], "x2": ["x1", "c02"], "x3": ["x1", "c03"], "x4": ["x4", "c05"]}
+    rows = [(c, rng.choice("ab"), rng.randrange(20), ns) for c, ns in needs.items()]
+    calls = spark.createDataFrame(rows, "call_id string, conv_id string, turn int, depends_on array<string>")
+    assert dict(tool_calls._levels(calls).collect()) == _plain_levels(needs)
+
+
 def test_levels_of_the_query_are_depths(spark):
     """Rows of a chain of calls two turns apart, numbered from 0."""
     wanted = duckdb.sql(f"""
