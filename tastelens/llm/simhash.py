@@ -28,6 +28,11 @@ from tastelens.session import cut, scratch_path
 BITS = 64
 # Fingerprints that one prefix should receive on average.
 PER_PREFIX = 40_000
+# A prefix with more members is dealt again by so many further bits; the prefixes to deal again
+# are sent to every task up to MOST_HEAVY, beyond that they are joined by a shuffle.
+MOST_IN_PREFIX = 400_000
+FURTHER = 8
+MOST_HEAVY = 100_000
 # Partial variants worked on at once in a task.
 AT_ONCE = 300_000
 
@@ -166,8 +171,35 @@ def forest(values: np.ndarray, spare: np.ndarray, bits: int, radius: int):
     return values[linked], values[parent[linked]]
 
 
+def _deal(rows: DataFrame, lead: int, further: int, flips: int) -> DataFrame:
+    """(bits, prefix): every member of a prefix of ``lead`` bits, dealt by ``further`` bits more.
+
+    A member goes to each longer prefix within the flips that the shorter one left it.
+    """
+    own = F.shiftrightunsigned("bits", BITS - lead)
+    used = F.bit_count(own.bitwiseXOR(F.col("prefix"))).cast("int")
+    longer = F.shiftrightunsigned("bits", BITS - lead - further).bitwiseAND(F.lit(2**further - 1))
+    choices = [
+        F.when(F.lit(bin(m).count("1")) + F.col("used") <= flips, F.lit(m)) for m in masks(further, flips)
+    ]
+    change = F.explode(F.array_compact(F.array(*choices)))
+    return (
+        rows.withColumn("used", used)
+        .select("bits", "prefix", change.alias("change"))
+        .select(
+            "bits",
+            F.shiftleft("prefix", further).bitwiseOR(longer.bitwiseXOR(F.col("change"))).alias("prefix"),
+        )
+    )
+
+
 def links(distinct: DataFrame, radius: int, count: int, bits: str = "bits") -> DataFrame:
-    """(a, b): a spanning forest, per prefix, of the links between distinct fingerprints."""
+    """(a, b): a spanning forest, per prefix, of the links between distinct fingerprints.
+
+    The members of every prefix are counted first; a prefix with more than MOST_IN_PREFIX is
+    dealt again by FURTHER more bits, until none is left or the prefix is a whole variant, which
+    has no more members than there are fingerprints within half the radius of it.
+    """
     flips = (radius + 1) // 2
     lead = prefix_bits(count, flips)
     changes = F.explode(F.array(*(F.lit(m) for m in masks(lead, flips))))
@@ -175,16 +207,32 @@ def links(distinct: DataFrame, radius: int, count: int, bits: str = "bits") -> D
     dealt = distinct.select(F.col(bits).alias("bits"), changes.alias("change")).select(
         "bits", own.bitwiseXOR(F.col("change")).alias("prefix")
     )
+    parts = []
+    while lead < BITS:
+        large = dealt.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
+        large = cut(large.filter(F.col("n") > MOST_IN_PREFIX).select("prefix"))
+        heavy = large.count()
+        if not heavy:
+            break
+        large = F.broadcast(large) if heavy <= MOST_HEAVY else large
+        parts.append(dealt.join(large, "prefix", "left_anti").withColumn("lead", F.lit(lead)))
+        further = min(FURTHER, BITS - lead)
+        again = _deal(dealt.join(large, "prefix", "left_semi"), lead, further, flips)
+        dealt, lead = cut(again), lead + further
+    parts.append(dealt.withColumn("lead", F.lit(lead)))
 
     def meet(key, table):
         values = np.sort(table.column("bits").to_numpy().view(np.uint64))
-        prefix = np.uint64(key[0].as_py())
-        used = np.bitwise_count((values >> np.uint64(BITS - lead)) ^ prefix)
+        prefix, rest = np.uint64(key[0].as_py() % 2**BITS), BITS - key[1].as_py()
+        used = np.bitwise_count((values >> np.uint64(rest)) ^ prefix)
         spare = np.int8(flips) - used.astype(np.int8)
-        a, b = forest(values, spare, BITS - lead, radius)
+        a, b = forest(values, spare, rest, radius)
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
-    return dealt.groupBy("prefix").applyInArrow(meet, "a bigint, b bigint")
+    members = parts[0]
+    for part in parts[1:]:
+        members = members.union(part)
+    return members.groupBy("prefix", "lead").applyInArrow(meet, "a bigint, b bigint")
 
 
 def _rooted(distinct: DataFrame, radius: int) -> DataFrame:
