@@ -15,7 +15,7 @@ from tastelens.plans.registry import (
     CLEAN, DOCS, HITS, KEPT, META, QUALITY, TOKENS, ascii_share, query, r, with_,
 )
 from tastelens.session import cut, scratch_path
-from tastelens.sources import files, lexicons
+from tastelens.sources import csv_ranges, files, lexicons
 from tastelens.sources.tables import Tables
 
 DOCUMENT_SCHEMA = schemas.record(
@@ -34,6 +34,14 @@ def _(t: Tables) -> DataFrame:
     return files.read_csv(t.spark, path, DOCUMENT_SCHEMA)
 
 
+@query("scan_csv_ranges", sql="SELECT doc_id, text, lang, source, n_chars FROM documents")
+def _(t: Tables) -> DataFrame:
+    """The same file, cut into byte ranges whatever its quoted line breaks."""
+    path = scratch_path(t.spark, "documents-csv")
+    files.write_csv(t.documents(), path, byte_order_mark=True)
+    return csv_ranges.read_csv_ranges(t.spark, path, DOCUMENT_SCHEMA)
+
+
 @query(
     "json_explode",
     sql="""SELECT user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS n

@@ -22,7 +22,8 @@ BYTE_ORDER_MARK = "\ufeff"
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Typed CSV scan: header, quoted line breaks, usual null spellings, bad values to null.
 
-    Quoted line breaks keep a file from being split, so many files give the parallelism.
+    Quoted line breaks keep a file from being split, so many files give the parallelism;
+    ``csv_ranges.read_csv_ranges`` splits the files themselves.
     """
     as_text = StructType([StructField(f.name, StringType()) for f in schema.fields])
     raw = (
@@ -36,10 +37,11 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-    return raw.select(*(_typed(F.col(f"`{f.name}`"), f) for f in schema.fields))
+    return raw.select(*(typed(F.col(f"`{f.name}`"), f) for f in schema.fields))
 
 
-def _typed(text: Column, field: StructField) -> Column:
+def typed(text: Column, field: StructField) -> Column:
+    """A CSV field in its type; null spellings and values that do not fit become null."""
     present = F.when(~text.isin(list(fv.CSV_NULL_TOKENS)), text)
     if not isinstance(field.dataType, StringType):
         present = present.try_cast(field.dataType)

@@ -13,7 +13,7 @@ from tastelens import schemas
 from tastelens.operators import audit, dedup, features, learning, metrics, neighbours, prepare, sentiment, split
 from tastelens.operators import summaries as E
 from tastelens.operators.ranking import hashed_row_number, quantiles, running_totals
-from tastelens.sources import files, lexicons
+from tastelens.sources import csv_ranges, files, lexicons
 
 
 def rows(df):
@@ -48,6 +48,36 @@ def test_csv_null_spellings_and_bad_values(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_csv_by_byte_ranges(spark, tmp_path, monkeypatch, end, broadcast):
+    """Ranges of a few bytes cut records, quotes and line breaks anywhere; rows as in one piece."""
+    draw = random.Random(3)
+    parts = ["a", " ", '""', ",", "好", "\n", "\n\n", "\r\n", "NA", "word "]
+    (tmp_path / "t").mkdir()
+    for name in ("a", "b"):
+        lines = ["\ufeffid,text,score"]
+        for i in range(150):
+            text = "".join(draw.choice(parts) for _ in range(draw.randrange(60 if i % 50 else 800)))
+            lines.append(draw.choice([f'{i},"{text}",{i / 4}', f"{i},plain,", "", f'{i},"",x']))
+        (tmp_path / "t" / f"{name}.csv").write_bytes(end.join(lines).encode() + end.encode() * (name == "a"))
+    (tmp_path / "t" / "empty.csv").write_bytes(b"")
+    schema = schemas.record(id=schemas.LONG, text=schemas.TEXT, score=schemas.DOUBLE)
+    path = str(tmp_path / "t")
+    if not broadcast:
+        monkeypatch.setattr(csv_ranges, "MOST_RANGES", 0)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")
+    try:
+        got = csv_ranges.read_csv_ranges(spark, path, schema).collect()
+        ranges = csv_ranges._ranges(csv_ranges._lines(spark, path)).count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    wanted = files.read_csv(spark, path, schema).collect()
+    assert ranges > 50
+    assert sorted(map(repr, got)) == sorted(map(repr, wanted))
+
+
 def test_json_pages(spark, tmp_path):
     good = {fv.PLACE_ID: 7, "name": "A", "address": {"city": "HK"}, "reviews": 3,
             "coordinates": {"latitude": 1.5}, "parent_location": {fv.PLACE_ID: 9}}
