@@ -33,15 +33,19 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _ranges(lines: DataFrame) -> DataFrame:
-    """(file, start, lines, inside): lines of every range and whether it begins inside quotes."""
+    """(file, start, lines, inside, returns): lines of every range, whether it begins inside quotes
+    and whether the first line of its file ends in a carriage return."""
     counts = cut(
         lines.groupBy("file", "start").agg(
-            F.count(F.lit(1)).alias("lines"), F.sum("quotes").alias("quotes")
+            F.count(F.lit(1)).alias("lines"), F.sum("quotes").alias("quotes"),
+            F.min_by(F.col("value").endswith("\r"), "place").alias("returns"),
         )
     )
-    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("file").orderBy("start")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
     odd = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1
-    return cut(counts.select("file", "start", "lines", odd.alias("inside")))
+    returns = F.first("returns").over(order)
+    return cut(counts.select("file", "start", "lines", odd.alias("inside"), returns.alias("returns")))
 
 
 def _cutter(broken: bool):
@@ -78,9 +82,10 @@ def _cutter(broken: bool):
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """(record): the text of every record but the headers, which are the first of each file.
 
-    Quotes must be doubled inside quoted fields and occur in no others, as CSV writers do. Lines end
-    in ``\\n`` or ``\\r\\n``, empty ones are left out. Records that cross a border between ranges are
-    put together from their pieces; a quote that is never closed takes in the rest of its file.
+    Quotes must be doubled inside quoted fields and occur in no others, as CSV writers do. Empty
+    lines are left out; in a file whose first line ends in ``\\r\\n`` every ``\\r\\n`` becomes ``\\n``.
+    Records that cross a border between ranges are put together from their pieces; a quote that is
+    never closed takes in the rest of its file.
     """
     lines = _lines(spark, path)
     ranges = _ranges(lines)
@@ -90,6 +95,8 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
         known = lines.join(ranges, ["file", "start"], "left")
     # the order of the file, which the wide join loses; sorted input costs next to nothing
     known = known.sortWithinPartitions("file", "start", "place").drop("place")
+    bare = F.regexp_replace("value", r"\r\z", "")
+    known = known.withColumn("value", F.when(F.col("returns"), bare).otherwise(F.col("value")))
     whole = known.mapInArrow(_cutter(False), _PIECE)
     pieces = cut(known.mapInArrow(_cutter(True), _PIECE))
     order = Window.partitionBy("file").orderBy("start", "opens")
@@ -101,8 +108,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
         .agg(F.max("header").alias("header"), F.array_join(parts["record"], "\n").alias("record"))
     )
     every = whole.select("header", "record").union(joined.select("header", "record"))
-    text = F.regexp_replace("record", "\r$", "")
-    return every.filter(~F.col("header")).select(text.alias("record")).filter("record <> ''")
+    return every.filter(~F.col("header") & (F.col("record") != "")).select("record")
 
 
 def read_csv_ranges(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
