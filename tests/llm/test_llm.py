@@ -727,3 +727,22 @@ def test_pipeline_stages_keep_the_columns(spark, tmp_path):
             assert left.columns == docs.columns
             some = left
         assert corpus_pipeline.STAGES[-1][1](spark, some, str(tmp_path)).count() == some.count()
+
+
+def test_rare_toxic_words_carry_weight_in_a_large_sample(spark):
+    """Each telling word stands in about 0.7 % of the confirmed texts; chance words weigh nothing."""
+    draw = random.Random(4)
+    plain = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)]
+    bad = [f"bad{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(150)]
+    rows, marks = [], []
+    for key in range(20_000):
+        toxic = key % 10 == 0
+        words = draw.choices(plain, k=12) + ([bad[key // 10 % 150]] if toxic else [])
+        rows.append((key, " ".join(words)))
+        marks.append((key, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels, fold("doc_id", 5) != 0)
+    assert set(bad) <= set(model.weights) and len(set(model.weights) - set(bad)) < 10
+    held_out = [(zlib.crc32(str(k).encode()) % 5 == 0, t, m) for (k, t), (_, m) in zip(rows, marks)]
+    assert all((model.score(t) >= 0.5) == bool(m) for out, t, m in held_out if out)
