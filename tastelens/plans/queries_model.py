@@ -490,6 +490,44 @@ def _(t: Tables) -> DataFrame:
     return _nearest(t).withColumn("distance", S.half_even(F.col("distance"), 6))
 
 
+@query(
+    "knn_text",
+    sql="WITH " + VOCABULARY + f""",
+    tf AS (SELECT doc_id, term_id, count(*) * (ln((1 + (SELECT count(*) FROM documents))
+             / CAST(1 + doc_freq AS DOUBLE)) + 1) AS raw
+           FROM terms JOIN vocab USING (term) GROUP BY doc_id, term_id, doc_freq),
+    unit AS (SELECT doc_id, term_id, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS w
+             FROM tf),
+    meeting AS (SELECT a.doc_id AS query_id, b.doc_id AS point_id, sum(a.w * b.w) AS cosine
+                FROM unit a JOIN unit b USING (term_id) GROUP BY ALL),
+    ids AS (SELECT DISTINCT doc_id FROM unit),
+    pairs AS (SELECT a.doc_id AS query_id, b.doc_id AS point_id,
+                     round(1 - coalesce(cosine, 0), 12) AS distance
+              FROM ids a JOIN ids b ON a.doc_id <> b.doc_id
+              LEFT JOIN meeting m ON m.query_id = a.doc_id AND m.point_id = b.doc_id)
+    SELECT query_id, point_id, {r('distance')} AS distance FROM pairs
+    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, point_id) <= 15""",
+)
+def _(t: Tables) -> DataFrame:
+    """The 15 nearest documents by TF-IDF of every document that holds a term."""
+    docs = t.documents()
+    vocab = cut(G.vocabulary(docs, "text", pattern=ASCII_WORDS))
+    n = t.read("documents").agg(F.count(F.lit(1))).scalar()
+    weights = G.tfidf(docs, "doc_id", "text", vocab, n, pattern=ASCII_WORDS)
+    # at most max_features terms a document
+    entries = F.sort_array(F.collect_list(F.struct("term_id", "weight")))
+    vectors = weights.groupBy("doc_id").agg(entries.alias("e")).select(
+        "doc_id",
+        F.struct(
+            F.lit(fv.MAX_FEATURES).alias("width"), F.col("e.term_id").alias("indices"),
+            F.col("e.weight").alias("values"),
+        ).alias("vec"),
+    )
+    vectors = cut(vectors)
+    near = neighbours.nearest(vectors, vectors, 15, key="doc_id", same_table=True)
+    return near.withColumn("distance", S.half_even(F.col("distance"), 6))
+
+
 @query(
     "knn_vote",
     sql=with_(NEAREST) + f""", uniform AS (

@@ -4,13 +4,14 @@ import json
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tastelens import fixed_values as fv
 from tastelens import schemas
-from tastelens.operators import audit, dedup, features, learning, metrics, neighbours, prepare, sentiment, split
+from tastelens.operators import audit, dedup, features, learning, metrics, neighbours, prepare, sentiment, split, tiles
 from tastelens.operators import summaries as E
 from tastelens.operators.ranking import hashed_row_number, quantiles, running_totals
 from tastelens.sources import csv_ranges, files, lexicons
@@ -505,6 +506,47 @@ def test_nearest_reads_sparse_vectors_and_copies_by_blocks(spark):
     assert (left.count(), right.count()) == (40 * 5, 90 * 2)
 
 
+@pytest.mark.parametrize("signs", [(1,), (1, -1)])
+def test_tiles_of_sparse_points_are_passed_over_without_loss(signs):
+    """Texts of 20 topics with copies, ties and empty rows: few products, the same neighbours."""
+    draw, width, k = np.random.default_rng(3), 2_000, 5
+    rows = []
+    for i in range(3_000):
+        topic = i % 20
+        own = topic * 90 + draw.choice(90, 12, replace=False)
+        terms = np.unique(np.append(own, 1_800 + draw.choice(200, 3)))
+        weights = np.where(terms < 1_800, 2.0, 0.2) * draw.uniform(0.5, 1.5, len(terms))
+        rows.append((terms, weights * draw.choice(signs, len(terms))))
+    for copy in range(0, 300, 3):
+        rows[copy + 1_000] = rows[copy]
+    rows[7] = rows[2_900] = (np.array([], dtype=int), np.array([]))
+    rows[8] = (None, None)
+    unit = tiles.UnitRows(*zip(*rows))
+    column = np.arange(width)
+    dense = unit.dense(np.arange(len(rows)), column, width)
+    names = np.arange(len(rows))
+    query, point, far, taken = tiles.nearest_rows(unit, unit, k, width, 12, (names, names))
+    wanted = np.round(1 - dense @ dense.T, 12) + 0.0
+    np.fill_diagonal(wanted, np.inf)
+    best = np.argsort(wanted, axis=1, kind="stable")[:, :k]
+    got = {}
+    for q, p, d in zip(query, point, far):
+        got.setdefault(q, []).append((d, p))
+    for q in range(len(rows)):
+        mine = sorted(got[q])
+        assert np.allclose([d for d, _ in mine], wanted[q, best[q]], atol=1e-9)
+        assert [p for _, p in mine] == best[q].tolist()
+    assert taken < 0.35 * len(rows) ** 2
+
+
+def test_tiles_of_nothing():
+    none, some = tiles.UnitRows([], []), tiles.UnitRows([[1]], [[2.0]])
+    for queries, points in ((none, some), (some, none), (none, none)):
+        assert tiles.nearest_rows(queries, points, 3, 4, 12)[3] == 0
+    query, point, far, _ = tiles.nearest_rows(some, some, 3, 4, 12)
+    assert (query.tolist(), point.tolist(), far.tolist()) == ([0], [0], [0.0])
+
+
 def test_modes_of_many_categories(spark):
     df = spark.range(30_000).select(
         F.concat(F.lit("c"), F.col("id") % 15_000).alias("wide"),
