@@ -641,3 +641,43 @@ def test_sketches_merge_and_count(spark):
     per_day = audit.distinct_counts(sketches, ["day"])
     assert per_day.count() == 12
     assert audit.distinct_counts(audit.distinct_sketches(rows.limit(0), columns, ["day"]), ["day"]).count() == 0
+
+
+@pytest.mark.parametrize("width,tile_rows", [(4, 16), (40, 64)])
+def test_boxes_of_dense_points_are_passed_over_without_loss(width, tile_rows):
+    """Points on a thin curve with copies, ties, zero rows and a limit from other points."""
+    draw, k = np.random.default_rng(9), 6
+    turn = np.sort(draw.uniform(0, 3, 2_500))
+    rows = np.zeros((2_500, width))
+    rows[:, :3] = np.stack([np.cos(turn), np.sin(turn), 0.01 * draw.standard_normal(2_500)], axis=1)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    rows[500:560] = rows[100]
+    rows[7] = rows[2_400] = 0.0
+    names = np.arange(len(rows))
+    query, point, far, taken = tiles.nearest_dense(
+        rows, rows, k, 12, (names, names), tile_rows=tile_rows
+    )
+    wanted = np.round(1 - rows @ rows.T, 12) + 0.0
+    np.fill_diagonal(wanted, np.inf)
+    best = np.argsort(wanted, axis=1, kind="stable")[:, :k]
+    order = np.lexsort((point, far, query))
+    assert np.array_equal(point[order].reshape(-1, k), best)
+    assert np.allclose(far[order].reshape(-1, k), np.take_along_axis(wanted, best, axis=1))
+    assert taken < 0.6 * len(rows) ** 2
+    # within a limit nothing is lost, beyond it nothing is needed
+    limit = np.take_along_axis(wanted, best, axis=1)[:, 2]
+    query, point, far, fewer = tiles.nearest_dense(
+        rows, rows, k, 12, (names, names), limit=limit, tile_rows=tile_rows
+    )
+    within = np.argwhere(np.take_along_axis(wanted, best, axis=1) <= limit[:, None])
+    assert set(zip(query, point)) >= {(q, best[q, nth]) for q, nth in within}
+    assert fewer <= taken
+
+
+def test_nearest_shuffles_no_vector_for_a_further_block(spark):
+    """Blocks are stored once; only the k best rows of a query are shuffled after that."""
+    df = spark.range(60).select("id", F.array(F.lit(1.0), F.col("id") + 0.5).alias("vec"))
+    found = neighbours.nearest(df, df, 3, same_table=True, block_rows=10)
+    plan = found._jdf.queryExecution().toString()
+    assert "CartesianProduct" in plan and "Generate explode" not in plan
+    assert found.count() == 180
