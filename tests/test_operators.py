@@ -681,3 +681,22 @@ def test_nearest_shuffles_no_vector_for_a_further_block(spark):
     plan = found._jdf.queryExecution().toString()
     assert "CartesianProduct" in plan and "Generate explode" not in plan
     assert found.count() == 180
+
+
+def test_tfidf_counts_terms_in_the_row_and_shuffles_none(spark):
+    texts = [(1, "one two two"), (2, "two three"), (3, None), (4, "nothing known"), (1, "one")]
+    df = spark.createDataFrame(texts, "id bigint, text string")
+    vocab = spark.createDataFrame(
+        [("one", 2, 0), ("two", 2, 1)], "term string, doc_freq bigint, term_id int"
+    )
+    n = df.agg(F.count_distinct("id")).scalar()
+    found = features.tfidf(df, "id", "text", vocab, n, n_max=1)
+    got = {(r.id, r.term, r.term_id): r.weight for r in found.collect()}
+    # rows of one key are one document
+    assert set(got) == {(1, "one", 0), (1, "two", 1), (2, "two", 1)}
+    assert got[1, "one", 0] == pytest.approx(math.sqrt(0.5)) and got[2, "two", 1] == 1.0
+    single = features.tfidf(df.filter("id > 1"), "id", "text", vocab, 4, n_max=1)
+    plan = single._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and single.count() == 1
+    none = features.tfidf(df, "id", "text", vocab.limit(0), 4, n_max=1)
+    assert none.count() == 0 and none.columns == ["id", "term", "term_id", "weight"]
