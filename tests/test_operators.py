@@ -700,3 +700,13 @@ def test_tfidf_counts_terms_in_the_row_and_shuffles_none(spark):
     assert "hashpartitioning" not in plan and single.count() == 1
     none = features.tfidf(df, "id", "text", vocab.limit(0), 4, n_max=1)
     assert none.count() == 0 and none.columns == ["id", "term", "term_id", "weight"]
+
+
+def test_parts_of_learners_grow_in_number_and_not_in_size(spark):
+    from tastelens.operators.rows import dealt
+
+    cores = spark.sparkContext.defaultParallelism
+    for n in (0, 500, 20_000):
+        parts = dealt(spark.range(n), "id", n, 1_000).rdd.glom().map(len).collect()
+        assert len(parts) == max(cores, n // 1_000)
+        assert sum(parts) == n and max(parts) < 1_300
