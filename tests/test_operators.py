@@ -710,3 +710,15 @@ def test_parts_of_learners_grow_in_number_and_not_in_size(spark):
         parts = dealt(spark.range(n), "id", n, 1_000).rdd.glom().map(len).collect()
         assert len(parts) == max(cores, n // 1_000)
         assert sum(parts) == n and max(parts) < 1_300
+
+
+def test_nearest_of_missing_vectors_and_text_ids(spark):
+    rows = [("a", [1.0, 0.0]), ("b", [0.9, 0.1]), ("c", None), ("d", [0.0, 1.0]), ("e", [0.0, 2.0])]
+    df = spark.createDataFrame(rows, "id string, vec array<double>")
+    for block_rows in (None, 2):
+        found = neighbours.nearest(df, df, 1, same_table=True, block_rows=block_rows)
+        nearest = {r.query_id: (r.point_id, r.distance) for r in found.collect()}
+        assert nearest["d"] == ("e", 0.0) and nearest["e"] == ("d", 0.0)
+        assert nearest["a"][0] == "b" and nearest["c"] == ("a", 1.0)
+    assert neighbours.nearest(df.limit(0), df, 2).count() == 0
+    assert neighbours.nearest(df, df.limit(0), 2).count() == 0
