@@ -13,7 +13,7 @@ from tastelens.functions import text as X
 from tastelens.operators import sentiment
 from tastelens.operators import summaries as E
 from tastelens.plans.registry import FEATURES, HITS, LEX, TOKENS, query, r, with_, words
-from tastelens.session import scratch_path
+from tastelens.session import cut, scratch_path
 from tastelens.sources.lexicons import LexiconTables, as_tables, builtin_table, lexicon_table, one_row_per_word
 from tastelens.sources.tables import Tables
 from tastelens.streaming import reviews as streaming
@@ -265,7 +265,8 @@ def _(t: Tables) -> DataFrame:
             F.lit(None).cast("array<string>").alias("emotions"),
         )
         lexicon = part if lexicon is None else lexicon.unionByName(part)
-    words_table = one_row_per_word(lexicon)
+    # read three times below
+    words_table = cut(one_row_per_word(lexicon))
     keyed = docs.select(
         F.when(F.col("doc_id") % 7 != 0, F.col("doc_id") % 50).alias("place"), "text"
     )

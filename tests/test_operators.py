@@ -722,3 +722,26 @@ def test_nearest_of_missing_vectors_and_text_ids(spark):
         assert nearest["a"][0] == "b" and nearest["c"] == ("a", 1.0)
     assert neighbours.nearest(df.limit(0), df, 2).count() == 0
     assert neighbours.nearest(df, df.limit(0), 2).count() == 0
+
+
+def test_hits_are_folded_across_batches(spark):
+    """Texts of many batches, copies of a hit, and words of both kinds at their places."""
+    neg, up = sentiment.NEGATION, sentiment.POSITIVE
+    hits = [(b"a", i, up, None) for i in range(30)] + [(b"a", 30, neg, None), (b"a", 31, up, None)]
+    hits += [(b"b", 2, up | sentiment.EMOTION, None)] * 3 + [(b"b", -1, 0, 1.5), (b"b", -4, 0, -2.0)]
+    hits += [(b"c", 5, up | neg, None), (b"c", 9, up, None), (b"c", 8, sentiment.NEGATIVE, None)]
+    df = spark.createDataFrame(hits, "_row binary, at int, flags int, valence double")
+    want = {
+        b"a": (30, 1, 1, 0, []), b"b": (1, 0, 0, 1, [(0, 1.5), (3, -2.0)]), b"c": (3, 0, 1, 0, []),
+    }
+    first = f"_{fv.EMOTION_CLASSES[0]}"
+    for size in (1, 7, 10000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            found = sentiment.fold_hits(df, 3).collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert len(found) == 3 and want == {
+            bytes(r["_row"]): (r.up, r.down, r.turned, r[first], [tuple(v) for v in r["_valued"]])
+            for r in found
+        }
