@@ -10,8 +10,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tastelens import fixed_values as fv
-from tastelens import schemas
-from tastelens.operators import audit, dedup, features, learning, metrics, neighbours, prepare, sentiment, split, tiles
+from tastelens import schemas, session
+from tastelens.operators import audit, dedup, experiments, features, learning, metrics, neighbours, prepare, sentiment, split, tiles
 from tastelens.operators import summaries as E
 from tastelens.operators.ranking import hashed_row_number, quantiles, running_totals
 from tastelens.sources import csv_ranges, files, lexicons
@@ -745,3 +745,16 @@ def test_hits_are_folded_across_batches(spark):
             bytes(r["_row"]): (r.up, r.down, r.turned, r[first], [tuple(v) for v in r["_valued"]])
             for r in found
         }
+
+
+def test_search_stores_only_its_rows(spark, monkeypatch):
+    """Feature vectors of a fold stay with the tasks and are let go after it."""
+    stored = []
+    monkeypatch.setattr(experiments, "cut", lambda df: stored.append(df.columns) or session.cut(df))
+    df = spark.createDataFrame([(i, i % 2, float(i % 2 * 5 + i % 3)) for i in range(80)],
+                               "id int, y int, x double")
+    spec = experiments.Experiment("t", "rf", {"trees": (1, 2), "depth": (1,), "leaf": (1,)}, ["x"])
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    fitted = experiments.Search(spec, "id", "y").fit(df, folds=2)
+    assert fitted.avgMetrics == [1.0, 1.0] and len(stored) == 1
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= held
