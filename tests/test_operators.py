@@ -712,6 +712,37 @@ def test_parts_of_learners_grow_in_number_and_not_in_size(spark):
         assert sum(parts) == n and max(parts) < 1_300
 
 
+def test_all_cores_get_equally_many_parts(spark):
+    from tastelens.operators.rows import dealt
+
+    cores = spark.sparkContext.defaultParallelism
+    n = 1_000 * cores + 1
+    parts = dealt(spark.range(n), "id", n, 1_000).rdd.glom().map(len).collect()
+    # not one more part than cores, which a single core would be left to do
+    assert len(parts) == 2 * cores and sum(parts) == n
+
+
+@pytest.mark.parametrize(
+    "name, most", [("gbt_weighted", 1_000_000), ("gbt_predict", 1_000_000), ("rf_predict", 100_000)]
+)
+def test_parts_follow_what_a_learner_keeps_of_a_row(spark, folder, monkeypatch, name, most):
+    """Rounds of boosting are not cut into the small parts that the rows of a forest need."""
+    import __spark_entry__ as entry
+    from tastelens.operators import rows
+    from tastelens.plans import queries_model
+
+    class Dealt(Exception):
+        pass
+
+    def large(df, key, n, *part_rows):
+        raise Dealt(rows.dealt(df, key, 100 * most, *part_rows).rdd.getNumPartitions())
+
+    monkeypatch.setattr(queries_model, "dealt", large)
+    with pytest.raises(Dealt) as found:
+        entry.queries()[name](spark, folder)
+    assert found.value.args == (100,)
+
+
 def test_nearest_of_missing_vectors_and_text_ids(spark):
     rows = [("a", [1.0, 0.0]), ("b", [0.9, 0.1]), ("c", None), ("d", [0.0, 1.0]), ("e", [0.0, 2.0])]
     df = spark.createDataFrame(rows, "id string, vec array<double>")
