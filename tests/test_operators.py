@@ -789,3 +789,51 @@ def test_search_stores_only_its_rows(spark, monkeypatch):
     fitted = experiments.Search(spec, "id", "y").fit(df, folds=2)
     assert fitted.avgMetrics == [1.0, 1.0] and len(stored) == 1
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= held
+
+
+@pytest.mark.parametrize("region_rows", [40, 5_000])
+def test_nearest_by_regions_equals_brute_force(spark, monkeypatch, region_rows):
+    """Vectors of few columns, with copies, zero vectors, a hot vector and empty regions."""
+    from tastelens.operators import regions
+
+    monkeypatch.setattr(neighbours, "REGION_PAIRS", 1)
+    monkeypatch.setattr(regions, "REGION_ROWS", region_rows)
+    monkeypatch.setattr(regions, "ASKED_AT_ONCE", 100)
+    rng = np.random.default_rng(3)
+    rows = np.round(rng.normal(size=(900, 5)), 1)
+    rows[100:400] = rows[0]
+    rows[400:440] = rows[rng.integers(500, 900, 40)]
+    rows[450:455] = 0
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "id long, vec array<double>")
+    unit = rows / np.where((rows == 0).all(axis=1), 1, np.sqrt((rows**2).sum(axis=1)))[:, None]
+    far = np.round(1 - unit @ unit.T, 12) + 0.0
+    for same, mine, theirs in ((True, range(900), range(900)), (False, range(0, 900, 3), range(50, 800))):
+        found = neighbours.nearest(
+            df.filter(F.col("id").isin(list(mine))), df.filter(F.col("id").isin(list(theirs))), 7,
+            same_table=same,
+        )
+        assert found.columns == ["query_id", "point_id", "distance"]
+        got: dict = {}
+        for r in found.collect():
+            got.setdefault(r.query_id, []).append((r.distance, r.point_id))
+        for q in mine:
+            want = sorted((far[q, p], p) for p in theirs if not (same and p == q))[:7]
+            assert sorted(got[q]) == want
+
+
+def test_votes_of_lists_are_those_of_rows(spark):
+    """All settings from one list a query, as voted one by one; a query without points has none."""
+    near = [(q, p, float(d)) for q in range(40) for p, d in
+            enumerate(np.sort(np.random.default_rng(q).integers(0 if q % 4 == 0 else 1, 6, 9) / 8))]
+    found = spark.createDataFrame(near, "query_id long, point_id long, distance double")
+    labels = spark.createDataFrame([(p, p * 7 % 3) for p in range(9)], "id long, label int")
+    settings = [(k, w) for k in (1, 4, 9) for w in ("uniform", "distance")]
+    lists = spark.range(41).withColumnRenamed("id", "query_id").join(
+        neighbours.listed(found, labels), "query_id", "left"
+    )
+    got = {r.query_id: r.v for r in lists.select(
+        "query_id", neighbours.votes_of(F.col("near"), settings).alias("v")).collect()}
+    assert len(got) == 41 and got[40] == [None] * 6
+    for at, (k, weights) in enumerate(settings):
+        want = neighbours.vote(found.filter(F.col("point_id") < k), labels, weights).collect()
+        assert {r.query_id: r.prediction for r in want} == {q: got[q][at] for q in range(40)}
